@@ -1,0 +1 @@
+"""No streaming operators: every source of this project is a finished batch export."""
