@@ -13,15 +13,22 @@ MAX_BUCKETS = 10_000
 
 
 def running_totals(
-    df: DataFrame, by: str, sums: Sequence[str], descending: bool = False, one_task_rows: int = ONE_TASK_ROWS
+    df: DataFrame,
+    by: str,
+    sums: Sequence[str],
+    descending: bool = False,
+    one_task_rows: int = ONE_TASK_ROWS,
+    rows: int | None = None,
 ) -> DataFrame:
     """Add ``<name>_upto`` for each of ``sums``: its total over all rows up to this value of ``by``.
 
-    ``by`` is numeric and holds each value once, without NULL. The number of rows is checked first.
+    ``by`` is numeric and holds each value once, without NULL. The number of rows is checked first,
+    unless the caller knows it (``rows``).
     A larger input is cut into value ranges at approximate quantiles; each range is summed by its
     own task and starts from the totals of the ranges before it (at most 10,000 rows of totals).
     """
-    rows = df.agg(F.count(F.lit(1))).first()[0]
+    if rows is None:
+        rows = df.count()
     order = F.col(by).desc() if descending else F.col(by).asc()
     upto = Window.orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     if rows <= one_task_rows:
@@ -49,8 +56,8 @@ def running_totals(
 def value_counts_upto(df: DataFrame, column: str, one_task_rows: int = ONE_TASK_ROWS) -> tuple[DataFrame, int]:
     """Each distinct non-NULL value with its count ``n`` and running count ``n_upto``; and the total."""
     counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
-    total = counts.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    return running_totals(counts, column, ["n"], one_task_rows=one_task_rows), total
+    size = counts.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("n"), F.lit(0)).alias("total")).first()
+    return running_totals(counts, column, ["n"], one_task_rows=one_task_rows, rows=size.rows), size.total
 
 
 def quantile_of(column: str, share: float, total: int):
@@ -59,9 +66,37 @@ def quantile_of(column: str, share: float, total: int):
     return F.min(F.when(F.col("n_upto") >= rank, F.col(column)))
 
 
-def exact_median(df: DataFrame, column: str, one_task_rows: int = ONE_TASK_ROWS) -> float | None:
-    """Lower median of the non-NULL values, None when there are none."""
-    counts, total = value_counts_upto(df, column, one_task_rows)
-    if total == 0:
-        return None
-    return counts.agg(quantile_of(column, 0.5, total)).first()[0]
+def exact_medians(
+    df: DataFrame, columns: Sequence[str], one_task_rows: int = ONE_TASK_ROWS
+) -> dict[str, float | None]:
+    """Lower median of the non-NULL values of each column, None where there are none.
+
+    The distinct values of all columns are counted together, and small columns ranked together.
+    """
+    pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns])
+    counts = (
+        df.select(F.explode(pairs).alias("p"))
+        .select("p.*")
+        .where(F.col("value").isNotNull())
+        .groupBy("name", "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    sizes = {
+        r.name: r
+        for r in counts.groupBy("name").agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("total")).collect()
+    }
+    medians: dict[str, float | None] = dict.fromkeys(columns)
+
+    small = [name for name, size in sizes.items() if size.rows <= one_task_rows]
+    if small:
+        rank = F.coalesce(*[F.when(F.col("name") == c, F.lit(math.ceil(0.5 * sizes[c].total))) for c in small])
+        upto = Window.partitionBy("name").orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = counts.where(F.col("name").isin(small)).withColumn("n_upto", F.sum("n").over(upto))
+        found = ranked.where(F.col("n_upto") >= rank).groupBy("name").agg(F.min("value").alias("value"))
+        medians.update({r.name: r.value for r in found.collect()})
+
+    for name in set(sizes) - set(small):
+        own = counts.where(F.col("name") == name).drop("name")
+        ranked = running_totals(own, "value", ["n"], one_task_rows=one_task_rows, rows=sizes[name].rows)
+        medians[name] = ranked.agg(quantile_of("value", 0.5, sizes[name].total)).first()[0]
+    return medians

@@ -65,7 +65,7 @@ def clean_reviews(df: DataFrame) -> DataFrame:
 
 
 def clean_products(df: DataFrame) -> DataFrame:
-    """Runs one small job per measured column, to find its median."""
+    """Runs two small jobs to find the medians."""
     df = typed_numbers(rename_or_add(df, PRODUCT_RENAMES), "products")
     # Renamed columns are not under their old names any more, so they are typed here.
     df = df.withColumns({c: F.col(c).try_cast("double") for c in PRODUCT_RENAMES.values()})
@@ -77,7 +77,8 @@ def clean_products(df: DataFrame) -> DataFrame:
 def clean_translations(df: DataFrame, extra=EXTRA_TRANSLATIONS) -> DataFrame:
     """One English name per category; an extra row counts only where the table has none."""
     columns = ["product_category_name", "product_category_name_english"]
-    added = df.sparkSession.createDataFrame(list(extra), ", ".join(f"{c} string" for c in columns))
+    pairs = [F.struct(*[F.lit(v).alias(c) for c, v in zip(columns, row)]) for row in extra]
+    added = df.sparkSession.range(1).select(F.inline(F.array(*pairs)))
     both = df.withColumn("__rank", F.lit(0)).unionByName(
         added.withColumn("__rank", F.lit(1)), allowMissingColumns=True
     )

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradewind.plans.features import LABEL, feature_names, preparation, stratified_split
 from tradewind.plans.metrics import binary_metrics, confusion_matrix, feature_importance, roc_auc, roc_curve
-from tradewind.session import checkpointed
+from tradewind.session import stored
 
 # Names and settings of the models.
 LOGREG, FOREST, BOOSTING = "Logistic Regression", "Random Forest", "Gradient Boosting"
@@ -74,9 +74,9 @@ def train_models(
     """Prepare on all rows, split 80/20 per class, fit each model on the train part, score the test part."""
     names = feature_names(features)
     # The fits below read these rows many times: cut the lineage of joins once, in shared storage.
-    features = checkpointed(features)
+    features = stored(features)
     prepared = preparation(features).fit(features)
-    split = checkpointed(stratified_split(features))
+    split = stored(stratified_split(features))
     ready = prepared.transform(split).select("features", F.col(LABEL).cast("double").alias("label"), "split")
     train, test = ready.where("split = 'train'").drop("split"), ready.where("split = 'test'").drop("split")
     train_rows = train.count()

@@ -53,17 +53,25 @@ def customers_geo(customers: DataFrame, geolocation: DataFrame | None) -> DataFr
 def enrich_items(tables: Mapping[str, DataFrame], hot_rows: int = HOT_ROWS) -> DataFrame:
     """Items with product, English category and seller.
 
-    Done at item grain, before payments and reviews multiply the rows. The dimensions carry no
-    broadcast hint: Spark broadcasts them when they are under its size limit and shuffles otherwise.
+    The category name joins at product grain, the rest at item grain, before payments and reviews
+    multiply the rows. The dimensions carry no broadcast hint: Spark broadcasts them when they are
+    under its size limit and shuffles otherwise.
     """
     items = tables["order_items"]
     if "products" in tables:
+        products = tables["products"]
+        names = tables.get("product_category_name_translation")
+        if names is not None and "product_category_name" in products.columns:
+            names = names.select("product_category_name", "product_category_name_english")
+            products = products.join(names, "product_category_name", "left")
         # Nothing makes product ids unique, so this side may hold a hot key.
-        items = left_join_all(items, {"products": tables["products"]}, "product_id", hot_rows=hot_rows)
-    names = tables.get("product_category_name_translation")
-    if names is not None and "product_category_name" in items.columns:
-        names = names.select("product_category_name", "product_category_name_english")
-        items = items.join(names, "product_category_name", "left")
+        items = left_join_all(
+            items,
+            {"products": products},
+            "product_id",
+            hot_rows=hot_rows,
+            probe={"products": tables["products"]},
+        )
     if "sellers" in tables:
         items = items.join(tables["sellers"], "seller_id", "left")
     return items

@@ -1,8 +1,9 @@
-"""Session settings the results depend on, and lineage cuts that survive executor loss."""
+"""Session settings the results depend on, and stored intermediate tables."""
 
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -14,15 +15,23 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def checkpointed(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and go on from the written copy."""
-    spark = df.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None)
-        if folder is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-            folder = tempfile.mkdtemp(prefix="checkpoints-")
-        context.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+def shared_folder(spark: SparkSession) -> str:
+    """The folder the cluster names in ``spark.checkpoint.dir``; a temporary one in local mode only."""
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        folder = tempfile.mkdtemp(prefix="tradewind-")
+        spark.sparkContext.setCheckpointDir(folder)
+    return folder.rstrip("/")
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Write ``df`` to the shared folder as Parquet and go on from there.
+
+    Cuts the lineage in a way that survives lost executors, and later readers scan only the columns
+    they need.
+    """
+    path = f"{shared_folder(df.sparkSession)}/tradewind-{uuid.uuid4()}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradewind.session import prepare
 
 
+@lru_cache(maxsize=64)
 def source(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One test table; its schema is read from the file once per session."""
     df = prepare(spark).read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
     zoneless = [c for c, t in df.dtypes if t == "timestamp_ntz"]
     return df.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}) if zoneless else df

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import lru_cache
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -21,6 +22,7 @@ from tradewind.plans import reports as rp
 from tradewind.plans import training as tr
 from tradewind.plans import wrangle as wr
 from tradewind.plans.normalize import normalize_table
+from tradewind.session import stored
 from tradewind.sources.schema import TABLES, TEXT_TIMESTAMP
 from tradewind_queries import bindings as b
 
@@ -61,8 +63,14 @@ def commerce(spark: SparkSession, sf_dir: str) -> DataFrame:
     return wr.build_commerce(cleaned(spark, sf_dir))
 
 
+@lru_cache(maxsize=8)
+def stored_commerce(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The commerce table, written once per session: reports and features scan their columns of it."""
+    return stored(commerce(spark, sf_dir))
+
+
 def extract(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ft.ml_extract(commerce(spark, sf_dir))
+    return ft.ml_extract(stored_commerce(spark, sf_dir))
 
 
 def _normalize(table: str) -> Query:
@@ -78,7 +86,7 @@ def _clean(table: str) -> Query:
 
 
 def _report(name: str) -> Query:
-    return lambda spark, sf_dir: rp.REPORTS[name](commerce(spark, sf_dir))
+    return lambda spark, sf_dir: rp.REPORTS[name](stored_commerce(spark, sf_dir))
 
 
 def normalize_parse_timestamps(spark, sf_dir):
@@ -131,17 +139,17 @@ def median_impute_products(spark, sf_dir):
 
 
 def eda_kpis(spark, sf_dir):
-    kpis = rp.eda_kpis(commerce(spark, sf_dir))
+    kpis = rp.eda_kpis(stored_commerce(spark, sf_dir))
     return kpis.withColumns({c: F.round(c, 6) for c in ("avg_review_score", "avg_delivery_delay_days")})
 
 
 def eda_chart_series(spark, sf_dir):
-    table = commerce(spark, sf_dir)
+    table = stored_commerce(spark, sf_dir)
     return rp.eda_chart_series({name: report(table) for name, report in rp.REPORTS.items()})
 
 
 def catalog_sql_smoke(spark, sf_dir):
-    commerce(spark, sf_dir).createOrReplaceTempView("tradewind_commerce")
+    stored_commerce(spark, sf_dir).createOrReplaceTempView("tradewind_commerce")
     return rp.sql_report(spark, "tradewind_commerce")
 
 
