@@ -1,0 +1,190 @@
+import random
+from collections import Counter
+
+import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
+from pyspark.sql import Window, functions as F
+
+from tradewind.operators.columns import keep_unless, rename_or_add
+from tradewind.operators.copies import pack_copies, unpack_copies
+from tradewind.operators.dedupe import except_rows, one_per_key, removed_by_key
+from tradewind.operators.fill import forward_fill
+from tradewind.operators.impute import median_impute
+from tradewind.operators.running import exact_medians, quantile_of, running_totals, value_counts_upto
+from tradewind.operators.skew import hot_keys, left_join_all
+
+
+def test_columns(spark):
+    df = spark.createDataFrame([(1, None)], "a int, b int")
+    assert rename_or_add(df, {"a": "x", "old": "new"}).dtypes == [("x", "int"), ("b", "int"), ("new", "double")]
+    assert keep_unless(df, F.col("b") > 0).count() == 1
+
+
+def test_one_per_key_equals_a_ranking_window(spark, rows):
+    rng = random.Random(1)
+    data = [(rng.choice([None, 1, 2, 3]), rng.choice([None, 1, 2]), rng.choice([None, "a", "b"])) for _ in range(200)]
+    df = spark.createDataFrame(data, "k int, v int, w string")
+    ranked = df.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("v", "w")))
+    assert rows(one_per_key(df, ["k"])) == rows(ranked.where("r = 1").drop("r"))
+    by_w = df.withColumn("r", F.row_number().over(Window.partitionBy("k").orderBy("w", "v")))
+    assert rows(one_per_key(df, ["k"], order=["w"])) == rows(by_w.where("r = 1").drop("r"))
+    assert one_per_key(df.select("k"), ["k"]).count() == 4
+    assert tuple(removed_by_key(df, ["k"]).first()) == (200, 4, 196)
+
+
+def test_one_per_key_reduces_before_the_shuffle(spark):
+    df = spark.range(10).select((F.col("id") % 3).alias("k"), F.col("id").alias("v"))
+    plan = one_per_key(df, ["k"])._jdf.queryExecution().executedPlan().toString()
+    assert "partial_min" in plan and "Window" not in plan
+
+
+def test_except_keeps_unknown_conditions(spark, rows):
+    df = spark.createDataFrame([(1, 2), (1, 2), (3, None), (5, 1)], "a int, b int")
+    assert rows(except_rows(df, F.col("b") < F.col("a"))) == [(1, 2), (3, None)]
+
+
+def test_copies_round_trip(spark, rows):
+    df = spark.createDataFrame([(1, "a")] * 25 + [(2, None)] * 3 + [(3, "c")], "k int, v string")
+    packed = pack_copies(df)
+    assert packed.count() == 3
+    assert rows(unpack_copies(packed, per_chunk=10)) == rows(df)
+
+
+def shop(spark, hot):
+    """Orders, items and payments where order 1 holds a third of all items, half of them equal rows."""
+    orders = spark.createDataFrame([(i, f"s{i % 3}") for i in range(20)] + [(None, "s9")], "id int, status string")
+    items = [(1, i // 2 if i < hot // 2 else -1) for i in range(hot)] + [(i % 15 + 2, i) for i in range(2 * hot)]
+    items += [(None, 7), (99, 8)]
+    payments = [(1, i % 5) for i in range(12)] + [(3, 1), (3, 1), (5, 2)]
+    return (
+        orders,
+        spark.createDataFrame(items, "id int, item int").repartition(5),
+        spark.createDataFrame(payments, "id int, pay int"),
+    )
+
+
+def test_hot_keys(spark):
+    _, items, payments = shop(spark, 300)
+    assert hot_keys({"items": items, "payments": payments}, "id", hot_rows=100) == [1]
+    assert hot_keys({"items": items}, "id", hot_rows=1000) == []
+    assert hot_keys({"items": items.where("false")}, "id", hot_rows=1) == []
+
+
+@pytest.mark.parametrize("hot_rows", [7, 40, 100])
+def test_hot_joins_equal_plain_joins(spark, hot_rows):
+    orders, items, payments = shop(spark, 300)
+    plain = orders.join(items, "id", "left").join(payments, "id", "left")
+    safe = left_join_all(orders, {"items": items, "payments": payments}, "id", hot_rows=hot_rows)
+    assert safe.columns == plain.columns
+    assert Counter(map(tuple, safe.collect())) == Counter(map(tuple, plain.collect()))
+    unique = left_join_all(
+        orders, {"items": items, "payments": payments}, "id", unique_rows=True, hot_rows=hot_rows
+    )
+    assert Counter(map(tuple, unique.collect())) == Counter(map(tuple, plain.distinct().collect()))
+
+
+def test_hot_join_spreads_the_hot_key(spark):
+    orders = spark.createDataFrame([(1,), (2,)], "id int")
+    items = spark.range(4000).select(F.lit(1).alias("id"), F.col("id").alias("item"))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        joined = left_join_all(orders, {"items": items}, "id", unique_rows=True, hot_rows=100)
+        sizes = [r["count"] for r in joined.where("item is not null").groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 4000 and len(sizes) == 4 and max(sizes) < 2500
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+        spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_hot_base_and_branch(spark):
+    base = spark.createDataFrame([(1, i // 2) for i in range(60)] + [(2, 0), (None, 1)], "k int, c int")
+    branch = spark.createDataFrame([(1, i) for i in range(40)] + [(3, 0)], "k int, g int")
+    plain = base.join(branch, "k", "left")
+    safe = left_join_all(base, {"g": branch}, "k", hot_rows=10)
+    assert Counter(map(tuple, safe.collect())) == Counter(map(tuple, plain.collect()))
+
+
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("one_task_rows", [10, 97, 10_000])
+def test_running_totals_in_ranges_equal_one_window(spark, rows, descending, one_task_rows):
+    rng = random.Random(3)
+    values = sorted({round(rng.lognormvariate(0, 2), 3) for _ in range(800)})
+    df = spark.createDataFrame([(v, rng.randrange(5), rng.randrange(5)) for v in values], "v double, a int, b int")
+    got = {r.v: (r.a_upto, r.b_upto) for r in running_totals(df, "v", ["a", "b"], descending, one_task_rows).collect()}
+    a = b = 0
+    for r in sorted(df.collect(), reverse=descending):
+        a, b = a + r.a, b + r.b
+        assert got[r.v] == (a, b)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.one_of(st.none(), st.integers(-20, 20)), max_size=40))
+def test_quantiles_are_the_lower_order_statistic(spark, values):
+    df = spark.createDataFrame([(v,) for v in values], "v int")
+    known = sorted(v for v in values if v is not None)
+    counts, total = value_counts_upto(df, "v", one_task_rows=5)
+    got = counts.agg(*[quantile_of("v", p, total) for p in (0.25, 0.5, 0.75)]).first()
+    expect = [known[max(0, -int(-p * len(known) // 1) - 1)] if known else None for p in (0.25, 0.5, 0.75)]
+    assert list(got) == expect
+
+
+def test_medians_with_and_without_ranges(spark):
+    rng = random.Random(5)
+    data = [(rng.uniform(0, 100), rng.choice([None, 1.0, 2.0]), None) for _ in range(501)]
+    df = spark.createDataFrame(data, "a double, b double, c double")
+    expect = {"a": sorted(r[0] for r in data)[250], "c": None}
+    for size in (50, 10_000):
+        got = exact_medians(df, ["a", "b", "c"], one_task_rows=size)
+        assert {k: got[k] for k in expect} == expect and got["b"] in (1.0, 2.0)
+
+
+def step_by_step(data, width):
+    """The rule in plain Python: fill a column, filter it, then look at the next."""
+    rows = [list(r) for r in data]
+    for c in range(1, width + 1):
+        known = sorted(r[c] for r in rows if r[c] is not None)
+        if known:
+            median = known[(len(known) + 1) // 2 - 1]
+            for r in rows:
+                r[c] = median if r[c] is None else r[c]
+        rows = [r for r in rows if r[c] is not None and r[c] > 0]
+    return sorted(map(tuple, rows))
+
+
+@pytest.mark.parametrize("seed, low", [(1, 0), (2, -3), (3, -9), (4, -2)])
+def test_median_impute_equals_the_sequential_rule(spark, seed, low):
+    rng = random.Random(seed)
+    data = [(i, *(rng.choice([None, *map(float, range(low, 9))]) for _ in range(3))) for i in range(80)]
+    df = spark.createDataFrame(data, "id int, a double, b double, c double")
+    got = sorted(map(tuple, median_impute(df, ["a", "b", "c"]).collect()))
+    assert got == step_by_step(data, 3)
+
+
+def test_all_null_measure_removes_every_row(spark):
+    df = spark.createDataFrame([(1.0, None), (2.0, None)], "a double, b double")
+    assert median_impute(df, ["a", "b"]).count() == 0
+
+
+@pytest.mark.parametrize("hot_rows", [50, 1_000_000])
+def test_forward_fill(spark, hot_rows):
+    rng = random.Random(7)
+    data = [
+        (rng.choice([None, "z1", "z1", "z1", "z2", f"z{i}"]), i, rng.choice([None, None, "x", "y"]), rng.choice([None, 1, 2]))
+        for i in range(600)
+    ]
+    rng.shuffle(data)
+    df = spark.createDataFrame(data, "zip string, id int, city string, n int")
+    got = {r.id: (r.city, r.n) for r in forward_fill(df, ["city", "n"], "zip", ["id"], hot_rows=hot_rows).collect()}
+    last = {}
+    for z, i, city, n in sorted(data, key=lambda r: r[1]):
+        before = last.get(z, (None, None))
+        last[z] = (city if city is not None else before[0], n if n is not None else before[1])
+        assert got[i] == last[z]
+    assert len(got) == 600
+
+
+def test_forward_fill_is_one_window(spark):
+    df = spark.createDataFrame([("z", 1, None, 1)], "zip string, id int, a int, b int")
+    plan = forward_fill(df, ["a", "b"], "zip", ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window [") == 1

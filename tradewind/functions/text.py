@@ -5,6 +5,7 @@ from __future__ import annotations
 import unicodedata
 from functools import lru_cache
 
+import pandas as pd
 from pyspark.sql import Column, functions as F
 
 
@@ -37,14 +38,10 @@ def strip_accents(value: Column) -> Column:
 
 def strip_accents_arrow(value: Column) -> Column:
     """Full NFKD form, Arrow-batched, for text with ligatures or other multi-letter forms."""
-    import pandas as pd
-
     @F.pandas_udf("string")
     def bare(texts: pd.Series) -> pd.Series:
-        import unicodedata as ud
-
         return texts.map(
-            lambda t: "".join(c for c in ud.normalize("NFKD", t) if not ud.combining(c)),
+            lambda t: "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)),
             na_action="ignore",
         )
 
