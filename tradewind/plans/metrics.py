@@ -87,13 +87,16 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(feature_a, feature_b, correlation): Pearson, each unordered pair once, all in one pass."""
+    """(feature_a, feature_b, correlation): Pearson, each unordered pair once, all in one pass.
+
+    NULL for a constant column, where ``corr`` would fail on a division by zero.
+    """
     pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
     cells = [
         F.struct(
             F.lit(a).alias("feature_a"),
             F.lit(b).alias("feature_b"),
-            F.corr(F.col(a).cast("double"), F.col(b).cast("double")).alias("correlation"),
+            (F.covar_pop(a, b) / F.nullif(F.stddev_pop(a) * F.stddev_pop(b), F.lit(0.0))).alias("correlation"),
         )
         for a, b in pairs
     ]

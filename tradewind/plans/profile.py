@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
@@ -63,4 +64,6 @@ def profile_layer(spark: SparkSession, base: str, names: Sequence[str]) -> DataF
                 rows.append((name, "ok", df.count(), len(df.columns), df.schema.simpleString()))
         except PySparkException as error:
             rows.append((name, f"failed: {error.getCondition() or type(error).__name__}", None, None, None))
+        except Py4JJavaError as error:  # a file that cannot be read surfaces as a plain JVM error
+            rows.append((name, f"failed: {error.java_exception.getClass().getSimpleName()}", None, None, None))
     return spark.createDataFrame(rows, kinds)
