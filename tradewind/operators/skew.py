@@ -15,24 +15,28 @@ from pyspark.sql import DataFrame, functions as F
 from tradewind.operators.copies import COPIES, pack_copies, unpack_copies
 
 HOT_ROWS = 1_000_000  # rows of one key that a single task should not have to hold
-HOT_SHARE = 1_000  # a hot key also holds more than 1/1000 of its table: at most 1000 such keys
+HOT_SHARE = 4_000  # a hot key also holds more than 1/4000 of its table: at most 4000 such keys
+TRACKED = 20_000  # values one sketch tracks: enough to find every value over that share
+MERGE_GROUPS = 64  # sketches are merged in two steps, so that one task never reads all of them
 MAX_SALTS = 4_096  # more parts than this do not run at the same time anyway
 
 
 def hot_keys(tables: Mapping[str, DataFrame], key: str, hot_rows: int = HOT_ROWS) -> list:
     """Values of ``key`` that are hot in any of ``tables``.
 
-    One pass over the key columns with a mergeable frequent-items sketch. It tracks 10,000 values,
-    so each value over 1/1000 of a table is found. The answer steers the plan, never the result.
+    One pass over the key columns with mergeable frequent-items sketches. The answer steers the
+    plan, never the result.
     """
     tagged = None
     for name, df in tables.items():
         part = df.select(F.lit(name).alias("name"), F.col(key).alias("key")).where(F.col("key").isNotNull())
         tagged = part if tagged is None else tagged.unionByName(part)
-    found = tagged.groupBy("name").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.expr(f"approx_top_k(key, {HOT_SHARE}, 10000)").alias("top"),
+    partial = tagged.groupBy("name", (F.spark_partition_id() % MERGE_GROUPS).alias("part")).agg(
+        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k_accumulate(key, {TRACKED})").alias("sketch")
     )
+    found = partial.groupBy("name").agg(
+        F.sum("n").alias("n"), F.expr(f"approx_top_k_combine(sketch, {TRACKED})").alias("sketch")
+    ).withColumn("top", F.expr(f"approx_top_k_estimate(sketch, {HOT_SHARE})"))
     hot = found.select("n", F.explode("top").alias("t")).where(
         (F.col("t.count") >= hot_rows) & (F.col("t.count") * HOT_SHARE >= F.col("n"))
     )
@@ -98,7 +102,7 @@ def _salted_chain(base, branches, key, unique_rows, hot_rows):
 
 
 def _rows_per_key(df, key):
-    # df holds hot keys only: at most 1000 per input table.
+    # df holds hot keys only: at most HOT_SHARE per input table.
     return {row[0]: row[1] for row in df.groupBy(key).count().collect()}
 
 

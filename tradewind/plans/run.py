@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import logging
 from dataclasses import dataclass, field
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -26,7 +27,7 @@ from tradewind.plans.training import (
 )
 from tradewind.plans.features import label_encode
 from tradewind.plans.wrangle import build_commerce
-from tradewind.session import prepare
+from tradewind.session import prepare, run_together
 from tradewind.sources.layers import LayerPaths, read_layer, read_table, register_layer, write_table
 from tradewind.sources.rawcsv import stage_wide_csv
 from tradewind.sources.reportfiles import read_report, write_report
@@ -44,16 +45,22 @@ class RunResult:
     model_errors: dict[str, str] = field(default_factory=dict)
 
 
+def write_all(spark: SparkSession, tables: dict[str, DataFrame], base: str) -> None:
+    run_together(spark, [partial(write_table, df, base, name) for name, df in tables.items()])
+
+
 def normalize_stage(spark: SparkSession, paths: LayerPaths, multi_line: bool = True) -> None:
     wide = stage_wide_csv(spark, paths.raw_csv, paths.staged, multi_line=multi_line)
-    for name, df in normalize(wide).items():
-        write_table(df, paths.normalized, name)
+    write_all(spark, normalize(wide), paths.normalized)
 
 
 def clean_stage(spark: SparkSession, paths: LayerPaths) -> None:
-    for name, df in read_layer(spark, paths.normalized, TABLES).items():
+    def one(name: str, df: DataFrame) -> None:
         write_table(CLEANERS[name](df), paths.cleaned, name)
 
+    tables = read_layer(spark, paths.normalized, TABLES)
+    run_together(spark, [partial(one, name, df) for name, df in tables.items()])
+
 
 def wrangle_stage(spark: SparkSession, paths: LayerPaths) -> None:
     commerce = build_commerce(read_layer(spark, paths.cleaned, TABLES))
@@ -65,7 +72,8 @@ def wrangle_stage(spark: SparkSession, paths: LayerPaths) -> None:
 def report_stage(spark: SparkSession, paths: LayerPaths) -> dict[str, str]:
     """Each report scans only its own columns of the stored table; charts are built from stored reports."""
     commerce = read_table(spark, paths.wrangled, "commerce")
-    written = {name: rep.run_report(name, commerce, paths.reports) for name in rep.REPORTS}
+    jobs = [partial(rep.run_report, name, commerce, paths.reports) for name in rep.REPORTS]
+    written = dict(zip(rep.REPORTS, run_together(spark, jobs)))
     written["eda_kpis"] = write_report(rep.eda_kpis(commerce), paths.reports, "eda_kpis")
     stored = {name: read_report(spark, paths.reports, name) for name in rep.REPORTS}
     written["eda_chart_series"] = write_report(rep.eda_chart_series(stored), paths.reports, "eda_chart_series")

@@ -4,7 +4,10 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -35,3 +38,12 @@ def stored(df: DataFrame) -> DataFrame:
     path = f"{shared_folder(df.sparkSession)}/tradewind-{uuid.uuid4()}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def run_together(spark: SparkSession, jobs: Iterable[Callable[[], object]], at_once: int = 4) -> list:
+    """Submit independent jobs side by side, so that one job's last tasks do not leave the cluster idle.
+
+    Results come in the order of ``jobs``; the first failure is raised once the others have ended.
+    """
+    with ThreadPoolExecutor(max_workers=at_once) as pool:
+        return [f.result() for f in [pool.submit(inheritable_thread_target(spark)(job)) for job in jobs]]
