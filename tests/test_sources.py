@@ -79,6 +79,21 @@ def test_layer_is_snappy_with_microseconds(spark, tmp_path):
     assert meta.schema_arrow.field("t").type.unit == "us"
 
 
+def test_shuffles_are_sized_by_the_files(spark, tmp_path):
+    from tradewind.session import size_shuffles
+
+    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    base = str(tmp_path)
+    for name in ("a", "b"):
+        write_table(spark.range(1000).repartition(1), base, name)
+    assert size_shuffles(spark, base) == before
+    try:
+        files = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+        assert size_shuffles(spark, base, bytes_per_partition=100) == -(-files // 100) > before
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def test_paths():
     paths = LayerPaths.under("/data/", "/in.csv")
     assert (paths.cleaned, paths.raw_csv, paths.database) == ("/data/cleaned", "/in.csv", None)

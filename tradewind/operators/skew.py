@@ -59,6 +59,8 @@ def left_join_all(
     the same keys as the branches, for a cheaper look at the key counts. A key that is hot in
     ``base`` alone is left to adaptive execution, which splits that side.
     """
+    # A row without a key matches nothing; kept, all of them would travel to one task.
+    branches = {name: branch.where(F.col(key).isNotNull()) for name, branch in branches.items()}
     hot = hot_keys(probe or branches, key, hot_rows)
     if not hot:
         return _chain(base, branches, key, unique_rows)

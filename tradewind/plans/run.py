@@ -27,7 +27,7 @@ from tradewind.plans.training import (
 )
 from tradewind.plans.features import label_encode
 from tradewind.plans.wrangle import build_commerce
-from tradewind.session import prepare, run_together
+from tradewind.session import prepare, run_together, size_shuffles
 from tradewind.sources.layers import LayerPaths, read_layer, read_table, register_layer, write_table
 from tradewind.sources.rawcsv import stage_wide_csv
 from tradewind.sources.reportfiles import read_report, write_report
@@ -51,6 +51,7 @@ def write_all(spark: SparkSession, tables: dict[str, DataFrame], base: str) -> N
 
 def normalize_stage(spark: SparkSession, paths: LayerPaths, multi_line: bool = True) -> None:
     wide = stage_wide_csv(spark, paths.raw_csv, paths.staged, multi_line=multi_line)
+    size_shuffles(spark, paths.staged)
     write_all(spark, normalize(wide), paths.normalized)
 
 
@@ -58,11 +59,13 @@ def clean_stage(spark: SparkSession, paths: LayerPaths) -> None:
     def one(name: str, df: DataFrame) -> None:
         write_table(CLEANERS[name](df), paths.cleaned, name)
 
+    size_shuffles(spark, paths.normalized)
     tables = read_layer(spark, paths.normalized, TABLES)
     run_together(spark, [partial(one, name, df) for name, df in tables.items()])
 
 
 def wrangle_stage(spark: SparkSession, paths: LayerPaths) -> None:
+    size_shuffles(spark, paths.cleaned)
     commerce = build_commerce(read_layer(spark, paths.cleaned, TABLES))
     if commerce is None:
         raise ValueError("customers, orders and order_items are needed to build the commerce table")

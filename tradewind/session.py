@@ -2,22 +2,36 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Set what the results depend on. Sizing (memory, shuffle partitions) stays with the cluster."""
+    """Set what the results depend on. Memory and parallelism stay with the cluster."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.parquet.outputTimestampType", "TIMESTAMP_MICROS")
     return spark
 
 
+def size_shuffles(spark: SparkSession, folder: str, bytes_per_partition: int = 64 * 1024 * 1024) -> int:
+    """Raise ``spark.sql.shuffle.partitions`` to fit the Parquet files under ``folder``.
+
+    64 MB of Parquet is some 250 MB of shuffled rows. The setting is never lowered: adaptive
+    execution merges partitions that turn out small, but cannot split too few of them.
+    """
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    stored_bytes = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]  # sizes only, no content
+    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(stored_bytes / bytes_per_partition))
+    spark.conf.set("spark.sql.shuffle.partitions", wanted)
+    return wanted
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder the cluster names in ``spark.checkpoint.dir``; a temporary one in local mode only."""
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
