@@ -35,7 +35,7 @@ def test_orders_from_text(spark):
 
 def test_items(spark):
     data = [("a", "1", "p", "s", "2018-01-02 03:04:05", price, freight) for price, freight in
-            [("0.85", "0"), ("0", "1"), (None, "1"), ("5", "-0.5"), ("5", None), ("12.5", "3"), ("x", "1")]]
+            [("0.85", "0"), ("0", "1"), (None, "1"), ("5", "-0.5"), ("5", None), ("12.5", "3"), ("x", "1"), ("NaN", "1")]]
     got = cl.clean_items(table(spark, "order_items", data))
     assert sorted(r.price for r in got.collect()) == [0.85, 12.5]
     assert "shipping_deadline" in got.columns and "shipping_limit_date" not in got.columns

@@ -11,7 +11,7 @@ from tradewind.operators.dedupe import except_rows, one_per_key, removed_by_key
 from tradewind.operators.fill import forward_fill
 from tradewind.operators.impute import median_impute
 from tradewind.operators.running import exact_medians, quantile_of, running_totals, value_counts_upto
-from tradewind.operators.skew import hot_keys, left_join_all
+from tradewind.operators.skew import _grid, hot_keys, left_join_all
 
 
 def test_columns(spark):
@@ -97,9 +97,18 @@ def test_hot_join_spreads_the_hot_key(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+def test_each_hot_key_has_its_own_grid():
+    grid = _grid({"a": 1, "b": 5000, "c": 10}, {"a": 3000, "b": 2}, 1000)
+    assert grid == [("a", 1, 3, True), ("b", 5, 1, True), ("c", 1, 1, False)]
+
+
 def test_hot_base_and_branch(spark):
-    base = spark.createDataFrame([(1, i // 2) for i in range(60)] + [(2, 0), (None, 1)], "k int, c int")
-    branch = spark.createDataFrame([(1, i) for i in range(40)] + [(3, 0)], "k int, g int")
+    base = spark.createDataFrame(
+        [(1, i // 2) for i in range(60)] + [(4, i) for i in range(50)] + [(5, 0), (2, 0), (None, 1)], "k int, c int"
+    )
+    branch = spark.createDataFrame(
+        [(1, i) for i in range(40)] + [(5, i) for i in range(30)] + [(4, 1), (3, 0), (None, 5)], "k int, g int"
+    )
     plain = base.join(branch, "k", "left")
     safe = left_join_all(base, {"g": branch}, "k", hot_rows=10)
     assert Counter(map(tuple, safe.collect())) == Counter(map(tuple, plain.collect()))

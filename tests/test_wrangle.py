@@ -132,3 +132,20 @@ def test_reports(cleaned, spark, tmp_path):
     empty = commerce.where(F.lit(False))
     assert rp.product_price_distribution(empty).first().p25 is None
     assert tuple(rp.eda_kpis(empty).first()) == (0, 0.0, 0.0, 0.0)
+
+
+def test_reports_scan_only_their_columns(spark, cleaned, tmp_path):
+    write_table(wr.build_commerce(cleaned), str(tmp_path), "commerce")
+    commerce = spark.read.parquet(f"{tmp_path}/commerce")
+
+    def scanned(df):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        return [line.split("ReadSchema: ")[1] for line in plan.splitlines() if "ReadSchema" in line], plan
+
+    schema, _ = scanned(rp.order_status_distribution(commerce))
+    assert schema == ["struct<order_status:string>"]
+    schema, plan = scanned(rp.monthly_orders_revenue(commerce))
+    assert schema == ["struct<order_status:string,order_purchase_timestamp:timestamp,price:double>"]
+    assert "IsNotNull(price)" in plan
+    schema, plan = scanned(rp.top_states_by_order_count(commerce))
+    assert "TakeOrderedAndProject" in plan and "IsNotNull(customer_state)" in plan

@@ -10,7 +10,7 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, functions as F, types as T
 
 from tradewind.operators.copies import COPIES, pack_copies, unpack_copies
 
@@ -108,8 +108,16 @@ def _rows_per_key(df, key):
     return {row[0]: row[1] for row in df.groupBy(key).count().collect()}
 
 
-def _salts(rows_per_key, hot_rows):
-    return min(MAX_SALTS, math.ceil(max(rows_per_key.values(), default=1) / hot_rows))
+def _grid(left_rows, right_rows, hot_rows):
+    """Per key of the left side: salts for left rows, salts for right rows, and whether it has right rows.
+
+    Each key has its own grid: one that is hot on one side only must not repeat that side.
+    """
+
+    def salts(rows):
+        return min(MAX_SALTS, max(1, math.ceil(rows / hot_rows)))
+
+    return [(k, salts(n), salts(right_rows.get(k, 0)), k in right_rows) for k, n in left_rows.items()]
 
 
 def _grid_join(left, right, key, left_rows, right_rows, hot_rows):
@@ -119,27 +127,40 @@ def _grid_join(left, right, key, left_rows, right_rows, hot_rows):
     run again. A left row meets every right row of its key exactly once. Where the key has right
     rows, a grid cell without any yields an extra unmatched row, which is dropped.
     """
-    n_left, n_right = _salts(left_rows, hot_rows), _salts(right_rows, hot_rows)
-    matched = F.col(key).isin(list(right_rows)) if right_rows else F.lit(False)
-
-    def salts(n):
-        return F.sequence(F.lit(0), F.lit(n - 1))
+    schema = T.StructType(
+        [
+            left.schema[key],
+            T.StructField("__n_left", T.IntegerType()),
+            T.StructField("__n_right", T.IntegerType()),
+            T.StructField("__matched", T.BooleanType()),
+        ]
+    )
+    grid = left.sparkSession.createDataFrame(_grid(left_rows, right_rows, hot_rows), schema)
+    grid = F.broadcast(grid)  # one row per hot key
 
     def own(df, n):
-        return F.pmod(F.xxhash64(*df.columns), F.lit(n)).cast("int")
+        return F.pmod(F.xxhash64(*df.columns), F.col(n)).cast("int")
+
+    def every(n):
+        return F.sequence(F.lit(0), F.col(n) - 1)
 
-    spread_left = left.withColumn("__a", own(left, n_left)).withColumn(
-        "__b", F.explode(F.when(matched, salts(n_right)).otherwise(F.array(F.lit(0))))
-    )
     right = right.withColumnRenamed(COPIES, "__right_copies")
+    spread_left = (
+        left.join(grid, key)
+        .withColumn("__a", own(left, "__n_left"))
+        .withColumn("__b", F.explode(F.when(F.col("__matched"), every("__n_right")).otherwise(F.array(F.lit(0)))))
+        .drop("__n_left", "__n_right")
+    )
     spread_right = (
-        right.withColumn("__b", own(right, n_right))
-        .withColumn("__a", F.explode(salts(n_left)))
+        right.join(grid, key)
+        .withColumn("__b", own(right, "__n_right"))
+        .withColumn("__a", F.explode(every("__n_left")))
         .withColumn("__hit", F.lit(True))
+        .drop("__n_left", "__n_right", "__matched")
     )
     return (
         spread_left.join(spread_right, [key, "__a", "__b"], "left")
-        .where(F.col("__hit").isNotNull() | ~matched)
+        .where(F.col("__hit").isNotNull() | ~F.col("__matched"))
         .withColumn(COPIES, F.col(COPIES) * F.coalesce(F.col("__right_copies"), F.lit(1)))
-        .drop("__a", "__b", "__hit", "__right_copies")
+        .drop("__a", "__b", "__hit", "__matched", "__right_copies")
     )

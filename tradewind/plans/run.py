@@ -13,7 +13,7 @@ from tradewind.plans.clean import CLEANERS
 from tradewind.plans.features import features_base, features_enhanced, stored_extract
 from tradewind.plans.metrics import best_model, class_balance, correlation_pairs, data_kpis
 from tradewind.plans.normalize import normalize
-from tradewind.plans.profile import profile_layer
+from tradewind.plans.profile import profile_layer, row_counts
 from tradewind.plans.training import (
     ALL_MODELS,
     BASE_MODELS,
@@ -39,6 +39,7 @@ log = logging.getLogger(__name__)
 @dataclass
 class RunResult:
     profile: DataFrame
+    clean_rows: DataFrame
     registered: list[str]
     reports: dict[str, str]
     models: dict[str, str] = field(default_factory=dict)
@@ -124,9 +125,11 @@ def run_all(
     normalize_stage(spark, paths, multi_line)
     profile = profile_layer(spark, paths.normalized, list(TABLES))
     clean_stage(spark, paths)
+    # Row counts come from the file footers; against the profile they show what cleaning removed.
+    clean_rows = row_counts(read_layer(spark, paths.cleaned, TABLES))
     wrangle_stage(spark, paths)
     registered = register_layer(spark, paths.wrangled, ["commerce"], paths.database)
-    result = RunResult(profile, registered, report_stage(spark, paths))
+    result = RunResult(profile, clean_rows, registered, report_stage(spark, paths))
     if with_models:
         for name, stage in (("base", base_model_stage), ("enhanced", enhanced_model_stage)):
             try:
