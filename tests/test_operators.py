@@ -67,6 +67,9 @@ def test_hot_keys(spark):
     _, items, payments = shop(spark, 300)
     assert hot_keys({"items": items, "payments": payments}, "id", hot_rows=100) == [1]
     assert hot_keys({"items": items}, "id", hot_rows=1000) == []
+    nameless = items.withColumn("id", F.when(F.col("id") != 1, F.col("id")))
+    assert hot_keys({"items": nameless}, "id", hot_rows=100) == []
+    assert hot_keys({"items": nameless}, "id", hot_rows=100, with_null=True) == [None]
     assert hot_keys({"items": items.where("false")}, "id", hot_rows=1) == []
 
 

@@ -21,15 +21,19 @@ MERGE_GROUPS = 64  # sketches are merged in two steps, so that one task never re
 MAX_SALTS = 4_096  # more parts than this do not run at the same time anyway
 
 
-def hot_keys(tables: Mapping[str, DataFrame], key: str, hot_rows: int = HOT_ROWS) -> list:
-    """Values of ``key`` that are hot in any of ``tables``.
+def hot_keys(
+    tables: Mapping[str, DataFrame], key: str, hot_rows: int = HOT_ROWS, with_null: bool = False
+) -> list:
+    """Values of ``key`` that are hot in any of ``tables``; NULL counts as a value if ``with_null``.
 
     One pass over the key columns with mergeable frequent-items sketches. The answer steers the
     plan, never the result.
     """
     tagged = None
     for name, df in tables.items():
-        part = df.select(F.lit(name).alias("name"), F.col(key).alias("key")).where(F.col("key").isNotNull())
+        part = df.select(F.lit(name).alias("name"), F.col(key).alias("key"))
+        if not with_null:
+            part = part.where(F.col("key").isNotNull())
         tagged = part if tagged is None else tagged.unionByName(part)
     partial = tagged.groupBy("name", (F.spark_partition_id() % MERGE_GROUPS).alias("part")).agg(
         F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k_accumulate(key, {TRACKED})").alias("sketch")
