@@ -64,7 +64,7 @@ def fit(docs: DataFrame, learnable: str = "true", smoothing: float = 0.1) -> Lan
         total = sum(np.frombuffer(x, np.int64) for x in frame["counts"])
         return frame.iloc[:1].assign(docs=frame["docs"].sum(), counts=[total.tobytes()])
 
-    kind = "lang string, slot int, docs long, counts binary"
+    kind = "lang string, slot long, docs long, counts binary"
     usable = docs.where(F.expr(learnable)).where("text IS NOT NULL AND lang IS NOT NULL").select("text", "lang")
     parts = usable.mapInArrow(count, kind).groupBy("lang", "slot").applyInPandas(add_up, kind).collect()
     languages = sorted({r["lang"] for r in parts})

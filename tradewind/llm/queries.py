@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import language
+from tradewind.llm import language, reputation
 from tradewind.llm.folds import in_fold
 
 
@@ -12,6 +12,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return reputation.judge(table(spark, sf_dir, "pages").select("page_id", "url"), reputation.RULES).drop("url")
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     docs = docs.withColumn("held_out", in_fold("doc_id", 5, 0))
@@ -19,6 +23,6 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES = {"op6_language": op6_language}
+QUERIES = {"op4_host_reputation": op4_host_reputation, "op6_language": op6_language}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op4_host_reputation": reputation.SQL}
