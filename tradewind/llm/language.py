@@ -9,6 +9,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
 from tradewind.llm.chars import has_letter, ngram_ids
 
@@ -107,5 +108,5 @@ def predict(docs: DataFrame, model: LanguageModel) -> DataFrame:
             )
 
     plain = docs.select(*kept)
-    schema = plain.schema.add("lang_pred", "string").add("score", "double")
-    return plain.mapInArrow(score, schema)
+    added = StructType().add("lang_pred", "string").add("score", "double")
+    return plain.mapInArrow(score, StructType(plain.schema.fields + added.fields))

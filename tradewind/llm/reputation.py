@@ -64,12 +64,17 @@ def _strength(units: DataFrame, least: float, most: float) -> float:
     return most if rho <= 0 else min(most, max(least, 1 / rho - 1))
 
 
-def _posterior(level: DataFrame, strength: float, mean: str) -> DataFrame:
-    return level.withColumn(mean, (F.col("good") + strength * F.col("prior")) / (F.col("n") + strength))
+def _posterior(level: DataFrame, strength: float) -> DataFrame:
+    """``mean`` and ``var`` of each unit; what is not known of the prior's mean (``prior_var``) counts too."""
+    total = F.col("n") + strength
+    return level.withColumn("mean", (F.col("good") + strength * F.col("prior")) / total).withColumn(
+        "var",
+        F.col("mean") * (1 - F.col("mean")) / (total + 1) + F.pow(F.lit(strength) / total, 2) * F.col("prior_var"),
+    )
 
 
 def host_reputation(
-    outcomes: DataFrame, quantile: float = 1.64, least_strength: float = 1.0, most_strength: float = 1000.0
+    outcomes: DataFrame, quantile: float = 2.33, least_strength: float = 1.0, most_strength: float = 1000.0
 ) -> DataFrame:
     """``host, n, good, mean, bound``: how good pages of a host are, from labelled outcomes.
 
@@ -77,7 +82,7 @@ def host_reputation(
     every host in it gets a row. A host is shrunk to its registered domain (its last two labels), that
     to its suffix (the last label), and that to the mean of all outcomes (0.5 without any). Each
     level's prior strength is fitted to the counts of that level. ``bound`` is the mean plus
-    ``quantile`` standard deviations of the host's posterior.
+    ``quantile`` standard deviations of the host's posterior, the parents' included.
 
     Pages are counted per host before anything is shuffled, so that a host with a third of all rows
     costs one row per task. A NULL host is the empty host.
@@ -94,24 +99,23 @@ def host_reputation(
     counts = (F.sum("n").alias("n"), F.sum("good").alias("good"))
 
     suffixes = hosts.groupBy("suffix").agg(*counts).withColumn("prior", F.lit(float(overall)))
-    suffixes = _posterior(suffixes, _strength(suffixes, least_strength, most_strength), "suffix_mean")
-    domains = hosts.groupBy("suffix", "domain").agg(*counts)
-    domains = domains.join(suffixes.select("suffix", F.col("suffix_mean").alias("prior")), "suffix")
-    domains = _posterior(domains, _strength(domains, least_strength, most_strength), "domain_mean")
-    hosts = hosts.join(domains.select("suffix", "domain", F.col("domain_mean").alias("prior")), ["suffix", "domain"])
-    strength = _strength(hosts, least_strength, most_strength)
-    mean, total = F.col("mean"), F.col("n") + strength
-    return _posterior(hosts, strength, "mean").select(
-        "host", "n", "good", "mean", (mean + quantile * F.sqrt(mean * (1 - mean) / (total + 1))).alias("bound")
-    )
+    suffixes = suffixes.withColumn("prior_var", F.lit(0.0))
+    suffixes = _posterior(suffixes, _strength(suffixes, least_strength, most_strength))
+    above = (F.col("mean").alias("prior"), F.col("var").alias("prior_var"))
+    domains = hosts.groupBy("suffix", "domain").agg(*counts).join(suffixes.select("suffix", *above), "suffix")
+    domains = _posterior(domains, _strength(domains, least_strength, most_strength))
+    hosts = hosts.join(domains.select("suffix", "domain", *above), ["suffix", "domain"])
+    hosts = _posterior(hosts, _strength(hosts, least_strength, most_strength))
+    return hosts.select("host", "n", "good", "mean", (F.col("mean") + quantile * F.sqrt("var")).alias("bound"))
 
 
-def judge(pages: DataFrame, rules: list[Rule], threshold: float = 0.5, quantile: float = 1.64) -> DataFrame:
+def judge(pages: DataFrame, rules: list[Rule], threshold: float = 0.5, quantile: float = 2.33) -> DataFrame:
     """``pages`` with ``host, path, rule, verdict`` added (columns of these names are replaced).
 
     The longest fitting rule decides. Its verdicts are also the labelled outcomes that hosts are judged
     by; a page without a rule is blocked if the upper posterior bound of its host's good share is
-    below ``threshold``, so a host without evidence is allowed. NULL urls have an empty host, which is
+    below ``threshold``: with the default ``quantile``, if that is 99 % sure. A host without outcomes has its
+    domain's reputation, with all that is not known about it. NULL urls have an empty host, which is
     judged like any other. Every row of ``pages`` comes back once, repeated ones too.
     """
     host, path = host_and_path(F.col("url"))
@@ -160,22 +164,26 @@ sk AS (SELECT CASE WHEN coalesce(scale, 0) = 0 THEN 1.0 WHEN ov <= 0 THEN 1000.0
       ELSE least(1000.0, greatest(1.0, scale / ov - 1)) END AS k
     FROM (SELECT sum((good - n * prior) ** 2 - n * prior * (1 - prior)) AS ov,
       sum(n * (n - 1) * prior * (1 - prior)) AS scale FROM s0)),
-s1 AS (SELECT suffix, (good + k * prior) / (n + k) AS mean FROM s0, sk),
-d0 AS (SELECT h.suffix, h.domain, sum(h.n) AS n, sum(h.good) AS good, any_value(s1.mean) AS prior
+s1 AS (SELECT suffix, mean, mean * (1 - mean) / (total + 1) AS var
+    FROM (SELECT suffix, (good + k * prior) / (n + k) AS mean, n + k AS total FROM s0, sk)),
+d0 AS (SELECT h.suffix, h.domain, sum(h.n) AS n, sum(h.good) AS good, any_value(s1.mean) AS prior,
+    any_value(s1.var) AS prior_var
     FROM hosts h JOIN s1 USING (suffix) GROUP BY h.suffix, h.domain),
 dk AS (SELECT CASE WHEN coalesce(scale, 0) = 0 THEN 1.0 WHEN ov <= 0 THEN 1000.0
       ELSE least(1000.0, greatest(1.0, scale / ov - 1)) END AS k
     FROM (SELECT sum((good - n * prior) ** 2 - n * prior * (1 - prior)) AS ov,
       sum(n * (n - 1) * prior * (1 - prior)) AS scale FROM d0)),
-d1 AS (SELECT suffix, domain, (good + k * prior) / (n + k) AS mean FROM d0, dk),
-h0 AS (SELECT h.host, h.n, h.good, d1.mean AS prior FROM hosts h JOIN d1 USING (suffix, domain)),
+d1 AS (SELECT suffix, domain, mean, mean * (1 - mean) / (total + 1) + (k / total) ** 2 * prior_var AS var
+    FROM (SELECT *, (good + k * prior) / (n + k) AS mean, n + k AS total FROM d0, dk)),
+h0 AS (SELECT h.host, h.n, h.good, d1.mean AS prior, d1.var AS prior_var FROM hosts h JOIN d1 USING (suffix, domain)),
 hk AS (SELECT CASE WHEN coalesce(scale, 0) = 0 THEN 1.0 WHEN ov <= 0 THEN 1000.0
       ELSE least(1000.0, greatest(1.0, scale / ov - 1)) END AS k
     FROM (SELECT sum((good - n * prior) ** 2 - n * prior * (1 - prior)) AS ov,
       sum(n * (n - 1) * prior * (1 - prior)) AS scale FROM h0)),
-h1 AS (SELECT host, (good + k * prior) / (n + k) AS mean, n + k AS total FROM h0, hk)
+h1 AS (SELECT host, mean, mean * (1 - mean) / (total + 1) + (k / total) ** 2 * prior_var AS var
+    FROM (SELECT *, (good + k * prior) / (n + k) AS mean, n + k AS total FROM h0, hk))
 SELECT p.page_id, p.host, p.path, p.rule,
-    coalesce(p.ruled, CASE WHEN h1.mean + 1.64 * sqrt(h1.mean * (1 - h1.mean) / (h1.total + 1)) < 0.5
+    coalesce(p.ruled, CASE WHEN h1.mean + 2.33 * sqrt(h1.var) < 0.5
       THEN 'block' ELSE 'allow' END) AS verdict
 FROM pages_ p JOIN h1 USING (host)
 """
