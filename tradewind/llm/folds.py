@@ -18,7 +18,8 @@ def labelled_sample(
     The rows with the smallest hashes of their ids are taken, so the sample does not depend on the
     partitioning. ``weight`` is how many learnable rows of its class each sampled row stands for. The
     ids are broadcast: ``2 * rows_per_class`` of them at most. The texts go to a few partitions,
-    whatever the size of ``docs``. An id with several labels or several texts is left out.
+    whatever the size of ``docs``. An id with two different labels is left out; repeated documents count
+    as often as they come.
     """
     usable = (
         labels.select("doc_id", F.col(label).cast("int").alias("label"))

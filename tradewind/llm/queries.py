@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import language, reputation
+from tradewind.llm import language, reputation, toxicity
 from tradewind.llm.folds import in_fold
 
 
@@ -12,6 +12,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic", folds=5, fold=0)
+    scored = toxicity.predict(docs, model)
+    predicted = F.when(F.col("score") >= 0.5, 1).otherwise(0).alias("predicted")
+    return scored.select("doc_id", in_fold("doc_id", 5, 0).alias("held_out"), "score", predicted)
+
+
 def op4_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reputation.judge(table(spark, sf_dir, "pages").select("page_id", "url"), reputation.RULES).drop("url")
 
@@ -23,6 +31,10 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
-QUERIES = {"op4_host_reputation": op4_host_reputation, "op6_language": op6_language}
+QUERIES = {
+    "op2_toxicity": op2_toxicity,
+    "op4_host_reputation": op4_host_reputation,
+    "op6_language": op6_language,
+}
 
 ORACLES: dict[str, str] = {"op4_host_reputation": reputation.SQL}
