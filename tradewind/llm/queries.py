@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import language, reputation, toxicity
+from tradewind.llm import language, quality, reputation, toxicity
 from tradewind.llm.folds import in_fold
 
 
@@ -24,6 +24,14 @@ def op4_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reputation.judge(table(spark, sf_dir, "pages").select("page_id", "url"), reputation.RULES).drop("url")
 
 
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), "quality", folds=4, fold=2)
+    scored = quality.predict(docs, model)
+    predicted = F.when(F.col("score") >= 0.7, 1).otherwise(0).alias("predicted")
+    return scored.select("doc_id", in_fold("doc_id", 4, 2).alias("held_out"), "score", predicted)
+
+
 def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     docs = docs.withColumn("held_out", in_fold("doc_id", 5, 0))
@@ -34,6 +42,7 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op4_host_reputation": op4_host_reputation,
+    "op5_quality": op5_quality,
     "op6_language": op6_language,
 }
 
