@@ -15,7 +15,7 @@ from tradewind.session import stored
 
 ORDERS = (4, 5, 6)
 BITS = 18
-ROWS_PER_CLASS = 4000  # bound of the labelled sample that the classifier is fitted on
+ROWS_PER_CLASS = 2500  # bound of the labelled sample that the classifier is fitted on
 
 
 @dataclass(frozen=True)
@@ -42,12 +42,12 @@ def present(text: str | None, first: np.ndarray) -> np.ndarray:
 def log_count_ratios(counts: np.ndarray, documents: np.ndarray, smoothing: float = 1.0) -> np.ndarray:
     """``log(p / q)`` of each n-gram from ``counts[class, id]`` of documents that have it.
 
-    A ratio that chance could give (under three standard errors) is 0: its n-gram is no feature.
+    A ratio that chance could give (under four standard errors) is 0: its n-gram is no feature.
     """
     share = (counts + smoothing) / (documents[:, None] + 2 * smoothing)
     ratio = np.log(share[1] / share[0])
     error = np.sqrt(((1 - share) / (share * (documents[:, None] + 2 * smoothing))).sum(axis=0))
-    return np.where(np.abs(ratio) >= 3 * error, ratio, 0.0)
+    return np.where(np.abs(ratio) >= 4 * error, ratio, 0.0)
 
 
 def fit_linear(
@@ -55,12 +55,12 @@ def fit_linear(
 ) -> tuple[np.ndarray, float]:
     """Logistic regression on ``scale`` where the id is present, by Adam over all rows at once."""
     used = np.flatnonzero(scale)
-    place = np.full(len(scale), -1)
-    place[used] = np.arange(len(used))
-    kept = [place[r][place[r] >= 0] for r in rows]
-    ids = np.concatenate(kept) if kept else np.zeros(0, np.int64)
-    owner = np.repeat(np.arange(len(kept)), [len(k) for k in kept])
-    value = scale[used][ids]
+    place = np.full(len(scale), -1, np.int32)
+    place[used] = np.arange(len(used), dtype=np.int32)
+    kept = [place[r[scale[r] != 0]] for r in rows]
+    ids = np.concatenate(kept)
+    owner = np.repeat(np.arange(len(kept), dtype=np.int32), [len(k) for k in kept])
+    value = scale[used].astype(np.float32)[ids]
     coefficient, bias = np.zeros(len(used)), 0.0
     share = row_weights / row_weights.sum()
     m, v = np.zeros(len(used) + 1), np.zeros(len(used) + 1)
