@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import language, quality, reputation, toxicity
+from tradewind.llm import hilbert, language, quality, reputation, toxicity
 from tradewind.llm.folds import in_fold
 
 
@@ -20,6 +20,10 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", in_fold("doc_id", 5, 0).alias("held_out"), "score", predicted)
 
 
+def op3_hilbert_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
+
+
 def op4_host_reputation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reputation.judge(table(spark, sf_dir, "pages").select("page_id", "url"), reputation.RULES).drop("url")
 
@@ -41,6 +45,7 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op2_toxicity": op2_toxicity,
+    "op3_hilbert_neighbours": op3_hilbert_neighbours,
     "op4_host_reputation": op4_host_reputation,
     "op5_quality": op5_quality,
     "op6_language": op6_language,
