@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import hilbert, language, quality, reputation, toxicity
+from tradewind.llm import hilbert, language, neardup, quality, reputation, toxicity
 from tradewind.llm.folds import in_fold
 
 
@@ -43,12 +43,17 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op9_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Settings(shingle=2))
+
+
 QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_hilbert_neighbours": op3_hilbert_neighbours,
     "op4_host_reputation": op4_host_reputation,
     "op5_quality": op5_quality,
     "op6_language": op6_language,
+    "op9_hyperminhash": op9_hyperminhash,
 }
 
 ORACLES: dict[str, str] = {"op4_host_reputation": reputation.SQL}
