@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import hilbert, language, neardup, quality, reputation, toxicity
+from tradewind.llm import dac, hilbert, language, neardup, quality, reputation, toxicity
 from tradewind.llm.folds import in_fold
 
 
@@ -47,6 +48,11 @@ def op9_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Settings(shingle=2))
 
 
+def op10_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = dac.write_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), end_id=2)
+    return dac.checksums(dac.read_tokens(dac.with_starts(index)))
+
+
 QUERIES = {
     "op2_toxicity": op2_toxicity,
     "op3_hilbert_neighbours": op3_hilbert_neighbours,
@@ -54,6 +60,7 @@ QUERIES = {
     "op5_quality": op5_quality,
     "op6_language": op6_language,
     "op9_hyperminhash": op9_hyperminhash,
+    "op10_direct_codes": op10_direct_codes,
 }
 
 ORACLES: dict[str, str] = {"op4_host_reputation": reputation.SQL}
