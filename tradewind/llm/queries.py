@@ -5,8 +5,9 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import dac, hilbert, language, neardup, quality, reputation, toxicity
+from tradewind.llm import dac, hilbert, language, neardup, packing, quality, reputation, toxicity
 from tradewind.llm.folds import in_fold
+from tradewind.session import stored
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -44,6 +45,11 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parts = stored(packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1))
+    return packing.pack(parts)
+
+
 def op9_hyperminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(table(spark, sf_dir, "documents"), neardup.Settings(shingle=2))
 
@@ -59,6 +65,7 @@ QUERIES = {
     "op4_host_reputation": op4_host_reputation,
     "op5_quality": op5_quality,
     "op6_language": op6_language,
+    "op8_best_fit": op8_best_fit,
     "op9_hyperminhash": op9_hyperminhash,
     "op10_direct_codes": op10_direct_codes,
 }
