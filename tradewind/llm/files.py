@@ -23,7 +23,7 @@ def create(folder: str, suffix: str):
     store, path = fs.FileSystem.from_uri(folder)
     store.create_dir(path, recursive=True)
     name = f"{uuid.uuid4()}{suffix}"
-    return store.open_output_stream(f"{path}/{name}"), f"{folder}/{name}"
+    return store.open_output_stream(f"{path}/{name}", compression=None), f"{folder}/{name}"
 
 
 def open_file(uri: str):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import dac, hilbert, language, neardup, packing, quality, reputation, toxicity
+from tradewind.llm import dac, hilbert, language, neardup, packing, quality, reputation, toxicity, warc
 from tradewind.llm.folds import in_fold
 from tradewind.session import stored
 
@@ -45,6 +45,11 @@ def op6_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language.predict(docs.drop("lang"), model).select("doc_id", "held_out", "lang_pred", "score")
 
 
+def op7_warc_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = warc.write_archives(table(spark, sf_dir, "pages"), least_bytes=0)
+    return warc.page_records(warc.read_records(index))
+
+
 def op8_best_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = stored(packing.pieces(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=1))
     return packing.pack(parts)
@@ -65,6 +70,7 @@ QUERIES = {
     "op4_host_reputation": op4_host_reputation,
     "op5_quality": op5_quality,
     "op6_language": op6_language,
+    "op7_warc_index": op7_warc_index,
     "op8_best_fit": op8_best_fit,
     "op9_hyperminhash": op9_hyperminhash,
     "op10_direct_codes": op10_direct_codes,
