@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import dac, hilbert, language, neardup, packing, quality, reputation, toxicity, warc
+from tradewind.llm import dac, decontaminate, hilbert, language, neardup, packing, quality, reputation, toxicity, warc
 from tradewind.llm.folds import in_fold
 from tradewind.session import stored
 
@@ -14,6 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_string_tiling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.contaminations(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("tiles")
+
+
 def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     model = toxicity.fit(docs, table(spark, sf_dir, "labels"), "toxic", folds=5, fold=0)
@@ -65,6 +70,7 @@ def op10_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_string_tiling": op1_string_tiling,
     "op2_toxicity": op2_toxicity,
     "op3_hilbert_neighbours": op3_hilbert_neighbours,
     "op4_host_reputation": op4_host_reputation,

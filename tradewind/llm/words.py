@@ -99,5 +99,5 @@ def runs(words: np.ndarray, size: int) -> np.ndarray:
     size = min(size, len(words))
     out = np.full(len(words) - size + 1, np.uint64(size))
     for i in range(size):
-        out = mixed(out * _BASE + words[i : len(words) - size + 1 + i])
-    return out
+        out = out * _BASE + words[i : len(words) - size + 1 + i]
+    return mixed(out)
