@@ -248,26 +248,8 @@ def _between(pairs: DataFrame, labels: DataFrame, sets: DataFrame, settings: Set
     return asked.groupBy("asked_into", "asked_block").cogroup(held.groupBy("into", "block")).applyInArrow(count, "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
-    """``doc_id, n_shingles, component_id, kept`` of every row of ``docs(doc_id, text)``.
-
-    Words are runs of anything but white space, with A-Z lower-cased. Two documents are linked if their
-    sets of word shingles are similar enough; documents reachable over links are one component, named
-    by its smallest id, whose document is kept.
-
-    1. Every set is sketched (HyperMinHash). Rows with equal sets are one node.
-    2. Rows that agree in a band of registers share a bucket. Each is compared with its bucket's
-       smallest node: first by estimate, then on the full sets. A bucket of any size gives one pair a
-       row, and links of exact or very near copies need no more.
-    3. Rows of one bucket that are still in different components are compared in blocks: each with its
-       likeliest partner, and then, exactly, with whole components. Every pair that shares a bucket and
-       is likely is so decided on full sets or already connected. A pair at the threshold shares no
-       bucket with a chance of 3 in a million.
-
-    Texts without words (NULL, empty) have 0 shingles and are linked with nothing. Rows that share an id
-    are one document. Rows without an id are linked by their text; their component has the smallest id
-    among the others, or NULL, and then all of them are kept. An empty table gives no row.
-    """
+def _components(docs: DataFrame, settings: Settings) -> DataFrame:
+    """``id, n, component`` of every row; see ``near_duplicates``."""
     rows = stored(_sketches(docs, settings.shingle).withColumn("digest", F.when(F.col("n") > 0, F.col("digest"))))
     copies = rows.where("n > 0").groupBy("digest").agg(F.min("id").alias("node"))
     copies = stored(copies)
@@ -294,9 +276,51 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
 
     named = copies.join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("component"))
     found = rows.select("id", "n", "digest").join(named, "digest", "left")
-    doc_id = F.when(F.col("id") < NO_ID, F.col("id"))
-    component = F.coalesce("component", "id")
-    component = F.when(component < NO_ID, component)
-    return found.select(
-        doc_id.alias("doc_id"), F.col("n").alias("n_shingles"), component.alias("component_id"), doc_id.eqNullSafe(component).alias("kept")
+    return found.select("id", "n", F.coalesce("component", "id").alias("component"))
+
+
+def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """``doc_id, n_shingles, component_id, kept`` of every row of ``docs(doc_id, text)``.
+
+    Words are runs of anything but white space, with A-Z lower-cased. Two documents are linked if their
+    sets of word shingles are similar enough; documents reachable over links are one component, named
+    by its smallest id, whose document is kept.
+
+    1. Every set is sketched (HyperMinHash). Rows with equal sets are one node.
+    2. Rows that agree in a band of registers share a bucket. Each is compared with its bucket's
+       smallest node: first by estimate, then on the full sets. A bucket of any size gives one pair a
+       row, and links of exact or very near copies need no more.
+    3. Rows of one bucket that are still in different components are compared in blocks: each with its
+       likeliest partner, and then, exactly, with whole components. Every pair that shares a bucket and
+       is likely is so decided on full sets or already connected. A pair at the threshold shares no
+       bucket with a chance of 3 in a million.
+
+    Texts without words (NULL, empty) have 0 shingles and are linked with nothing. Rows that share an id
+    are one document. Rows without an id are linked by their text; their component has the smallest id
+    among the others, or NULL, and then all of them are kept. An empty table gives no row.
+    """
+    doc_id, component = (F.when(F.col(c) < NO_ID, F.col(c)) for c in ("id", "component"))
+    return _components(docs, settings).select(
+        doc_id.alias("doc_id"),
+        F.col("n").alias("n_shingles"),
+        component.alias("component_id"),
+        doc_id.eqNullSafe(component).alias("kept"),
     )
+
+
+def one_of_each(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
+    """The rows of ``docs``, with all their columns, of one document per component: the one with the smallest id.
+
+    Of rows with the same id and text one stays. Of a component without any id one row's text stays. The
+    ids that go are broadcast while they are few, else joined; texts are not shuffled but for repeated ids.
+    """
+    rows = stored(_components(docs, settings))
+    repeated = rows.groupBy("id").agg(F.count("*").alias("rows"), F.min(F.col("id") == F.col("component")).alias("stays"))
+    gone = repeated.where("NOT stays OR rows > 1").select(F.col("id").alias("_gone"))
+    twice = repeated.where("stays AND rows > 1").select(F.col("id").alias("_twice"))
+    few = lambda ids: F.broadcast(ids) if ids.count() <= IDS_TO_BROADCAST else ids
+    out = docs.join(few(gone), _row_id() == F.col("_gone"), "left_anti")
+    if twice.isEmpty():
+        return out
+    again = docs.join(few(twice), _row_id() == F.col("_twice"), "left_semi").withColumn("_row", _row_id())
+    return out.unionByName(again.dropDuplicates(["_row", "text"]).drop("_row"))
