@@ -18,7 +18,7 @@ BANDS = REGISTERS // ROWS
 MANTISSA = 10  # bits kept below the leading zeros
 NO_ID = 1 << 62  # rows without an id are numbered from here on, by their text
 IDS_TO_BROADCAST = 2_000_000
-BLOCK = 256
+BLOCK = 2048  # rows compared with each other by one task
 
 
 def registers(hashes: np.ndarray) -> np.ndarray:
@@ -152,8 +152,8 @@ def _runs(batches, key: int):
 def _crossing(members: DataFrame, labels: DataFrame, sketches: DataFrame, settings: Settings, best_only: bool) -> DataFrame:
     """Likely pairs of rows that share a bucket but have different labels (and are not its leader).
 
-    Buckets whose rows all have one label are done. Of the others, rows are dealt into blocks of some
-    hundred, and each task compares one block, or two, in memory: pairs are never made as rows.
+    Buckets whose rows all have one label are done. Of the others, rows are dealt into blocks of two
+    thousand, and each task compares one block, or two, in memory: pairs are never made as rows.
     ``best_only`` gives ``a, b``: for each row its likeliest partner. Otherwise ``a, b`` are labels: the
     pairs of labels between which any pair of rows is likely.
     """
