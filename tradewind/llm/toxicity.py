@@ -42,12 +42,13 @@ def present(text: str | None, first: np.ndarray) -> np.ndarray:
 def log_count_ratios(counts: np.ndarray, documents: np.ndarray, smoothing: float = 1.0) -> np.ndarray:
     """``log(p / q)`` of each n-gram from ``counts[class, id]`` of documents that have it.
 
-    A ratio that chance could give (under four standard errors) is 0: its n-gram is no feature.
+    Where the two shares differ by under four standard errors of a difference by chance, the ratio is 0:
+    the n-gram is no feature.
     """
     share = (counts + smoothing) / (documents[:, None] + 2 * smoothing)
-    ratio = np.log(share[1] / share[0])
-    error = np.sqrt(((1 - share) / (share * (documents[:, None] + 2 * smoothing))).sum(axis=0))
-    return np.where(np.abs(ratio) >= 4 * error, ratio, 0.0)
+    pooled = (counts.sum(axis=0) + smoothing) / (documents.sum() + 2 * smoothing)
+    error = np.sqrt(pooled * (1 - pooled) * (1 / documents).sum())
+    return np.where(np.abs(share[1] - share[0]) >= 4 * error, np.log(share[1] / share[0]), 0.0)
 
 
 def fit_linear(
