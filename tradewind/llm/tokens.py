@@ -4,11 +4,24 @@ from __future__ import annotations
 
 import os
 import re
+from array import array
 
-#: Distinct pieces of text remembered by a worker before it starts anew.
-REMEMBERED = 800_000  # some 200 MB
-_SPACED = re.compile(r"\s\s|^\s|\s\Z")
+#: Distinct pieces of text, and distinct words, remembered by a worker before it starts anew.
+REMEMBERED = 500_000  # some 200 MB together
+_OTHER_SPACE = re.compile(r"[^\S \n]")
 _BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
+#: A word of Latin letters (without the one whose lower case is two characters) and marks behind it.
+_PLAIN = re.compile("(\n?)([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?|]*)")
+
+
+def _byte_letters() -> dict[int, str]:
+    """The letter that byte-level vocabularies write for each byte: itself if printable, else one from 256 on."""
+    printable = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    rest = [b for b in range(256) if b not in printable]
+    return {b: chr(b) for b in printable} | {b: chr(256 + n) for n, b in enumerate(rest)}
+
+
+_LETTERS = _byte_letters()
 _encoders: dict[tuple[str, bool], "Encoder"] = {}
 
 
@@ -29,28 +42,64 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.leading_space = leading_space
         self.known: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.marks: dict[str, bytes] = {}
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
-        from array import array
-
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
+    def _word(self, word: str, spaced: bool) -> bytes:
+        """Ids of letters alone: one word of the pattern, so the model's merges are all there is to do."""
+        key = word if spaced else "\n" + word
+        if key not in self.words:
+            if len(self.words) >= REMEMBERED:
+                self.words.clear()
+            letters = (word if self.leading_space else word.lower()).encode().decode("latin-1").translate(_LETTERS)
+            lead = _LETTERS[0x20] if self.leading_space and spaced else ""
+            self.words[key] = array("I", [t.id for t in self.tokenizer.model.tokenize(lead + letters)]).tobytes()
+        return self.words[key]
+
+    def _marks(self, marks: str) -> bytes:
+        if marks not in self.marks:
+            if len(self.marks) >= REMEMBERED:
+                self.marks.clear()
+            self.marks[marks] = self._ids([marks])[0]
+        return self.marks[marks]
+
+    def _learn(self, pieces: set[str]) -> None:
+        """Remember the ids of new pieces: plain ones as a word and marks, the others as the library gives them."""
+        others = []
+        for piece in pieces:
+            plain = _PLAIN.fullmatch(piece)
+            if plain:
+                line, word, marks = plain.groups()
+                ids = self._word(word, not line)
+                if line and self.leading_space:
+                    ids = self._marks("\n") + ids
+                self.known[piece] = ids + self._marks(marks) if marks else ids
+            else:
+                others.append(piece)
+        lead = " " if self.leading_space else ""
+        self.known.update(zip(others, self._ids([p if p[:1] == "\n" else lead + p for p in others])))
+
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
         if not self.leading_space:  # white space is dropped
             pieces, head = text.replace("\n", " ").split(" "), b""
         else:
-            pieces = _BOUNDARY.split(text) if _SPACED.search(text) else text.replace("\n", " \n").split(" ")
+            pieces = text.replace("\n", " \n").split(" ")
+            if "" in pieces or "\n" in pieces or _OTHER_SPACE.search(text):
+                pieces = _BOUNDARY.split(text)
             head, pieces = self._ids(pieces[:1])[0], pieces[1:]  # no space before the first piece
-        new = [p for p in set(pieces) if p not in self.known]
+        distinct = set(pieces)
+        new = distinct.difference(self.known)
         if new:
             if len(self.known) + len(new) > REMEMBERED:
                 self.known.clear()
-                new = list(set(pieces))
-            lead = " " if self.leading_space else ""
-            self.known.update(zip(new, self._ids([p if p[:1] == "\n" else lead + p for p in new])))
+                new = distinct
+            self._learn(new)
         return head + b"".join(map(self.known.__getitem__, pieces))
 
 
