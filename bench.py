@@ -25,7 +25,7 @@ from tradewind.plans import training as tr  # noqa: E402
 from tradewind.plans.normalize import normalize  # noqa: E402
 from tradewind.session import prepare  # noqa: E402
 from tradewind.sources.layers import LayerPaths, read_table, write_table  # noqa: E402
-from tradewind_queries import bindings, queries  # noqa: E402
+from tradewind_queries import bindings  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
 CPUS = os.environ.get("BENCH_CPUS", "8")
@@ -75,7 +75,7 @@ def main() -> None:
     seconds["ml_features"] = median_of_three(lambda: noop(features))
     seconds["stratified_split"] = median_of_three(lambda: noop(ft.stratified_split(features)))
     seconds["ml_three_models"] = timed(
-        lambda: tr.model_comparison(tr.train_models(features, tr.ALL_MODELS, queries.TRIAL)).collect()
+        lambda: tr.model_comparison(tr.train_models(features, tr.ALL_MODELS)).collect()
     )
     print(
         json.dumps(

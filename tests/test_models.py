@@ -157,3 +157,12 @@ def test_stored_extract_is_reused(spark, extract, tmp_path):
     assert ft.stored_extract(spark, str(tmp_path), None).count() == 401
     with pytest.raises(ValueError):
         ft.stored_extract(spark, str(tmp_path / "none"), None)
+    assert ft.stored_extract(spark, str(tmp_path), extract.limit(5) if commerce is None else commerce.limit(5), refresh=True).count() <= 5
+
+
+def test_split_keeps_rows_without_a_label(spark):
+    rows = [(k % 50, None if k % 3 == 0 else k % 2) for k in range(300)]
+    split = ft.stratified_split(spark.createDataFrame(rows, "x int, is_late int"), buckets=4)
+    counts = {(r["is_late"], r["split"]): r["n"] for r in split.groupBy("is_late", "split").agg(F.count("*").alias("n")).collect()}
+    assert sum(counts.values()) == 300
+    assert counts[None, "train"] == 80 and counts[None, "test"] == 20

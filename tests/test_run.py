@@ -55,7 +55,28 @@ def test_run_all(spark, export, tmp_path):
     stored = read_report(spark, paths.reports, "monthly_orders_revenue")
     assert stored.columns == ["month", "total_orders", "total_revenue"] and stored.count() == 6
     assert read_report(spark, paths.reports, "model_comparison").count() == 3
-    assert set(result.models) >= {"base_comparison", "best_model", "correlation_pairs", "data_kpis"}
+    assert set(result.models) >= {"base_comparison", "base_roc", "base_confusion", "base_importance", "best_model", "correlation_pairs"}
+    kpis = read_report(spark, paths.reports, "ml_kpis").first()
+    assert int(kpis["samples"]) > 0 and kpis["best_model"] == read_report(spark, paths.reports, "best_model").first()["model"]
+    samples = result.samples.groupBy("table_name").count().collect()
+    assert len(samples) == 9 and all(1 <= r["count"] <= 10 for r in samples)
+
+
+def test_a_second_run_uses_only_what_the_new_export_holds(spark, export, tmp_path):
+    paths = LayerPaths.under(str(tmp_path), export)
+    run_all(spark, paths, SMALL)
+    first = read_table(spark, paths.models, "ml_extract").count()
+    lines = open(export).read().split("\n")
+    header = lines[0].split(",")
+    fewer = tmp_path / "fewer.csv"
+    # A comment spans two lines; fewer orders, and no geolocation at all.
+    body = "\n".join(lines[1 : 1 + 2 * 30])
+    fewer.write_text(",".join(h if not h.startswith("geolocation") else f"x_{h}" for h in header) + "\n" + body + "\n")
+    paths = LayerPaths.under(str(tmp_path), str(fewer))
+    result = run_all(spark, paths, SMALL)
+    assert "geolocation" not in {r.table_name for r in result.clean_rows.collect()}
+    assert "geolocation_lat" not in read_table(spark, paths.wrangled, "commerce").columns
+    assert 0 < read_table(spark, paths.models, "ml_extract").count() < first
 
 
 def test_a_failed_model_stage_does_not_stop_the_run(spark, export, tmp_path, monkeypatch):

@@ -124,3 +124,25 @@ def test_profiles(spark, tmp_path):
     got = {r.table_name: r for r in profile_layer(spark, str(tmp_path), ["t", "absent", "bad"]).collect()}
     assert tuple(got["t"])[1:] == ("ok", 3, 2, "struct<id:int,v:string>")
     assert got["absent"].status == "missing" and got["bad"].status.startswith("failed")
+
+
+def test_files_with_different_headers_are_not_mixed(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("order_id,price\no1,5\n" * 1)
+    (tmp_path / "b.csv").write_text("price,order_id\n7,o2\n")
+    for multi_line in (True, False):
+        with pytest.raises(Exception, match="(?i)header|schema"):
+            read_wide_csv(spark, str(tmp_path), multi_line=multi_line).collect()
+    (tmp_path / "b.csv").write_text("order_id,price\no2,7\n")
+    assert sorted(r["order_id"] for r in read_wide_csv(spark, str(tmp_path)).collect()) == ["o1", "o2"]
+
+
+def test_typed_nan_is_no_number(spark):
+    df = spark.createDataFrame([(float("nan"), 1), (2.0, 2)], "price double, order_item_id int")
+    assert [r["price"] for r in typed_numbers(df, "order_items").orderBy("order_item_id").collect()] == [None, 2.0]
+
+
+def test_small_amounts_are_not_rounded_away(spark):
+    from tradewind.functions.numbers import money_sum
+
+    df = spark.createDataFrame([(0.004,), (0.004,), (0.004,)], "v double")
+    assert df.agg(money_sum(df["v"])).first()[0] == 0.012

@@ -21,8 +21,8 @@ def safe_long(value: Column) -> Column:
 
 
 def money(value: Column) -> Column:
-    """Two decimals, exact under addition in any order. An amount beyond 16 digits is an error, not NULL."""
-    return value.try_cast("double").cast("decimal(18,2)")
+    """Six decimals, exact under addition in any order; an amount of 22 digits before the point is an error."""
+    return value.try_cast("double").cast("decimal(28,6)")
 
 
 def money_sum(value: Column) -> Column:

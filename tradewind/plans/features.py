@@ -29,9 +29,11 @@ def ml_extract(commerce: DataFrame) -> DataFrame:
     return delivered.select("customer_state", "seller_state", *NUMBERS, CATEGORIES[2], *TIMES)
 
 
-def stored_extract(spark: SparkSession, base: str, commerce: DataFrame | None, name: str = "ml_extract") -> DataFrame:
-    """The extract stored under ``base``; built from ``commerce`` and stored first if it is not there."""
-    found = read_table(spark, base, name)
+def stored_extract(
+    spark: SparkSession, base: str, commerce: DataFrame | None, name: str = "ml_extract", refresh: bool = False
+) -> DataFrame:
+    """The extract stored under ``base``; built from ``commerce`` and stored first if it is not there, or if ``refresh``."""
+    found = None if refresh else read_table(spark, base, name)
     if found is None:
         if commerce is None:
             raise ValueError(f"no stored extract under {base}, and no commerce table to build it from")
@@ -133,7 +135,9 @@ def stratified_split(
         label, "__bucket", "__n", F.greatest(F.lit(0), F.least(F.col("__n"), target - start)).alias("__train")
     )
 
-    tagged = rows.join(F.broadcast(quota), [label, "__bucket"])
+    quota = quota.withColumnRenamed(label, "__label").withColumnRenamed("__bucket", "__cut")
+    same = rows[label].eqNullSafe(quota["__label"]) & (rows["__bucket"] == quota["__cut"])  # NULL is a class too
+    tagged = rows.join(F.broadcast(quota), same).drop("__label", "__cut")
     uncut = (F.col("__train") == 0) | (F.col("__train") == F.col("__n"))
     whole = tagged.where(uncut).select(
         *columns, F.when(F.col("__train") == 0, F.lit("test")).otherwise(F.lit("train")).alias("split")

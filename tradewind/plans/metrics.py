@@ -78,7 +78,7 @@ def roc_curve(df: DataFrame, label: str, score: str, one_task_rows: int = ONE_TA
 
 
 def class_balance(df: DataFrame, label: str) -> DataFrame:
-    """(class, label, n) for both classes, also when one has no rows."""
+    """(class, label, n) for both classes, also when one has no rows. The labels are fixed values."""
     cell = lambda value, name: F.struct(
         F.lit(value).alias("class"), F.lit(name).alias("label"), F.count_if(F.col(label) == value).alias("n")
     )
@@ -117,6 +117,18 @@ def best_model(comparison: DataFrame) -> DataFrame:
     return comparison.orderBy(F.desc("auc"), "position").limit(1)
 
 
+def ml_kpi_row(features: DataFrame, comparison: DataFrame) -> DataFrame:
+    """(samples, late_pct, avg_delay_days, best_model, best_auc, best_accuracy) in one row."""
+    best = best_model(comparison).first()
+    name, auc, accuracy = (best["model"], best["auc"], best["acc"]) if best else (None, None, None)
+    return data_kpis(features).select(
+        "*",
+        F.lit(name).cast("string").alias("best_model"),
+        F.lit(auc).cast("double").alias("best_auc"),
+        F.lit(accuracy).cast("double").alias("best_accuracy"),
+    )
+
+
 def feature_importance(spark: SparkSession, model_name: str, importances, names: Sequence[str]) -> DataFrame:
     """(model, feature, importance), most important first."""
     rows = [(model_name, n, float(v)) for n, v in zip(names, importances.toArray())]

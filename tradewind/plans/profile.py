@@ -51,6 +51,24 @@ def sample_rows(df: DataFrame, order: Sequence[str], n: int = 10) -> DataFrame:
     return df.orderBy(*order).limit(n)
 
 
+def profile_samples(tables: Mapping[str, DataFrame], n: int = 10) -> DataFrame:
+    """(table_name, position, row): ``n`` rows of each table as JSON, the first ones in the order of that text.
+
+    Each task keeps ``n`` rows of a table at most.
+    """
+    frames = []
+    for name, df in tables.items():
+        shown = F.to_json(F.struct(*[F.col(f"`{c}`") for c in df.columns]), {"ignoreNullFields": "false"})
+        first = df.select(shown.alias("row")).orderBy("row").limit(n)
+        numbered = first.agg(F.sort_array(F.collect_list("row")).alias("rows"))
+        frames.append(
+            numbered.select(F.lit(name).alias("table_name"), F.posexplode("rows").alias("position", "row")).withColumn(
+                "position", F.col("position") + 1
+            )
+        )
+    return _stack(frames)
+
+
 def profile_layer(spark: SparkSession, base: str, names: Sequence[str]) -> DataFrame:
     """(table_name, status, row_count, column_count, columns) per name; one bad table does not stop the rest."""
     kinds = "table_name string, status string, row_count bigint, column_count int, columns string"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import logging
+from collections.abc import Sequence
 from dataclasses import dataclass, field
 from functools import partial
 
@@ -11,9 +12,9 @@ from pyspark.sql import DataFrame, SparkSession
 from tradewind.plans import reports as rep
 from tradewind.plans.clean import CLEANERS
 from tradewind.plans.features import features_base, features_enhanced, stored_extract
-from tradewind.plans.metrics import best_model, class_balance, correlation_pairs, data_kpis
+from tradewind.plans.metrics import best_model, class_balance, correlation_pairs, data_kpis, ml_kpi_row
 from tradewind.plans.normalize import normalize
-from tradewind.plans.profile import profile_layer, row_counts
+from tradewind.plans.profile import profile_layer, profile_samples, row_counts
 from tradewind.plans.training import (
     ALL_MODELS,
     BASE_MODELS,
@@ -39,6 +40,7 @@ log = logging.getLogger(__name__)
 @dataclass
 class RunResult:
     profile: DataFrame
+    samples: DataFrame
     clean_rows: DataFrame
     registered: list[str]
     reports: dict[str, str]
@@ -50,24 +52,27 @@ def write_all(spark: SparkSession, tables: dict[str, DataFrame], base: str) -> N
     run_together(spark, [partial(write_table, df, base, name) for name, df in tables.items()])
 
 
-def normalize_stage(spark: SparkSession, paths: LayerPaths, multi_line: bool = True) -> None:
+def normalize_stage(spark: SparkSession, paths: LayerPaths, multi_line: bool = True) -> list[str]:
+    """Returns the tables that the export holds: a later stage reads these, not what an earlier run has left."""
     wide = stage_wide_csv(spark, paths.raw_csv, paths.staged, multi_line=multi_line)
     size_shuffles(spark, paths.staged)
-    write_all(spark, normalize(wide), paths.normalized)
+    tables = normalize(wide)
+    write_all(spark, tables, paths.normalized)
+    return list(tables)
 
 
-def clean_stage(spark: SparkSession, paths: LayerPaths) -> None:
+def clean_stage(spark: SparkSession, paths: LayerPaths, names: Sequence[str] = tuple(TABLES)) -> None:
     def one(name: str, df: DataFrame) -> None:
         write_table(CLEANERS[name](df), paths.cleaned, name)
 
     size_shuffles(spark, paths.normalized)
-    tables = read_layer(spark, paths.normalized, TABLES)
+    tables = read_layer(spark, paths.normalized, names)
     run_together(spark, [partial(one, name, df) for name, df in tables.items()])
 
 
-def wrangle_stage(spark: SparkSession, paths: LayerPaths) -> None:
+def wrangle_stage(spark: SparkSession, paths: LayerPaths, names: Sequence[str] = tuple(TABLES)) -> None:
     size_shuffles(spark, paths.cleaned)
-    commerce = build_commerce(read_layer(spark, paths.cleaned, TABLES))
+    commerce = build_commerce(read_layer(spark, paths.cleaned, names))
     if commerce is None:
         raise ValueError("customers, orders and order_items are needed to build the commerce table")
     write_table(commerce, paths.wrangled, "commerce")
@@ -84,16 +89,25 @@ def report_stage(spark: SparkSession, paths: LayerPaths) -> dict[str, str]:
     return written
 
 
-def base_model_stage(spark: SparkSession, paths: LayerPaths, settings: ModelSettings) -> dict[str, str]:
-    extract = stored_extract(spark, paths.models, read_table(spark, paths.wrangled, "commerce"))
+def base_model_stage(
+    spark: SparkSession, paths: LayerPaths, settings: ModelSettings, refresh: bool = False
+) -> dict[str, str]:
+    """``refresh`` takes the extract anew from the commerce table instead of a stored one."""
+    extract = stored_extract(spark, paths.models, read_table(spark, paths.wrangled, "commerce"), refresh=refresh)
     trained = train_models(features_base(extract), BASE_MODELS, settings)
-    return {"base_comparison": write_report(model_comparison(trained), paths.reports, "base_comparison")}
+    found = {
+        "base_comparison": model_comparison(trained),
+        "base_importance": model_importances(spark, trained),
+        "base_confusion": model_confusion(trained),
+        "base_roc": model_roc(trained),
+    }
+    return {name: write_report(df, paths.reports, name) for name, df in found.items()}
 
 
 def enhanced_model_stage(
-    spark: SparkSession, paths: LayerPaths, settings: ModelSettings, leak: bool = False
+    spark: SparkSession, paths: LayerPaths, settings: ModelSettings, leak: bool = False, refresh: bool = False
 ) -> dict[str, str]:
-    extract = stored_extract(spark, paths.models, read_table(spark, paths.wrangled, "commerce"))
+    extract = stored_extract(spark, paths.models, read_table(spark, paths.wrangled, "commerce"), refresh=refresh)
     trained = train_models(features_enhanced(extract, leak=leak), ALL_MODELS, settings)
     save_models(trained, f"{paths.models}/saved")
     with_delay = features_enhanced(extract, leak=True)
@@ -109,6 +123,7 @@ def enhanced_model_stage(
         "class_balance": write("class_balance", class_balance(with_delay, "is_late")),
         "correlation_pairs": write("correlation_pairs", correlation_pairs(numeric, numeric.columns)),
         "data_kpis": write("data_kpis", data_kpis(with_delay)),
+        "ml_kpis": write("ml_kpis", ml_kpi_row(with_delay, comparison)),
     }
 
 
@@ -122,18 +137,19 @@ def run_all(
     """Normalize, profile, clean, wrangle, register, report, train. A failed data stage stops the
     run; a failed model stage is logged and the run goes on."""
     prepare(spark)
-    normalize_stage(spark, paths, multi_line)
-    profile = profile_layer(spark, paths.normalized, list(TABLES))
-    clean_stage(spark, paths)
+    names = normalize_stage(spark, paths, multi_line)
+    profile = profile_layer(spark, paths.normalized, names)
+    samples = profile_samples(read_layer(spark, paths.normalized, names))
+    clean_stage(spark, paths, names)
     # Row counts come from the file footers; against the profile they show what cleaning removed.
-    clean_rows = row_counts(read_layer(spark, paths.cleaned, TABLES))
-    wrangle_stage(spark, paths)
+    clean_rows = row_counts(read_layer(spark, paths.cleaned, names))
+    wrangle_stage(spark, paths, names)
     registered = register_layer(spark, paths.wrangled, ["commerce"], paths.database)
-    result = RunResult(profile, clean_rows, registered, report_stage(spark, paths))
+    result = RunResult(profile, samples, clean_rows, registered, report_stage(spark, paths))
     if with_models:
         for name, stage in (("base", base_model_stage), ("enhanced", enhanced_model_stage)):
             try:
-                result.models.update(stage(spark, paths, settings))
+                result.models.update(stage(spark, paths, settings, refresh=True))
             except Exception as error:  # noqa: BLE001 - the reports stand without the models
                 log.exception("model stage %s failed", name)
                 result.model_errors[name] = str(error)

@@ -10,7 +10,7 @@ from pyspark.ml import PipelineModel
 from pyspark.ml.base import Model
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tradewind.plans.features import LABEL, feature_names, preparation, stratified_split
 from tradewind.plans.metrics import binary_metrics, confusion_matrix, feature_importance, roc_auc, roc_curve
@@ -40,6 +40,7 @@ class TrainedModels:
     preparation: PipelineModel
     models: dict[str, Model]
     predictions: dict[str, DataFrame]
+    train: DataFrame
     seconds: dict[str, float]
     names: list[str] = field(default_factory=list)
 
@@ -86,12 +87,18 @@ def train_models(
         started = time.monotonic()
         models[name] = _estimator(name, settings, train_rows).fit(train)
         seconds[name] = time.monotonic() - started
-        predictions[name] = models[name].transform(test).select(
-            F.col("label").cast("int").alias("label"),
-            F.col("prediction").cast("int").alias("prediction"),
-            vector_to_array("probability")[1].alias("score"),
-        )
-    return TrainedModels(prepared, models, predictions, seconds, names)
+        # Every metric reads the scores; stored, the test rows go through the trees once.
+        predictions[name] = stored(_scored(models[name], test))
+    return TrainedModels(prepared, models, predictions, train, seconds, names)
+
+
+def _scored(model: Model, rows: DataFrame) -> DataFrame:
+    """(label, prediction, score) of ``rows(features, label)``."""
+    return model.transform(rows).select(
+        F.col("label").cast("int").alias("label"),
+        F.col("prediction").cast("int").alias("prediction"),
+        vector_to_array("probability")[1].alias("score"),
+    )
 
 
 def model_metrics(trained: TrainedModels, name: str, position: int = 0) -> DataFrame:
@@ -148,6 +155,24 @@ def model_roc(trained: TrainedModels) -> DataFrame:
     return _per_model(trained, lambda p: roc_curve(p, "label", "score"))
 
 
+def model_facts(trained: TrainedModels) -> DataFrame:
+    """(model, actual, rows, auc_gap): scored test rows per class, and the area under the stored ROC points
+    by the trapezoid rule less the AUC, which both count a tie as half."""
+    rows = _per_model(trained, lambda p: p.groupBy(F.col("label").alias("actual")).agg(F.count(F.lit(1)).alias("rows")))
+    by_rate = Window.partitionBy("model").orderBy("fpr", "tpr")
+    step = (F.col("fpr") - F.lag("fpr").over(by_rate)) * (F.col("tpr") + F.lag("tpr").over(by_rate)) / 2
+    area = model_roc(trained).withColumn("step", step).groupBy("model").agg(F.sum("step").alias("area"))
+    auc = _per_model(trained, lambda p: roc_auc(p, "label", "score"))
+    gap = area.join(auc, "model").select("model", (F.col("area") - F.col("auc")).alias("auc_gap"))
+    return rows.join(gap, "model")
+
+
+def mean_train_score(trained: TrainedModels, name: str) -> DataFrame:
+    """(train_rows, mean_score) of one model on the rows it was fitted on."""
+    scored = _scored(trained.models[name], trained.train)
+    return scored.agg(F.count(F.lit(1)).alias("train_rows"), F.avg("score").alias("mean_score"))
+
+
 def save_models(trained: TrainedModels, base: str) -> list[str]:
     """The preparation (encoder and scaler) and each model, loadable by Spark ML."""
     base = base.rstrip("/")

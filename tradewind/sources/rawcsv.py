@@ -11,13 +11,16 @@ from tradewind.sources.layers import write_table
 def read_wide_csv(
     spark: SparkSession, path: str, schema: StructType | None = None, multi_line: bool = True
 ) -> DataFrame:
-    """Read the export with every column as text.
+    """Read the export with every column as text. A file whose header differs from the first one's stops the job.
 
     Quoted fields may hold newlines, so one file is one task: export many files, not one. For an
     export without such newlines, ``multi_line=False`` lets Spark split each file.
     """
     reader = (
-        spark.read.option("header", True).option("multiLine", multi_line).option("escape", '"')
+        spark.read.option("header", True)
+        .option("multiLine", multi_line)
+        .option("escape", '"')
+        .option("enforceSchema", False)  # columns go by position: each file's header is checked
     )
     if schema is not None:
         reader = reader.schema(schema)

@@ -91,12 +91,12 @@ def typed_numbers(df: DataFrame, table: str) -> DataFrame:
     """
     wanted = {c: t for c, t in TABLES[table].items() if t in NUMERIC and c in df.columns}
     # '3.0' is a valid count in an export that went through a float column, hence the double step.
-    # The text 'NaN' is no number either; as NaN it would pass every lower bound.
+    # NaN, typed or as text, is no number either; it would pass every lower bound.
     number = {c: F.nanvl(F.col(c).try_cast("double"), F.lit(None).cast("double")) for c in wanted}
     casts = {
         c: number[c] if t == "double" else number[c].try_cast(t)
         for c, t in wanted.items()
-        if dict(df.dtypes)[c] != t
+        if t == "double" or dict(df.dtypes)[c] != t
     }
     return df.withColumns(casts) if casts else df
 

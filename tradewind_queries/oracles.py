@@ -208,14 +208,14 @@ order_status_distribution AS (
 monthly_orders_revenue AS (
   SELECT CAST(date_trunc('month', order_purchase_timestamp) AS TIMESTAMP) AS month,
     COUNT(DISTINCT order_status) AS total_orders,
-    CAST(SUM(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS total_revenue
+    CAST(SUM(CAST(price AS DECIMAL(28,6))) AS DOUBLE) AS total_revenue
   FROM commerce WHERE price IS NOT NULL GROUP BY 1),
 top_states_by_order_count AS (
   SELECT customer_state, COUNT(DISTINCT order_status) AS total_orders
   FROM commerce WHERE customer_state IS NOT NULL GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 10),
 payment_type_distribution AS (
   SELECT payment_type, COUNT(*) AS transactions,
-    CAST(SUM(CAST(payment_value AS DECIMAL(18,2))) AS DOUBLE) AS total_value
+    CAST(SUM(CAST(payment_value AS DECIMAL(28,6))) AS DOUBLE) AS total_value
   FROM commerce GROUP BY 1),
 installments_distribution AS (
   SELECT payment_installments, COUNT(*) AS num_orders FROM commerce GROUP BY 1),
@@ -227,13 +227,13 @@ customers_by_state AS (
   FROM commerce WHERE customer_state IS NOT NULL GROUP BY 1),
 top_categories_by_sales AS (
   SELECT product_category_name_english AS category,
-    CAST(SUM(CAST(price AS DECIMAL(18,2))) AS DOUBLE) AS total_sales,
+    CAST(SUM(CAST(price AS DECIMAL(28,6))) AS DOUBLE) AS total_sales,
     COUNT(DISTINCT order_status) AS num_orders
   FROM commerce WHERE product_category_name_english IS NOT NULL AND price IS NOT NULL
   GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 15),
 product_price_distribution AS (
   SELECT quantile_disc(price, 0.25) AS p25, quantile_disc(price, 0.5) AS median, quantile_disc(price, 0.75) AS p75,
-    CAST(SUM(CAST(price AS DECIMAL(18,2))) AS DOUBLE) / COUNT(price) AS avg_price
+    CAST(SUM(CAST(price AS DECIMAL(28,6))) AS DOUBLE) / COUNT(price) AS avg_price
   FROM commerce),
 review_score_distribution AS (
   SELECT review_score, COUNT(*) AS num_reviews FROM commerce WHERE review_score IS NOT NULL GROUP BY 1),
@@ -518,7 +518,7 @@ ORACLES: dict[str, str] = {
     ),
     "eda_kpis": _reported(
         "SELECT (SELECT CAST(SUM(total_orders) AS BIGINT) FROM order_status_distribution) AS total_orders, "
-        "(SELECT CAST(SUM(CAST(total_revenue AS DECIMAL(18,2))) AS DOUBLE) FROM monthly_orders_revenue) AS total_revenue, "
+        "(SELECT CAST(SUM(CAST(total_revenue AS DECIMAL(28,6))) AS DOUBLE) FROM monthly_orders_revenue) AS total_revenue, "
         "(SELECT ROUND(CAST(SUM(review_score * num_reviews) AS DOUBLE) / GREATEST(1, SUM(num_reviews)), 6) FROM review_score_distribution) AS avg_review_score, "
         "(SELECT ROUND(CAST(SUM(COALESCE(delay_days, 0) * num_orders) AS DOUBLE) / SUM(num_orders), 6) FROM delivery_delay_distribution) AS avg_delivery_delay_days"
     ),
@@ -558,6 +558,21 @@ ORACLES: dict[str, str] = {
         "SELECT COUNT(*) AS samples, ROUND(CAST(SUM(is_late) AS DOUBLE) / COUNT(*) * 100, 6) AS late_pct, "
         "ROUND(CAST(SUM(delay_days) AS DOUBLE) / COUNT(*), 6) AS avg_delay_days FROM enhanced"
     ),
+    # Facts that hold for any right fit; the fitted numbers themselves are beyond SQL.
+    "ml_model_facts": _featured(
+        "SELECT model, is_late AS actual, c - CAST(ROUND(0.8 * c) AS BIGINT) AS rows, 0.0::DOUBLE AS auc_gap "
+        "FROM (SELECT is_late, COUNT(*) AS c FROM enhanced GROUP BY 1), "
+        "(VALUES ('Logistic Regression'), ('Random Forest'), ('Gradient Boosting')) AS v(model)"
+    ),
+    "ml_importance_facts": (
+        "SELECT model, 6::BIGINT AS features, 1.0::DOUBLE AS total, 0::BIGINT AS negative "
+        "FROM (VALUES ('Random Forest'), ('Gradient Boosting')) AS v(model)"
+    ),
+    "ml_logreg_calibration": _featured(
+        "SELECT CAST(SUM(t) AS BIGINT) AS train_rows, ROUND(CAST(SUM(t) FILTER (is_late = 1) AS DOUBLE) / SUM(t), 4) AS mean_score "
+        "FROM (SELECT is_late, CAST(ROUND(0.8 * COUNT(*)) AS BIGINT) AS t FROM enhanced GROUP BY 1)"
+    ),
+    "ml_best_model_facts": "SELECT 3::BIGINT AS models, 0.0::DOUBLE AS short_by",
     "binary_metrics": _scored(
         "SELECT ROUND((tp + tn) / (tp + fp + fn + tn), 9) AS acc, ROUND(COALESCE(tp / NULLIF(tp + fp, 0), 0), 9) AS precision, "
         "ROUND(COALESCE(tp / NULLIF(tp + fn, 0), 0), 9) AS recall, ROUND(COALESCE(2 * tp / NULLIF(2 * tp + fp + fn, 0), 0), 9) AS f1 FROM cells"

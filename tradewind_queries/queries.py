@@ -51,8 +51,6 @@ CLEAN = {
     "clean_geolocation": "geolocation",
 }
 PROFILED_FILES = ("orders.parquet", "lineitem.parquet", "customer.parquet", "absent.parquet")
-# Small enough for a check run; the library defaults are the full-size models.
-TRIAL = tr.ModelSettings(logreg_iterations=50, forest_trees=20, forest_depth=5, boosting_rounds=10)
 
 
 def cleaned(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
@@ -245,23 +243,49 @@ def confusion_matrix(spark, sf_dir):
     return mt.confusion_matrix(scored_labels(spark, sf_dir), "label", "pred")
 
 
-def _model(name: str) -> Query:
-    def run(spark, sf_dir):
-        return tr.model_metrics(tr.train_models(ml_features(spark, sf_dir), [name], TRIAL), name)
+@lru_cache(maxsize=4)
+def trained_base(spark: SparkSession, sf_dir: str) -> tr.TrainedModels:
+    """The base models at full size, fitted once per session and shared by the queries."""
+    return tr.train_models(ml_features(spark, sf_dir), tr.BASE_MODELS)
 
-    return run
+
+@lru_cache(maxsize=4)
+def trained_all(spark: SparkSession, sf_dir: str) -> tr.TrainedModels:
+    return tr.train_models(ft.features_enhanced(extract(spark, sf_dir)), tr.ALL_MODELS)
+
+
+def ml_model_facts(spark, sf_dir):
+    facts = tr.model_facts(trained_all(spark, sf_dir))
+    return facts.withColumn("auc_gap", F.round("auc_gap", 9) + 0.0)
+
+
+def ml_importance_facts(spark, sf_dir):
+    rows = tr.model_importances(spark, trained_all(spark, sf_dir))
+    return rows.groupBy("model").agg(
+        F.count(F.lit(1)).alias("features"),
+        F.round(F.sum("importance"), 9).alias("total"),
+        F.count_if(F.col("importance") < 0).alias("negative"),
+    )
+
+
+def ml_logreg_calibration(spark, sf_dir):
+    """The intercept has no penalty, so the mean score on the train rows is their share of late ones."""
+    found = tr.mean_train_score(trained_all(spark, sf_dir), tr.LOGREG)
+    return found.withColumn("mean_score", F.round("mean_score", 4))
 
 
-def _train_all(spark, sf_dir):
-    return tr.train_models(ft.features_enhanced(extract(spark, sf_dir)), tr.ALL_MODELS, TRIAL)
+def ml_best_model_facts(spark, sf_dir):
+    """Models compared, and by how much the best one falls short of the highest AUC."""
+    compared, best = ml_model_comparison(spark, sf_dir), ml_best_model(spark, sf_dir).first()
+    return compared.agg(F.count(F.lit(1)).alias("models"), (F.max("auc") - best["auc"]).alias("short_by"))
 
 
 def ml_feature_importance(spark, sf_dir):
-    return tr.model_importances(spark, _train_all(spark, sf_dir))
+    return tr.model_importances(spark, trained_all(spark, sf_dir))
 
 
 def ml_model_comparison(spark, sf_dir):
-    return tr.model_comparison(_train_all(spark, sf_dir))
+    return tr.model_comparison(trained_all(spark, sf_dir))
 
 
 def ml_best_model(spark, sf_dir):
@@ -311,10 +335,14 @@ QUERIES: dict[str, Query] = {
     "roc_auc": roc_auc,
     "roc_curve": roc_curve,
     "confusion_matrix": confusion_matrix,
-    "ml_logreg_metrics": _model(tr.LOGREG),
-    "ml_rf_metrics": _model(tr.FOREST),
-    "ml_gbt_metrics": _model(tr.BOOSTING),
+    "ml_logreg_metrics": lambda s, d: tr.model_metrics(trained_base(s, d), tr.LOGREG),
+    "ml_rf_metrics": lambda s, d: tr.model_metrics(trained_base(s, d), tr.FOREST),
+    "ml_gbt_metrics": lambda s, d: tr.model_metrics(trained_all(s, d), tr.BOOSTING),
     "ml_feature_importance": ml_feature_importance,
     "ml_model_comparison": ml_model_comparison,
     "ml_best_model": ml_best_model,
+    "ml_model_facts": ml_model_facts,
+    "ml_importance_facts": ml_importance_facts,
+    "ml_logreg_calibration": ml_logreg_calibration,
+    "ml_best_model_facts": ml_best_model_facts,
 }
