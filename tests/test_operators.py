@@ -11,7 +11,7 @@ from tradewind.operators.dedupe import except_rows, one_per_key, removed_by_key
 from tradewind.operators.fill import forward_fill
 from tradewind.operators.impute import median_impute
 from tradewind.operators.running import exact_medians, quantile_of, running_totals, value_counts_upto
-from tradewind.operators.skew import _grid, hot_keys, left_join_all
+from tradewind.operators.skew import grid, hot_keys, left_join_all
 
 
 def test_columns(spark):
@@ -63,14 +63,32 @@ def shop(spark, hot):
     )
 
 
-def test_hot_keys(spark):
-    _, items, payments = shop(spark, 300)
-    assert hot_keys({"items": items, "payments": payments}, "id", hot_rows=100) == [1]
-    assert hot_keys({"items": items}, "id", hot_rows=1000) == []
-    nameless = items.withColumn("id", F.when(F.col("id") != 1, F.col("id")))
-    assert hot_keys({"items": nameless}, "id", hot_rows=100) == []
-    assert hot_keys({"items": nameless}, "id", hot_rows=100, with_null=True) == [None]
-    assert hot_keys({"items": items.where("false")}, "id", hot_rows=1) == []
+def test_hot_keys_are_those_that_make_many_rows(spark):
+    items = spark.createDataFrame([(1, i) for i in range(30)] + [(2, i) for i in range(9)] + [(None, i) for i in range(200)], "id int, x int")
+    pays = spark.createDataFrame([(1, i) for i in range(40)] + [(3, i) for i in range(90)], "id int, y int")
+    found = lambda limit: {r["id"]: r["rows"] for r in hot_keys({"items": items, "pays": pays}, "id", limit).collect()}
+    assert found(1000) == {1: [30, 40]}
+    assert found(90) == {1: [30, 40], 3: [0, 90]}
+    assert found(1201) == {}
+    assert hot_keys({"items": items.where("false")}, "id", 1).count() == 0
+
+
+def test_a_key_of_many_pairs_is_spread(spark):
+    """300 items and 300 payments of one order make 90,000 rows; no task makes more than a tenth of them."""
+    base = spark.createDataFrame([(1,), (2,)], "id int")
+    items = spark.range(300).select(F.lit(1).alias("id"), F.col("id").alias("item"))
+    pays = spark.range(300).select(F.lit(1).alias("id"), F.col("id").alias("pay"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        joined = left_join_all(base, {"items": items, "pays": pays}, "id", unique_rows=True, hot_rows=1000)
+        sizes = [r["count"] for r in joined.where("pay IS NOT NULL").groupBy(F.spark_partition_id()).count().collect()]
+        assert sum(sizes) == 90_000 and max(sizes) < 9_000
+    finally:
+        for name in ("adaptive.enabled", "autoBroadcastJoinThreshold"):
+            spark.conf.unset(f"spark.sql.{name}")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
 
 
 @pytest.mark.parametrize("hot_rows", [7, 40, 100])
@@ -100,9 +118,13 @@ def test_hot_join_spreads_the_hot_key(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
-def test_each_hot_key_has_its_own_grid():
-    grid = _grid({"a": 1, "b": 5000, "c": 10}, {"a": 3000, "b": 2}, 1000)
-    assert grid == [("a", 1, 3, True), ("b", 5, 1, True), ("c", 1, 1, False)]
+def test_no_cell_of_a_grid_makes_more_than_the_limit(spark):
+    sides = spark.createDataFrame([(a * 1.0, b * 1.0) for a in (1, 5, 31, 32, 999, 5000) for b in (0, 1, 30, 33, 4000)], "a double, b double")
+    left, right = grid(F.col("a"), F.col("b"), 1000)
+    for r in sides.select("a", "b", left.alias("l"), right.alias("r")).collect():
+        assert (r.a / r.l) * (max(1, r.b) / r.r) <= 1070
+        assert r.l == 1 or r.a * max(1, r.b) > 1000
+        assert r.r == 1 or r.a * max(1, r.b) > 1000
 
 
 def test_hot_base_and_branch(spark):

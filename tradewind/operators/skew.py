@@ -1,8 +1,8 @@
-"""Left joins of several branches on one key, safe when one key holds much of the data.
+"""Left joins of several branches on one key, safe when one key holds or makes much of the data.
 
-Adaptive execution splits a hot key only on the preserved side of an outer join. Here the hot side
-is usually the other one (an order with a great many items), so hot keys are looked up first and
-their rows are joined on a salted key. Without hot keys the plan is the plain chain of joins.
+Adaptive execution splits a hot key only on the preserved side of an outer join, and looks at input rows
+only. So the rows of each key are counted in every input first (key columns alone, reduced in each
+task); keys whose joined rows pass a limit are joined on a salted grid, the rest by the plain chain.
 """
 
 from __future__ import annotations
@@ -10,41 +10,27 @@ from __future__ import annotations
 import math
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, functions as F, types as T
+from pyspark.sql import DataFrame, functions as F
 
 from tradewind.operators.copies import COPIES, pack_copies, unpack_copies
+from tradewind.session import stored
 
-HOT_ROWS = 1_000_000  # rows of one key that a single task should not have to hold
-HOT_SHARE = 4_000  # a hot key also holds more than 1/4000 of its table: at most 4000 such keys
-TRACKED = 20_000  # values one sketch tracks: enough to find every value over that share
-MERGE_GROUPS = 64  # sketches are merged in two steps, so that one task never reads all of them
-MAX_SALTS = 4_096  # more parts than this do not run at the same time anyway
+HOT_ROWS = 1_000_000  # rows of one key that a single task should hold or make at most
+KEYS_TO_BROADCAST = 100_000
 
 
-def hot_keys(
-    tables: Mapping[str, DataFrame], key: str, hot_rows: int = HOT_ROWS, with_null: bool = False
-) -> list:
-    """Values of ``key`` that are hot in any of ``tables``; NULL counts as a value if ``with_null``.
+def hot_keys(tables: Mapping[str, DataFrame], key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``key, rows`` of the keys whose join makes at least ``hot_rows`` rows; ``rows`` has the rows in each table.
 
-    One pass over the key columns with mergeable frequent-items sketches. The answer steers the
-    plan, never the result.
+    A table without the key counts as one row, as in a left join. NULL joins nothing and is no key.
     """
-    tagged = None
-    for name, df in tables.items():
-        part = df.select(F.lit(name).alias("name"), F.col(key).alias("key"))
-        if not with_null:
-            part = part.where(F.col("key").isNotNull())
+    names, tagged = list(tables), None
+    for i, df in enumerate(tables.values()):
+        part = df.where(F.col(key).isNotNull()).select(F.col(key), F.lit(i).alias("__table"))
         tagged = part if tagged is None else tagged.unionByName(part)
-    partial = tagged.groupBy("name", (F.spark_partition_id() % MERGE_GROUPS).alias("part")).agg(
-        F.count(F.lit(1)).alias("n"), F.expr(f"approx_top_k_accumulate(key, {TRACKED})").alias("sketch")
-    )
-    found = partial.groupBy("name").agg(
-        F.sum("n").alias("n"), F.expr(f"approx_top_k_combine(sketch, {TRACKED})").alias("sketch")
-    ).withColumn("top", F.expr(f"approx_top_k_estimate(sketch, {HOT_SHARE})"))
-    hot = found.select("n", F.explode("top").alias("t")).where(
-        (F.col("t.count") >= hot_rows) & (F.col("t.count") * HOT_SHARE >= F.col("n"))
-    )
-    return [row.item for row in hot.select("t.item").distinct().collect()]
+    counts = F.array(*[F.count_if(F.col("__table") == i) for i in range(len(names))])
+    made = F.aggregate("rows", F.lit(1.0), lambda product, n: product * F.greatest(n, F.lit(1)))
+    return tagged.groupBy(key).agg(counts.alias("rows")).where(made >= hot_rows)
 
 
 def left_join_all(
@@ -60,21 +46,21 @@ def left_join_all(
 
     ``unique_rows`` drops equal rows of every input first; as the output keeps all columns of all
     inputs, this equals a distinct over the (much larger) output. ``probe`` names narrower frames with
-    the same keys as the branches, for a cheaper look at the key counts. A key that is hot in
-    ``base`` alone is left to adaptive execution, which splits that side.
+    the same keys as the branches, for a cheaper look at the key counts.
     """
     # A row without a key matches nothing; kept, all of them would travel to one task.
     branches = {name: branch.where(F.col(key).isNotNull()) for name, branch in branches.items()}
-    hot = hot_keys(probe or branches, key, hot_rows)
-    if not hot:
+    # Only keys of the base are in the result.
+    hot = hot_keys({"base": base, **(probe or branches)}, key, hot_rows).where(F.col("rows")[0] > 0)
+    hot = stored(hot)
+    keys = hot.count()
+    if not keys:
         return _chain(base, branches, key, unique_rows)
-    is_hot = F.coalesce(F.col(key).isin(hot), F.lit(False))
-    cold = _chain(
-        base.where(~is_hot), {n: b.where(~is_hot) for n, b in branches.items()}, key, unique_rows
-    )
-    salted = _salted_chain(
-        base.where(is_hot), {n: b.where(is_hot) for n, b in branches.items()}, key, unique_rows, hot_rows
-    )
+    if keys <= KEYS_TO_BROADCAST:  # beyond it, adaptive execution splits the side with a hot key
+        hot = F.broadcast(hot)
+    without, of = (lambda df, how=how: df.join(hot.select(key), key, how) for how in ("left_anti", "left_semi"))
+    cold = _chain(without(base), {n: without(b) for n, b in branches.items()}, key, unique_rows)
+    salted = _salted_chain(of(base), {n: of(b) for n, b in branches.items()}, key, unique_rows, hot, hot_rows)
     return cold.unionByName(salted.select(*cold.columns))
 
 
@@ -90,7 +76,7 @@ def _chain(base, branches, key, unique_rows):
     return joined
 
 
-def _salted_chain(base, branches, key, unique_rows, hot_rows):
+def _salted_chain(base, branches, key, unique_rows, hot, hot_rows):
     """Joins of the hot keys' rows only. Equal rows travel as one row with a count."""
 
     def packed(df):
@@ -98,49 +84,40 @@ def _salted_chain(base, branches, key, unique_rows, hot_rows):
         return counted.withColumn(COPIES, F.lit(1).cast("bigint")) if unique_rows else counted
 
     joined = packed(base)
-    left_rows = _rows_per_key(joined, key)
-    for branch in branches.values():
-        right = packed(branch)
-        right_rows = _rows_per_key(right, key)
-        joined = _grid_join(joined, right, key, left_rows, right_rows, hot_rows)
-        left_rows = {k: n * right_rows.get(k, 1) for k, n in left_rows.items()}
+    left_rows = F.col("rows")[0].cast("double")
+    for i, branch in enumerate(branches.values(), start=1):
+        right_rows = F.col("rows")[i].cast("double")
+        left_parts, right_parts = grid(left_rows, right_rows, hot_rows)
+        parts = hot.select(
+            key, left_parts.alias("__n_left"), right_parts.alias("__n_right"), (right_rows > 0).alias("__matched")
+        )
+        joined = _grid_join(joined, packed(branch), key, parts)
+        left_rows = left_rows * F.greatest(right_rows, F.lit(1.0))
     return joined.drop(COPIES) if unique_rows else unpack_copies(joined)
 
 
-def _rows_per_key(df, key):
-    # df holds hot keys only: at most HOT_SHARE per input table.
-    return {row[0]: row[1] for row in df.groupBy(key).count().collect()}
+def grid(left_rows, right_rows, hot_rows):
+    """Parts of the left and of the right rows of a key, so that no cell of the grid makes more than ``hot_rows``.
 
-
-def _grid(left_rows, right_rows, hot_rows):
-    """Per key of the left side: salts for left rows, salts for right rows, and whether it has right rows.
-
-    Each key has its own grid: one that is hot on one side only must not repeat that side.
+    Both sides get parts of the square root of that; a side that is smaller stays whole, and the other one's
+    parts follow from what they make with it. A side without rows makes what a single row makes.
     """
+    side = float(math.isqrt(hot_rows))
+    right = F.greatest(right_rows, F.lit(1.0))
+    made = left_rows * right
+    few_left, few_right = left_rows <= side, right <= side
+    left_parts = F.when(few_right, F.ceil(made / hot_rows)).when(few_left, 1).otherwise(F.ceil(left_rows / side))
+    right_parts = F.when(few_right, 1).when(few_left, F.ceil(made / hot_rows)).otherwise(F.ceil(right / side))
+    return F.greatest(left_parts, F.lit(1)).cast("int"), F.greatest(right_parts, F.lit(1)).cast("int")
 
-    def salts(rows):
-        return min(MAX_SALTS, max(1, math.ceil(rows / hot_rows)))
-
-    return [(k, salts(n), salts(right_rows.get(k, 0)), k in right_rows) for k, n in left_rows.items()]
 
-
-def _grid_join(left, right, key, left_rows, right_rows, hot_rows):
+def _grid_join(left, right, key, parts):
     """Spread each key over a grid: left rows by one salt, right rows by the other.
 
     Rows are distinct here, so a hash of the row is an even salt and stays the same when a task is
     run again. A left row meets every right row of its key exactly once. Where the key has right
     rows, a grid cell without any yields an extra unmatched row, which is dropped.
     """
-    schema = T.StructType(
-        [
-            left.schema[key],
-            T.StructField("__n_left", T.IntegerType()),
-            T.StructField("__n_right", T.IntegerType()),
-            T.StructField("__matched", T.BooleanType()),
-        ]
-    )
-    grid = left.sparkSession.createDataFrame(_grid(left_rows, right_rows, hot_rows), schema)
-    grid = F.broadcast(grid)  # one row per hot key
 
     def own(df, n):
         return F.pmod(F.xxhash64(*df.columns), F.col(n)).cast("int")
@@ -150,13 +127,13 @@ def _grid_join(left, right, key, left_rows, right_rows, hot_rows):
 
     right = right.withColumnRenamed(COPIES, "__right_copies")
     spread_left = (
-        left.join(grid, key)
+        left.join(parts, key)
         .withColumn("__a", own(left, "__n_left"))
         .withColumn("__b", F.explode(F.when(F.col("__matched"), every("__n_right")).otherwise(F.array(F.lit(0)))))
         .drop("__n_left", "__n_right")
     )
     spread_right = (
-        right.join(grid, key)
+        right.join(parts, key)
         .withColumn("__b", own(right, "__n_right"))
         .withColumn("__a", F.explode(every("__n_left")))
         .withColumn("__hit", F.lit(True))

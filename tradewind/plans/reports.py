@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tradewind.functions.numbers import as_double, money, money_sum, safe_double, safe_long
 from tradewind.functions.timestamps import whole_days
-from tradewind.operators.running import quantile_of, value_counts_upto
+from tradewind.operators.running import ONE_TASK_ROWS, quantile_of, value_counts_upto
 from tradewind.sources.reportfiles import write_report
 
 
@@ -79,9 +79,9 @@ def top_categories_by_sales(commerce: DataFrame, n: int = 15) -> DataFrame:
     )
 
 
-def product_price_distribution(commerce: DataFrame) -> DataFrame:
+def product_price_distribution(commerce: DataFrame, one_task_rows: int = ONE_TASK_ROWS) -> DataFrame:
     """Exact quartiles and mean, from the counts of the distinct prices."""
-    counts, total = value_counts_upto(commerce.select(as_double("price").alias("price")), "price")
+    counts, total = value_counts_upto(commerce.select(as_double("price").alias("price")), "price", one_task_rows)
     spent = F.sum(money(F.col("price")) * F.col("n"))
     return counts.agg(
         quantile_of("price", 0.25, total).alias("p25"),

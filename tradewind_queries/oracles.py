@@ -591,3 +591,15 @@ ORACLES: dict[str, str] = {
         "FROM (VALUES (0, 0), (0, 1), (1, 0), (1, 1)) AS v(a, p)"
     ),
 }
+
+# The same rows by the paths for tables larger than one task.
+ORACLES |= {
+    "orders_all_hot": ORACLES["orders_all"],
+    "commerce_hot": ORACLES["commerce"],
+    "forward_fill_carried": ORACLES["forward_fill_geo"],
+    "median_impute_ranged": ORACLES["median_impute"],
+    "price_quartiles_ranged": ORACLES["product_price_distribution"],
+    "roc_auc_ranged": ORACLES["roc_auc"],
+    "roc_curve_ranged": ORACLES["roc_curve"],
+    "stratified_split_few_buckets": ORACLES["stratified_split_counts"],
+}

@@ -121,6 +121,46 @@ def forward_fill_geo(spark, sf_dir):
     )
 
 
+# The paths for tables larger than one task, over the same whole tables, with limits that these reach.
+SMALL_LIMIT = 20
+
+
+def forward_fill_carried(spark, sf_dir):
+    return forward_fill(
+        customers_geo_raw(spark, sf_dir),
+        [wr.GEO_ZIP, *wr.GEO_POINT],
+        "customer_zip_code_prefix",
+        ["customer_id", "geolocation_lat", "geolocation_lng"],
+        hot_rows=SMALL_LIMIT,
+    )
+
+
+def median_impute_ranged(spark, sf_dir):
+    columns = list(cl.PRODUCT_MEASURES)
+    filled = median_impute(b.products(spark, sf_dir), columns, one_task_rows=SMALL_LIMIT)
+    return filled.select("product_id", *columns)
+
+
+def price_quartiles_ranged(spark, sf_dir):
+    return rp.product_price_distribution(stored_commerce(spark, sf_dir), one_task_rows=SMALL_LIMIT)
+
+
+def roc_auc_ranged(spark, sf_dir):
+    auc = mt.roc_auc(scored_labels(spark, sf_dir), "label", "score", one_task_rows=SMALL_LIMIT)
+    return auc.withColumn("auc", F.round("auc", 9))
+
+
+def roc_curve_ranged(spark, sf_dir):
+    return mt.roc_curve(scored_labels(spark, sf_dir), "label", "score", one_task_rows=SMALL_LIMIT).withColumns(
+        {c: F.round(c, 9) for c in ("fpr", "tpr")}
+    )
+
+
+def stratified_split_few_buckets(spark, sf_dir):
+    split = ft.stratified_split(ml_features(spark, sf_dir), buckets=3)
+    return split.groupBy(ft.LABEL, "split").agg(F.count(F.lit(1)).alias("n"))
+
+
 def orders_items(spark, sf_dir):
     t = cleaned(spark, sf_dir, "orders", "order_items")
     return left_join_all(t["orders"], {"order_items": t["order_items"]}, "order_id")
@@ -345,4 +385,12 @@ QUERIES: dict[str, Query] = {
     "ml_importance_facts": ml_importance_facts,
     "ml_logreg_calibration": ml_logreg_calibration,
     "ml_best_model_facts": ml_best_model_facts,
+    "orders_all_hot": lambda s, d: wr.build_orders_all(cleaned(s, d), hot_rows=SMALL_LIMIT),
+    "commerce_hot": lambda s, d: wr.build_commerce(cleaned(s, d), hot_rows=SMALL_LIMIT),
+    "forward_fill_carried": forward_fill_carried,
+    "median_impute_ranged": median_impute_ranged,
+    "price_quartiles_ranged": price_quartiles_ranged,
+    "roc_auc_ranged": roc_auc_ranged,
+    "roc_curve_ranged": roc_curve_ranged,
+    "stratified_split_few_buckets": stratified_split_few_buckets,
 }
