@@ -79,19 +79,26 @@ def test_layer_is_snappy_with_microseconds(spark, tmp_path):
     assert meta.schema_arrow.field("t").type.unit == "us"
 
 
-def test_shuffles_are_sized_by_the_files(spark, tmp_path):
-    from tradewind.session import size_shuffles
+def test_shuffles_are_sized_by_the_files(spark, tmp_path, monkeypatch):
+    from tradewind import session
 
-    before = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    base = str(tmp_path)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
     for name in ("a", "b"):
-        write_table(spark.range(1000).repartition(1), base, name)
-    assert size_shuffles(spark, base) == before
-    try:
-        files = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
-        assert size_shuffles(spark, base, bytes_per_partition=100) == -(-files // 100) > before
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+        write_table(spark.range(1000).repartition(1), str(tmp_path), name)
+    with session.sized_shuffles(spark, str(tmp_path)):
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+    monkeypatch.setattr(session, "PART_BYTES", 100)
+    files = sum(f.stat().st_size for f in tmp_path.rglob("*.parquet"))
+    with pytest.raises(ZeroDivisionError), session.sized_shuffles(spark, str(tmp_path)):
+        assert int(spark.conf.get("spark.sql.shuffle.partitions")) == -(-files // 100) > int(before)
+        1 / 0
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
+
+
+def test_shuffle_sizes_from_a_gigabyte_to_a_hundred_terabytes():
+    from tradewind.session import shuffle_parts
+
+    assert [shuffle_parts(n) for n in (0, 1 << 30, 1 << 40, 100 << 40)] == [1, 16, 4096, 102_400]
 
 
 def test_paths():

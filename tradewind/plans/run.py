@@ -28,7 +28,7 @@ from tradewind.plans.training import (
 )
 from tradewind.plans.features import label_encode
 from tradewind.plans.wrangle import build_commerce
-from tradewind.session import prepare, run_together, size_shuffles
+from tradewind.session import prepare, run_together, sized_shuffles
 from tradewind.sources.layers import LayerPaths, read_layer, read_table, register_layer, write_table
 from tradewind.sources.rawcsv import stage_wide_csv
 from tradewind.sources.reportfiles import read_report, write_report
@@ -55,9 +55,9 @@ def write_all(spark: SparkSession, tables: dict[str, DataFrame], base: str) -> N
 def normalize_stage(spark: SparkSession, paths: LayerPaths, multi_line: bool = True) -> list[str]:
     """Returns the tables that the export holds: a later stage reads these, not what an earlier run has left."""
     wide = stage_wide_csv(spark, paths.raw_csv, paths.staged, multi_line=multi_line)
-    size_shuffles(spark, paths.staged)
     tables = normalize(wide)
-    write_all(spark, tables, paths.normalized)
+    with sized_shuffles(spark, paths.staged):
+        write_all(spark, tables, paths.normalized)
     return list(tables)
 
 
@@ -65,17 +65,17 @@ def clean_stage(spark: SparkSession, paths: LayerPaths, names: Sequence[str] = t
     def one(name: str, df: DataFrame) -> None:
         write_table(CLEANERS[name](df), paths.cleaned, name)
 
-    size_shuffles(spark, paths.normalized)
     tables = read_layer(spark, paths.normalized, names)
-    run_together(spark, [partial(one, name, df) for name, df in tables.items()])
+    with sized_shuffles(spark, paths.normalized):
+        run_together(spark, [partial(one, name, df) for name, df in tables.items()])
 
 
 def wrangle_stage(spark: SparkSession, paths: LayerPaths, names: Sequence[str] = tuple(TABLES)) -> None:
-    size_shuffles(spark, paths.cleaned)
-    commerce = build_commerce(read_layer(spark, paths.cleaned, names))
-    if commerce is None:
-        raise ValueError("customers, orders and order_items are needed to build the commerce table")
-    write_table(commerce, paths.wrangled, "commerce")
+    with sized_shuffles(spark, paths.cleaned):
+        commerce = build_commerce(read_layer(spark, paths.cleaned, names))
+        if commerce is None:
+            raise ValueError("customers, orders and order_items are needed to build the commerce table")
+        write_table(commerce, paths.wrangled, "commerce")
 
 
 def report_stage(spark: SparkSession, paths: LayerPaths) -> dict[str, str]:

@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import contextmanager
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -19,17 +20,34 @@ def prepare(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def size_shuffles(spark: SparkSession, folder: str, bytes_per_partition: int = 64 * 1024 * 1024) -> int:
-    """Raise ``spark.sql.shuffle.partitions`` to fit the Parquet files under ``folder``.
+PART_BYTES, LARGE_BYTES, MOST_PART_BYTES = 64 << 20, 64 << 30, 1 << 30
 
-    64 MB of Parquet is some 250 MB of shuffled rows. The setting is never lowered: adaptive
-    execution merges partitions that turn out small, but cannot split too few of them.
+
+def shuffle_parts(stored_bytes: int) -> int:
+    """Shuffle partitions for so many bytes of Parquet (some four times that as shuffled rows).
+
+    64 MB each up to 64 GB; beyond it parts and their number both grow with the square root, for every part
+    costs each map task a block, up to 1 GB each.
+    """
+    size = min(MOST_PART_BYTES, PART_BYTES * max(1.0, stored_bytes / LARGE_BYTES) ** 0.5)
+    return max(1, math.ceil(stored_bytes / size))
+
+
+@contextmanager
+def sized_shuffles(spark: SparkSession, folder: str):
+    """Inside, ``spark.sql.shuffle.partitions`` fits the Parquet files under ``folder``; then it is as before.
+
+    The setting is never lowered: adaptive execution merges partitions that turn out small, but
+    cannot split too few of them.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
     stored_bytes = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]  # sizes only, no content
-    wanted = max(int(spark.conf.get("spark.sql.shuffle.partitions")), math.ceil(stored_bytes / bytes_per_partition))
-    spark.conf.set("spark.sql.shuffle.partitions", wanted)
-    return wanted
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    spark.conf.set("spark.sql.shuffle.partitions", max(int(before), shuffle_parts(stored_bytes)))
+    try:
+        yield
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
 def shared_folder(spark: SparkSession) -> str:
