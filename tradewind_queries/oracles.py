@@ -364,6 +364,17 @@ def _profile_tables() -> str:
         "orders": "o_orderkey:bigint,o_custkey:bigint,o_orderstatus:string,o_totalprice:double,o_orderdate:timestamp_ntz,o_orderpriority:string",
         "lineitem": "l_orderkey:bigint,l_partkey:bigint,l_suppkey:bigint,l_linenumber:int,l_quantity:double,l_extendedprice:double,l_discount:double,l_tax:double,l_returnflag:string,l_linestatus:string,l_shipdate:timestamp_ntz",
         "customer": "c_custkey:bigint,c_name:string,c_nationkey:int,c_acctbal:double,c_mktsegment:string",
+        "region": "r_regionkey:int,r_name:string",
+        "nation": "n_nationkey:int,n_name:string,n_regionkey:int",
+        "supplier": "s_suppkey:bigint,s_name:string,s_nationkey:int,s_acctbal:double",
+        "part": "p_partkey:bigint,p_name:string,p_brand:string,p_type:string,p_size:int,p_retailprice:double",
+        "events": "event_id:bigint,ts:timestamp_ntz,user_id:bigint,event_type:string,value:double,props:string",
+        "documents": "doc_id:bigint,text:string,lang:string,source:string,n_chars:bigint",
+        "labels": "doc_id:bigint,quality:int,toxic:int",
+        "embeddings": "vec_id:bigint,embedding:array<float>,label:int",
+        "pages": "page_id:bigint,url:string,html:string",
+        "benchmark": "item_id:bigint,text:string",
+        "conversations": "conv_id:bigint,turn:bigint,role:string,text:string",
     }
     parts = [
         f"SELECT '{t}.parquet' AS table_name, 'ok' AS status, COUNT(*) AS row_count, "
@@ -533,6 +544,9 @@ ORACLES: dict[str, str] = {
         "SELECT order_id, CAST(COALESCE(FLOOR((epoch_us(order_delivered_customer_date) - epoch_us(order_estimated_delivery_date)) "
         "/ 86400000000.0) > 0, FALSE) AS INTEGER) AS is_late FROM b_orders"
     ),
+    "missing_columns": _domain(
+        "SELECT product_id, CAST(NULL AS DOUBLE) AS product_weight_g, product_length_cm, CAST(NULL AS INTEGER) AS shelf FROM b_products"
+    ),
     "safe_numeric": (
         "WITH t AS (SELECT event_id, CASE event_id % 4 WHEN 0 THEN event_type WHEN 1 THEN CAST(event_id AS VARCHAR) "
         "WHEN 2 THEN CAST(event_id AS VARCHAR) || '.75' ELSE '' END AS raw FROM events) "

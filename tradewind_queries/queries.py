@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import lru_cache
 
@@ -22,8 +23,9 @@ from tradewind.plans import reports as rp
 from tradewind.plans import training as tr
 from tradewind.plans import wrangle as wr
 from tradewind.plans.normalize import normalize_table
-from tradewind.session import stored
-from tradewind.sources.schema import TABLES, TEXT_TIMESTAMP
+from tradewind.session import shared_folder, stored
+from tradewind.sources.layers import register_layer, write_table
+from tradewind.sources.schema import TABLES, TEXT_TIMESTAMP, conform
 from tradewind_queries import bindings as b
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -50,7 +52,13 @@ CLEAN = {
     "clean_customers": "customers",
     "clean_geolocation": "geolocation",
 }
-PROFILED_FILES = ("orders.parquet", "lineitem.parquet", "customer.parquet", "absent.parquet")
+PROFILED_FILES = tuple(
+    f"{name}.parquet"
+    for name in (
+        "region nation customer supplier part orders lineitem events documents embeddings pages benchmark labels "
+        "conversations absent"
+    ).split()
+)
 
 
 def cleaned(spark: SparkSession, sf_dir: str, *names: str) -> dict[str, DataFrame]:
@@ -187,8 +195,16 @@ def eda_chart_series(spark, sf_dir):
 
 
 def catalog_sql_smoke(spark, sf_dir):
-    stored_commerce(spark, sf_dir).createOrReplaceTempView("tradewind_commerce")
-    return rp.sql_report(spark, "tradewind_commerce")
+    base = f"{shared_folder(spark)}/catalog-{uuid.uuid4()}"
+    write_table(stored_commerce(spark, sf_dir), base, "commerce")
+    (name,) = register_layer(spark, base, ["commerce"])
+    return rp.sql_report(spark, name)
+
+
+def missing_columns(spark, sf_dir):
+    """An export without the weight, and without a column that no export has."""
+    wanted = {"product_id": "bigint", "product_weight_g": "double", "product_length_cm": "double", "shelf": "int"}
+    return conform(b.products(spark, sf_dir).drop("product_weight_g"), wanted)
 
 
 def epoch_ms_to_ts(spark, sf_dir):
@@ -360,6 +376,7 @@ QUERIES: dict[str, Query] = {
     "epoch_ms_to_ts": epoch_ms_to_ts,
     "delay_days_floor": delay_days_floor,
     "is_late_flag": is_late_flag,
+    "missing_columns": missing_columns,
     "safe_numeric": safe_numeric,
     "strip_accents": strip_accents_documents,
     "ml_extract": extract,
