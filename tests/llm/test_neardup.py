@@ -83,6 +83,28 @@ def test_blocks_of_few_rows_give_the_same(spark, family, monkeypatch):
     assert result(neardup.near_duplicates(docs, Settings(shingle=2))) == brute_force(family, 2)
 
 
+@pytest.mark.parametrize("block", [16, 2048])
+def test_likely_pairs_that_are_no_links_are_not_made_as_rows(spark, monkeypatch, block):
+    """Templated pages at 0.72, each alone, beside a chain of edits as one large component."""
+    base = [f"t{k}" for k in range(100)]
+    texts = [[*base[:42], *(f"own{d}x{k}" for k in range(15)), *base[57:]] for d in range(150)]
+    for k in range(60):  # from the template on, one word after another
+        texts.append([*(f"c{j}" for j in range(k)), *base[k:]])
+    rows = [(i + 1, " ".join(t)) for i, t in enumerate(texts)]
+    made, kept = [], neardup.stored
+
+    def counted(df):
+        made.append((kept_df := kept(df)).count())
+        return kept_df
+
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    monkeypatch.setattr(neardup, "stored", counted)
+    got = result(neardup.near_duplicates(spark.createDataFrame([(i, t, "") for i, t in rows], DOCS), Settings(shingle=2)))
+    assert got == brute_force(rows, 2)
+    assert sum(c == i for i, (_, c, _) in got.items()) == 151
+    assert max(made[3:]) <= neardup.BANDS * len(rows)  # pages alone have 11,175 likely pairs
+
+
 def test_no_ids_repeated_rows_and_empty_tables(spark):
     long = "the quick brown fox jumps over the lazy dog near the river bank today"
     rows = [(5, long, "a"), (5, long, "a"), (None, long, "b"), (None, "some other text that has no id at all", "c"), (None, None, None), (3, long + " too", None)]

@@ -19,6 +19,7 @@ MANTISSA = 10  # bits kept below the leading zeros
 NO_ID = 1 << 62  # rows without an id are numbered from here on, by their text
 IDS_TO_BROADCAST = 2_000_000
 BLOCK = 2048  # rows compared with each other by one task
+BLOCK_HASHES = 1 << 20  # and elements of their sets
 
 
 def registers(hashes: np.ndarray) -> np.ndarray:
@@ -149,46 +150,61 @@ def _runs(batches, key: int):
         yield held
 
 
-def _crossing(members: DataFrame, labels: DataFrame, sketches: DataFrame, settings: Settings, best_only: bool) -> DataFrame:
-    """Likely pairs of rows that share a bucket but have different labels (and are not its leader).
+@dataclass
+class Cell:
+    """One block of a bucket's rows, or two that are compared with each other."""
 
-    Buckets whose rows all have one label are done. Of the others, rows are dealt into blocks of two
-    thousand, and each task compares one block, or two, in memory: pairs are never made as rows.
-    ``best_only`` gives ``a, b``: for each row its likeliest partner. Otherwise ``a, b`` are labels: the
-    pairs of labels between which any pair of rows is likely.
-    """
+    side: np.ndarray  # 2 in a cell of one block, else 0 or 1
+    node: np.ndarray
+    label: np.ndarray
+    n: np.ndarray
+    band: int
+    registers: np.ndarray
 
-    def compare(batches):
-        for parts in _runs(batches, 0):
-            side, node, label, n = (np.concatenate([p.column(i).to_numpy() for p in parts]) for i in (1, 2, 3, 4))
-            kept = np.frombuffer(b"".join(x for p in parts for x in p.column(5).to_pylist()), np.uint16).reshape(-1, REGISTERS)
-            names, counts = np.unique(label, return_counts=True)
-            most = names[counts.argmax()]
-            a, b = [], []
-            for i in np.flatnonzero(label != most):
-                other = np.flatnonzero((label != label[i]) & ((side != side[i]) | (side == 2)))
-                other = other[100 * np.minimum(n[other], n[i]) >= settings.percent * np.maximum(n[other], n[i])]
-                share = estimated((kept[other] == kept[i]).sum(axis=1))
-                other, share = other[share >= settings.least_estimate], share[share >= settings.least_estimate]
-                if len(other) == 0:
-                    continue
-                if best_only:
-                    other = other[[share.argmax()]]
-                    a.append(np.full(1, node[i])), b.append(node[other])
-                else:
-                    near = np.unique(label[other])
-                    a.append(np.full(len(near), label[i])), b.append(near)
-            if a:
-                pair = np.unique(np.sort(np.stack([np.concatenate(a), np.concatenate(b)]), axis=0), axis=1)
-                yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["a", "b"])
+    @classmethod
+    def of(cls, parts: list[pa.RecordBatch]) -> Cell:
+        side, node, label, n, band = (np.concatenate([p.column(i).to_numpy() for p in parts]) for i in range(1, 6))
+        kept = b"".join(x for p in parts for x in p.column(6).to_pylist())
+        return cls(side, node, label, n, int(band[0]), np.frombuffer(kept, np.uint16).reshape(-1, REGISTERS))
+
+    def asking(self) -> list[int]:
+        """The rows without the label that most have: one of them is in every pair of different labels."""
+        names, counts = np.unique(self.label, return_counts=True)
+        return np.flatnonzero(self.label != names[counts.argmax()]).tolist()
+
+    def likely(self, i: int, among: np.ndarray, settings: Settings, first_band: bool) -> tuple[np.ndarray, np.ndarray]:
+        """Places and estimates of the rows that may link with row ``i``, of other labels and the other block.
+
+        With ``first_band`` only those that agree with it in no earlier band: these pairs are decided there.
+        """
+        other = np.flatnonzero(among & (self.label != self.label[i]) & ((self.side != self.side[i]) | (self.side == 2)))
+        other = other[100 * np.minimum(self.n[other], self.n[i]) >= settings.percent * np.maximum(self.n[other], self.n[i])]
+        equal = self.registers[other] == self.registers[i]
+        share = estimated(equal.sum(axis=1))
+        keep = share >= settings.least_estimate
+        if first_band and keep.any():
+            bands = equal[keep, : BANDS * ROWS].reshape(-1, BANDS, ROWS).all(axis=2)
+            keep[keep] = bands.argmax(axis=1) == self.band
+        return other[keep], share[keep]
 
+
+CELL = "cell long, side long, node long, label long, n long, band long, registers binary"
+
+
+def _dealt(members: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataFrame:
+    """Rows of ``CELL``, each cell's behind one another: rows that share a bucket whose rows differ in label.
+
+    Buckets whose rows (but for the leader) all have one label are done. Of the others, rows are dealt
+    into blocks of two thousand (fewer if their sets are large), and each cell has one block, or two.
+    """
     named = members.where("node <> leader").join(labels, "node", "left")
-    named = named.select("key", "node", F.coalesce("label", "node").alias("label"))
+    named = named.select("key", "band", "node", "n", F.coalesce("label", "node").alias("label"))
+    blocks = F.ceil(F.greatest(F.col("rows") / BLOCK, F.col("hashes") / BLOCK_HASHES)).cast("int")
     mixed_up = (
         named.groupBy("key")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("rows"))
+        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("rows"), F.sum("n").alias("hashes"))
         .where("low <> high")
-        .select("key", F.ceil(F.col("rows") / BLOCK).cast("int").alias("blocks"))
+        .select("key", blocks.alias("blocks"))
     )
     own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
     # Block pairs (low, high): side 2 where both are the same, else 0 and 1.
@@ -198,54 +214,80 @@ def _crossing(members: DataFrame, labels: DataFrame, sketches: DataFrame, settin
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .withColumn("side", F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1))
         .withColumn("cell", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
-        .join(sketches.select("node", "n", "registers"), "node")
-        .select("cell", F.col("side").cast("long").alias("side"), "node", "label", "n", "registers")
+        .join(sketches.select("node", "registers"), "node")
+        .select("cell", F.col("side").cast("long").alias("side"), "node", "label", "n", F.col("band").cast("long").alias("band"), "registers")
     )
-    return dealt.repartition("cell").sortWithinPartitions("cell").mapInArrow(compare, "a long, b long").distinct()
+    return dealt.repartition("cell").sortWithinPartitions("cell")
 
 
-def _between(pairs: DataFrame, labels: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
-    """One link, if there is any, between each row of the smaller and the larger component of each pair.
+def _partners(dealt: DataFrame, settings: Settings) -> DataFrame:
+    """``a, b``: the likeliest partner of another label, in each cell, of each row without its cell's main label."""
 
-    The larger one's sets are dealt into blocks; the smaller one's go to each of them and are counted
-    against an index of the block, so no pair is made as a row unless it is a link.
+    def compare(batches):
+        for parts in _runs(batches, 0):
+            cell = Cell.of(parts)
+            a, b, everyone = [], [], np.ones(len(cell.node), bool)
+            for i in cell.asking():
+                other, share = cell.likely(i, everyone, settings, first_band=False)
+                if len(other):
+                    a.append(cell.node[i]), b.append(cell.node[other[share.argmax()]])
+            if a:
+                pair = np.unique(np.sort(np.array([a, b]), axis=0), axis=1)
+                yield pa.RecordBatch.from_arrays([pa.array(pair[0]), pa.array(pair[1])], names=["a", "b"])
+
+    return dealt.mapInArrow(compare, "a long, b long").distinct()
+
+
+def _undecided(dealt: DataFrame, settings: Settings) -> DataFrame:
+    """The rows of each cell that may link with a row of another label there: only they need their full sets."""
+
+    def pick(batches):
+        for parts in _runs(batches, 0):
+            cell = Cell.of(parts)
+            waiting, wanted = np.ones(len(cell.node), bool), np.zeros(len(cell.node), bool)
+            for i in cell.asking():
+                waiting[i] = False
+                other, _ = cell.likely(i, waiting, settings, first_band=True)
+                wanted[other] = True
+                wanted[i] |= len(other) > 0
+            if wanted.any():
+                yield from pa.Table.from_batches(parts).filter(pa.array(wanted)).to_batches()
+
+    return dealt.mapInArrow(pick, CELL)
+
+
+def _joining(undecided: DataFrame, sets: DataFrame, settings: Settings) -> DataFrame:
+    """``a, b``: links, confirmed on full sets, that join all labels which links of a cell join.
+
+    Each likely pair of rows is decided inside its cell unless links found there before have joined
+    their labels. So a cell gives fewer links than it has rows, however many of its pairs are likely.
     """
 
-    def count(smaller: pa.Table, larger: pa.Table) -> pa.Table:
-        a, b = [], []
-        if len(smaller) and len(larger):
-            flat = larger["hashes"].combine_chunks()
-            sizes = flat.value_lengths().to_numpy()
-            values, owner = flat.flatten().to_numpy(), np.repeat(np.arange(len(sizes)), sizes)
-            order = np.argsort(values)
-            values, owner = values[order], owner[order]
-            for node, found in zip(smaller["asked"].to_numpy(), smaller["asked_hashes"]):
-                query = found.values.to_numpy()
-                low, high = np.searchsorted(values, query, "left"), np.searchsorted(values, query, "right")
-                each = high - low
-                places = np.repeat(low - np.concatenate(([0], np.cumsum(each)[:-1])), each) + np.arange(each.sum())
-                both = np.bincount(owner[places], minlength=len(sizes))
-                link = np.flatnonzero(100 * both >= settings.percent * (sizes + len(query) - both))
-                if len(link):
-                    a.append(node)
-                    b.append(larger["node"][int(link[0])].as_py())
-        return pa.Table.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    named = sets.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    sizes = named.groupBy("label").agg(F.count("*").alias("rows"))
-    first, second = sizes.toDF("a", "rows_a"), sizes.toDF("b", "rows_b")
-    a_is_less = F.col("rows_a") < F.col("rows_b")
-    sided = pairs.join(first, "a").join(second, "b").select(
-        F.when(a_is_less, F.col("a")).otherwise(F.col("b")).alias("label"),
-        F.when(a_is_less, F.col("b")).otherwise(F.col("a")).alias("into"),
-        F.ceil(F.greatest("rows_a", "rows_b") / BLOCK).cast("int").alias("blocks"),
-    )
-    asked = named.join(sided, "label").withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    asked = asked.select("into", "block", "node", "hashes").toDF("asked_into", "asked_block", "asked", "asked_hashes")
-    held = named.join(sided.select(F.col("into").alias("label"), "blocks").distinct(), "label").select(
-        F.col("label").alias("into"), F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int").alias("block"), "node", "hashes"
-    )
-    return asked.groupBy("asked_into", "asked_block").cogroup(held.groupBy("into", "block")).applyInArrow(count, "a long, b long")
+    def decide(batches):
+        for parts in _runs(batches, 0):
+            cell = Cell.of(parts)
+            sizes = np.concatenate([p.column(7).value_lengths().to_numpy() for p in parts]).astype(np.int64)
+            values, codes = np.unique(np.concatenate([p.column(7).flatten().to_numpy() for p in parts]), return_inverse=True)
+            own = np.split(codes, np.cumsum(sizes)[:-1])
+            a, b, waiting, asked = [], [], np.ones(len(sizes), bool), np.zeros(len(values), np.int32)
+            for i in cell.asking():
+                waiting[i] = False
+                other, _ = cell.likely(i, waiting, settings, first_band=True)
+                if not len(other):
+                    continue
+                asked[own[i]] = 1
+                starts = np.cumsum(sizes[other]) - sizes[other]
+                both = np.add.reduceat(asked[np.concatenate([own[k] for k in other])], starts)
+                asked[own[i]] = 0
+                for k in other[100 * both >= settings.percent * (sizes[other] + sizes[i] - both)]:
+                    if cell.label[k] != cell.label[i]:
+                        a.append(cell.node[i]), b.append(cell.node[k])
+                        cell.label[cell.label == cell.label[k]] = cell.label[i]
+            if a:
+                yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    whole = undecided.join(sets, "node").select(*undecided.columns, "hashes")
+    return whole.repartition("cell").sortWithinPartitions("cell").mapInArrow(decide, "a long, b long").distinct()
 
 
 def _components(docs: DataFrame, settings: Settings) -> DataFrame:
@@ -258,20 +300,21 @@ def _components(docs: DataFrame, settings: Settings) -> DataFrame:
     sketches = stored(first.drop("digest"))
 
     band = f"xxhash64(b, substring(registers, b * {2 * ROWS} + 1, {2 * ROWS}))"
-    bands = sketches.select("node", F.explode(F.expr(f"transform(sequence(0, {BANDS - 1}), b -> {band})")).alias("key"))
+    keys = F.posexplode(F.expr(f"transform(sequence(0, {BANDS - 1}), b -> {band})"))
+    bands = sketches.select("node", "n", keys.alias("band", "key"))
     buckets = bands.groupBy("key").agg(F.min("node").alias("leader"), F.max("node").alias("last")).where("leader <> last")
-    members = stored(bands.join(buckets.drop("last"), "key").select("key", "node", "leader"))
+    members = stored(bands.join(buckets.drop("last"), "key").select("key", "band", "node", "n", "leader"))
     ids = members.select("node").distinct()
     sets = stored(_sets(docs, ids, settings.shingle))
 
     star = members.where("node <> leader").select(F.col("leader").alias("a"), F.col("node").alias("b")).distinct()
     links = stored(_linked(_likely(star, sketches, settings), sets, settings))
     labels = components(links)
-    partners = _crossing(members, labels, sketches, settings, best_only=True)
+    partners = _partners(_dealt(members, labels, sketches), settings)
     links = stored(links.unionByName(_linked(partners, sets, settings)))
     labels = components(links)
-    open_pairs = stored(_crossing(members, labels, sketches, settings, best_only=False))
-    links = stored(links.unionByName(_between(open_pairs, labels, sets, settings)))
+    undecided = _undecided(_dealt(members, labels, sketches), settings)
+    links = stored(links.unionByName(_joining(undecided, sets, settings)))
     labels = components(links)
 
     named = copies.join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("component"))
@@ -291,9 +334,10 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
        smallest node: first by estimate, then on the full sets. A bucket of any size gives one pair a
        row, and links of exact or very near copies need no more.
     3. Rows of one bucket that are still in different components are compared in blocks: each with its
-       likeliest partner, and then, exactly, with whole components. Every pair that shares a bucket and
-       is likely is so decided on full sets or already connected. A pair at the threshold shares no
-       bucket with a chance of 3 in a million.
+       likeliest partner, and then, inside the tasks and on full sets, with every likely row of another
+       component. Every pair that shares a bucket and is likely is so decided on full sets or already
+       connected, and no pair is made as a row unless it joins two components of its block. A pair at
+       the threshold shares no bucket with a chance of 3 in a million.
 
     Texts without words (NULL, empty) have 0 shingles and are linked with nothing. Rows that share an id
     are one document. Rows without an id are linked by their text; their component has the smallest id
