@@ -114,8 +114,8 @@ def judge(pages: DataFrame, rules: list[Rule], threshold: float = 0.5, quantile:
 
     The longest fitting rule decides. Its verdicts are also the labelled outcomes that hosts are judged
     by; a page without a rule is blocked if the upper posterior bound of its host's good share is
-    below ``threshold``: with the default ``quantile``, if that is 99 % sure. A host without outcomes has its
-    domain's reputation, with all that is not known about it. NULL urls have an empty host, which is
+    below ``threshold``: with the default ``quantile`` 99 % sure by the normal approximation, which is less for
+    hosts with few outcomes, whose beta is skewed. A host without outcomes has its domain's reputation, with all that is not known about it. NULL urls have an empty host, which is
     judged like any other. Every row of ``pages`` comes back once, repeated ones too.
     """
     host, path = host_and_path(F.col("url"))
