@@ -24,7 +24,7 @@ def keep_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def keep_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents in a language that the documents at hand teach; texts without a letter go."""
+    """Documents with a letter; the score is near 1 for any longer text, so hardly another one goes."""
     model = language.fit(docs)
     found = language.predict(docs, model)
     return found.where(f"lang_pred <> '{language.UNKNOWN}' AND score >= {LEAST_CERTAINTY}").select(*docs.columns)
