@@ -8,13 +8,14 @@ import zlib
 import numpy as np
 import public_tokenizers
 import pytest
+import sentencepiece
 from hypothesis import given, settings, strategies as st
 from tokenizers import Tokenizer
 
 from tradewind.llm import dac, packing, reputation, tokens, warc
 from tradewind.llm.reputation import Rule
 
-BYTES, WORDS = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json"))
+BYTES, WORDS, PIECES = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"))
 PAGES = "page_id long, url string, html string, host string"
 DOCS = "doc_id long, text string, length string"
 TEXTS = ["one text", None, "", " \n ", "a  b\tc\n\nd", "the the the " * 9000, "<|endoftext|> é ̀x", "same text", "same text"]
@@ -66,15 +67,44 @@ def test_direct_codes_round_trip(ids):
         assert seg[i] == ids[i] and (seg.slice(i, len(ids)) == ids[i:]).all()
 
 
+PARTS = ["a", "Bc", " ", "  ", "\n", "é", "İ", "'s", "!", "1", " ̀", " ", "\t", "🙂", "ΟΣ", "\x1d", ".", ",", "ǅ", "ß", "İ", "|"]
+PARTS += ["<|endoftext|>", "<|startoftext|>", "<|ENDOFTEXT|>", "<|endof", "text|>", "<|", "\u2581", "\x00", "<s>", "word" * 60]
+
+
+def odd_texts(n):
+    rng = random.Random(1)
+    return [*TEXTS[2:], *("".join(rng.choices(PARTS, k=rng.randint(1, 25))) for _ in range(n))]
+
+
+@pytest.mark.parametrize("as_text", [False, True])
 @pytest.mark.parametrize("path, spaced", [(BYTES, True), (WORDS, False)])
-def test_pieces_have_the_library_ids(path, spaced):
+def test_pieces_have_the_library_ids(path, spaced, as_text):
     library = Tokenizer.from_file(path)
-    library.encode_special_tokens = True
-    own, rng = tokens.Encoder(path, spaced), random.Random(1)
-    parts = ["a", "Bc", " ", "  ", "\n", "é", "İ", "'s", "!", "1", " ̀", " ", "\t", "🙂", "ΟΣ", "\x1d", ".", ",", "ǅ", "ß", "İ", "|"]
-    texts = [*TEXTS[2:], *("".join(rng.choices(parts, k=rng.randint(1, 25))) for _ in range(1500))]
-    for text in texts:
+    if as_text:
+        library.encode_special_tokens = True
+    own = tokens.Encoder(path, spaced, as_text)
+    for text in odd_texts(1500):
+        assert np.frombuffer(own.encode(text), np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids
+
+
+def test_memory_of_pieces_is_bounded(monkeypatch):
+    library = Tokenizer.from_file(BYTES)
+    own = tokens.Encoder(BYTES, True)
+    own.known, own.words, own.others = (tokens.Remembered(4000) for _ in range(3))
+    for k in range(300):
+        text = " ".join(f"w{chr(97 + j % 26) * (j % 7)}x{chr(97 + (j * k) % 26)}." for j in range(k % 40)) + " " + "y" * 3000 * (k % 3)
         assert np.frombuffer(own.encode(text), np.uint32).tolist() == library.encode(text, add_special_tokens=False).ids
+        for known in (own.known, own.words, own.others):
+            assert known.held <= 4000 and max(map(len, known), default=0) <= tokens.LONGEST
+
+
+def test_long_texts_are_cut_where_no_piece_reaches_over(monkeypatch):
+    monkeypatch.setattr(tokens, "BLOCK", 7)
+    own = tokens.PieceEncoder(PIECES)
+    library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
+    assert own.apart
+    for text in odd_texts(1500):
+        assert np.frombuffer(own.encode(text), np.uint32).tolist() == library.encode(text)
 
 
 def test_token_files_round_trip(spark, monkeypatch):
@@ -83,7 +113,6 @@ def test_token_files_round_trip(spark, monkeypatch):
     docs = spark.createDataFrame([*((i, t, "clash") for i, t in zip(ids, TEXTS)), (None, "no id", None)], DOCS)
     got = [tuple(r) for r in dac.checksums(dac.read_tokens(dac.with_starts(dac.write_tokens(docs, BYTES, 2)))).orderBy("start").collect()]
     library = Tokenizer.from_file(BYTES)
-    library.encode_special_tokens = True
     expected, start = [], 0
     for i, t in sorted([*zip(ids, TEXTS), (None, "no id")], key=lambda r: (r[0] is not None, r[0] or 0)):
         data = np.array(library.encode(t or "", add_special_tokens=False).ids + [2], np.uint32)

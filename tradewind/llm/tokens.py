@@ -5,11 +5,17 @@ from __future__ import annotations
 import os
 import re
 from array import array
+from collections.abc import Iterator
 
-#: Distinct pieces of text, and distinct words, remembered by a worker before it starts anew.
-REMEMBERED = 500_000  # some 200 MB together
+import numpy as np
+
+REMEMBERED = 64 << 20  # bytes of strings and their ids in each half of what a worker remembers
+LONGEST = 200  # characters of the longest string that is remembered
+BLOCK = 1 << 20  # characters that SentencePiece gets at once
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 _BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
+_SINGLE_SPACE = re.compile("(?<=[^ ]) (?=[^ ])")
+MARK = "\u2581"  # how SentencePiece writes a space
 #: A word of Latin letters (without the one whose lower case is two characters) and marks behind it.
 _PLAIN = re.compile("(\n?)([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?|]*)")
 
@@ -22,90 +28,195 @@ def _byte_letters() -> dict[int, str]:
 
 
 _LETTERS = _byte_letters()
-_encoders: dict[tuple[str, bool], "Encoder"] = {}
+_encoders: dict = {}
+
+
+class Remembered(dict):
+    """What was worked out for strings before, in two halves of a bounded size: a full one becomes the older half."""
+
+    def __init__(self, limit: int = REMEMBERED):
+        self.limit, self.held, self.older = limit, 0, {}
+
+    def recalled(self, keys) -> dict:
+        """What the older half knows of ``keys``."""
+        return {k: self.older[k] for k in keys if k in self.older}
+
+    def keep(self, found: dict, size: int) -> None:
+        """Remember what was worked out; ``size`` is what keys and values take in bytes."""
+        size += 200 * len(found)
+        if self.held + size > self.limit:
+            self.older, self.held = dict(self), 0
+            self.clear()
+        if size <= self.limit:
+            self.held += size
+            self.update(found)
+
+    def keep_ids(self, found: dict[str, bytes]) -> None:
+        if max(map(len, found), default=0) > LONGEST:
+            found = {text: ids for text, ids in found.items() if len(text) <= LONGEST}
+        self.keep(found, 2 * sum(map(len, found)) + sum(map(len, found.values())))
 
 
 class Encoder:
-    """Encodes a text piece by piece, as little-endian unsigned 32-bit ids.
+    """Encodes a text piece by piece, as little-endian unsigned 32-bit ids: those of ``Tokenizer.from_file(path)``.
 
-    A text is cut before every single space or line feed between two other characters. No token of these
-    tokenizers reaches over one: their patterns match it only as the first character of a word
-    (``leading_space``), alone, or drop it. So a piece has the same ids wherever it stands, and pieces
-    that come again are looked up. What is remembered is dropped when it has grown to ``REMEMBERED``
-    pieces. Strings of special tokens are ordinary text.
+    Strings of added tokens are cut out first and have their own ids, as the library does it by default;
+    with ``special_as_text`` they are ordinary text. What is left is cut before every single space or line
+    feed between two other characters. No token of these tokenizers reaches over one: their patterns match
+    it only as the first character of a word (``leading_space``), alone, or drop it. So a piece has the same
+    ids wherever it stands, and pieces that come again are looked up; what is remembered is bounded in bytes.
     """
 
-    def __init__(self, path: str, leading_space: bool):
+    def __init__(self, path: str, leading_space: bool, special_as_text: bool = False):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = special_as_text
+        added = {} if special_as_text else self.tokenizer.get_added_tokens_decoder()
+        if any(t.single_word or t.lstrip or t.rstrip or t.normalized for t in added.values()):
+            raise ValueError(f"{path} has added tokens that depend on their surroundings")
+        self.special = {t.content: np.uint32(k).tobytes() for k, t in added.items()}
+        longest_first = sorted(self.special, key=len, reverse=True)
+        self.special_strings = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")")
         self.leading_space = leading_space
-        self.known: dict[str, bytes] = {}
-        self.words: dict[str, bytes] = {}
-        self.marks: dict[str, bytes] = {}
+        self.known, self.words, self.others = Remembered(), Remembered(REMEMBERED // 2), Remembered(REMEMBERED // 8)
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
         found = self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)
         return [array("I", e.ids).tobytes() for e in found]
 
-    def _word(self, word: str, spaced: bool) -> bytes:
-        """Ids of letters alone: one word of the pattern, so the model's merges are all there is to do."""
-        key = word if spaced else "\n" + word
-        if key not in self.words:
-            if len(self.words) >= REMEMBERED:
-                self.words.clear()
-            letters = (word if self.leading_space else word.lower()).encode().decode("latin-1").translate(_LETTERS)
-            lead = _LETTERS[0x20] if self.leading_space and spaced else ""
-            self.words[key] = array("I", [t.id for t in self.tokenizer.model.tokenize(lead + letters)]).tobytes()
-        return self.words[key]
-
-    def _marks(self, marks: str) -> bytes:
-        if marks not in self.marks:
-            if len(self.marks) >= REMEMBERED:
-                self.marks.clear()
-            self.marks[marks] = self._ids([marks])[0]
-        return self.marks[marks]
-
-    def _learn(self, pieces: set[str]) -> None:
-        """Remember the ids of new pieces: plain ones as a word and marks, the others as the library gives them."""
-        others = []
+    def _words(self, words: set[str]) -> dict[str, bytes]:
+        """Ids of letters alone, behind a space or not: one word of the pattern, so the model's merges are all there is to do."""
+        found = {w: self.words[w] for w in words if w in self.words}
+        found |= self.words.recalled(words.difference(found))
+        new = {}
+        for word in words.difference(found):
+            letters = word.encode().decode("latin-1").translate(_LETTERS)
+            new[word] = array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+        self.words.keep_ids(new)
+        return found | new
+
+    def _other(self, text: str) -> bytes:
+        """Ids of a text as it stands, without a space before it: marks, or the start of a text."""
+        if text not in self.others:
+            self.others.keep_ids({text: self._ids([text])[0]})
+        return self.others.get(text) or self._ids([text])[0]
+
+    def _learned(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of new pieces: plain ones as a word and marks, the others as the library gives them."""
+        found, others, plain = {}, [], {}
         for piece in pieces:
-            plain = _PLAIN.fullmatch(piece)
-            if plain:
-                line, word, marks = plain.groups()
-                ids = self._word(word, not line)
-                if line and self.leading_space:
-                    ids = self._marks("\n") + ids
-                self.known[piece] = ids + self._marks(marks) if marks else ids
+            match = _PLAIN.fullmatch(piece) if len(piece) <= LONGEST else None
+            if match:
+                line, word, marks = match.groups()
+                word = word.lower() if not self.leading_space else word if line else " " + word
+                plain[piece] = (self.leading_space and line, word, marks)
             else:
                 others.append(piece)
+        words = self._words({word for _, word, _ in plain.values()})
+        for piece, (line, word, marks) in plain.items():
+            ids = words[word] + self._other(marks) if marks else words[word]
+            found[piece] = self._other(line) + ids if line else ids
         lead = " " if self.leading_space else ""
-        self.known.update(zip(others, self._ids([p if p[:1] == "\n" else lead + p for p in others])))
+        found.update(zip(others, self._ids([p if p[:1] == "\n" else lead + p for p in others])))
+        return found
+
+    def _joined(self, pieces: list[str]) -> bytes:
+        found = list(map(self.known.get, pieces))
+        if None in found:
+            missing = {p for p, ids in zip(pieces, found) if ids is None}
+            new = self.known.recalled(missing)
+            new |= self._learned(missing.difference(new))
+            self.known.keep_ids(new)
+            found = [new[p] if ids is None else ids for p, ids in zip(pieces, found)]
+        return b"".join(found)
+
+    def _plain(self, text: str) -> bytes:
+        """Ids of a text without strings of added tokens."""
+        if not self.leading_space:  # white space is dropped
+            return self._joined(text.replace("\n", " ").split(" "))
+        pieces = text.replace("\n", " \n").split(" ")
+        first = pieces.pop(0)
+        if "" in pieces or "\n" in pieces or _OTHER_SPACE.search(text):
+            first, *pieces = _BOUNDARY.split(text)
+        head = self._other(first) if first else b""  # no space before the first piece
+        return head + self._joined(pieces)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        if not self.leading_space:  # white space is dropped
-            pieces, head = text.replace("\n", " ").split(" "), b""
-        else:
-            pieces = text.replace("\n", " \n").split(" ")
-            if "" in pieces or "\n" in pieces or _OTHER_SPACE.search(text):
-                pieces = _BOUNDARY.split(text)
-            head, pieces = self._ids(pieces[:1])[0], pieces[1:]  # no space before the first piece
-        distinct = set(pieces)
-        new = distinct.difference(self.known)
-        if new:
-            if len(self.known) + len(new) > REMEMBERED:
-                self.known.clear()
-                new = distinct
-            self._learn(new)
-        return head + b"".join(map(self.known.__getitem__, pieces))
-
-
-def encoder(path: str, leading_space: bool) -> Encoder:
+        if not any(s in text for s in self.special):
+            return self._plain(text)
+        parts = self.special_strings.split(text)  # every second part is an added token
+        return b"".join(self.special[p] if k % 2 else self._plain(p) if p else b"" for k, p in enumerate(parts))
+
+
+class PieceEncoder:
+    """Encodes a text with a SentencePiece model that marks a space before a word, as little-endian unsigned 32-bit ids.
+
+    The ids are those of ``SentencePieceProcessor(model_file=path).encode(text)``. A very long text is cut into
+    blocks before single spaces between two other characters, so that the library's memory has a bound: if
+    no piece of the model holds the mark behind another character, none reaches over such a place, and the
+    library itself puts a mark before the text it gets. Texts that hold the mark are encoded whole.
+    """
+
+    def __init__(self, path: str):
+        import sentencepiece
+
+        self.model = sentencepiece.SentencePieceProcessor(model_file=path)
+        entries = (self.model.id_to_piece(i) for i in range(self.model.get_piece_size()))
+        self.apart = not any(MARK in e.lstrip(MARK) for e in entries)
+        self.apart &= "".join(self.model.encode("a  b ", out_type=str)) == f"{MARK}a{MARK}{MARK}b{MARK}"
+
+    def _blocks(self, text: str) -> Iterator[str]:
+        start = 0
+        while len(text) - start > BLOCK and self.apart and MARK not in text:
+            space = _SINGLE_SPACE.search(text, start + BLOCK)
+            if space is None:
+                break
+            yield text[start : space.start()]
+            start = space.end()
+        yield text[start:]
+
+    def encode(self, text: str | None) -> bytes:
+        if not text:
+            return b""
+        return b"".join(array("I", self.model.encode(block, num_threads=1)).tobytes() for block in self._blocks(text))
+
+
+def encoder(path: str, leading_space: bool, special_as_text: bool = False) -> Encoder:
     """The encoder of this worker process for a tokenizer file."""
     os.environ["TOKENIZERS_PARALLELISM"] = "false"
-    if (path, leading_space) not in _encoders:
-        _encoders[path, leading_space] = Encoder(path, leading_space)
-    return _encoders[path, leading_space]
+    key = (path, leading_space, special_as_text)
+    if key not in _encoders:
+        _encoders[key] = Encoder(*key)
+    return _encoders[key]
+
+
+def piece_encoder(path: str) -> PieceEncoder:
+    """The encoder of this worker process for a SentencePiece model."""
+    if path not in _encoders:
+        _encoders[path] = PieceEncoder(path)
+    return _encoders[path]
+
+
+def byte_level_entries(path: str) -> list[bytes]:
+    """The bytes that each id of a byte-level tokenizer file stands for; an added token's are its string."""
+    from tokenizers import Tokenizer
+
+    tokenizer = Tokenizer.from_file(path)
+    byte_of = {letter: byte for byte, letter in _LETTERS.items()}
+    added = {k: t.content for k, t in tokenizer.get_added_tokens_decoder().items()}
+    entries = [b""] * tokenizer.get_vocab_size(with_added_tokens=True)
+    for token, k in tokenizer.get_vocab(with_added_tokens=True).items():
+        entries[k] = added[k].encode() if k in added else bytes(byte_of[c] for c in token)
+    return entries
+
+
+def piece_entries(path: str) -> list[bytes]:
+    """The bytes that each id of a SentencePiece model stands for: its piece with marks as spaces, or the byte it names."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    pieces = [model.id_to_piece(k) for k in range(model.get_piece_size())]
+    return [bytes([int(p[3:-1], 16)]) if model.is_byte(k) else p.replace(MARK, " ").encode() for k, p in enumerate(pieces)]
