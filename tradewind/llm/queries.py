@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import dac, decontaminate, hilbert, language, neardup, packing, quality, reputation, toxicity, warc
+from tradewind.llm import centroids, dac, decontaminate, hilbert, language, neardup, packing, quality, reputation, toxicity, warc
 from tradewind.llm.folds import in_fold
 from tradewind.session import stored
 
@@ -69,6 +69,10 @@ def op10_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.checksums(dac.read_tokens(dac.with_starts(index)))
 
 
+def op13_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return centroids.with_inertia(*centroids.cluster(table(spark, sf_dir, "embeddings")))
+
+
 QUERIES = {
     "op1_string_tiling": op1_string_tiling,
     "op2_toxicity": op2_toxicity,
@@ -80,6 +84,7 @@ QUERIES = {
     "op8_best_fit": op8_best_fit,
     "op9_hyperminhash": op9_hyperminhash,
     "op10_direct_codes": op10_direct_codes,
+    "op13_bit_planes": op13_bit_planes,
 }
 
-ORACLES: dict[str, str] = {"op4_host_reputation": reputation.SQL}
+ORACLES: dict[str, str] = {"op4_host_reputation": reputation.SQL, "op13_bit_planes": centroids.SQL}
