@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import centroids, dac, decontaminate, hilbert, language, neardup, packing, quality, reputation, toxicity, warc
+from tradewind.llm import alignment, centroids, dac, decontaminate, hilbert, language, neardup, packing, quality, reputation, toxicity, warc
 from tradewind.llm.folds import in_fold
 from tradewind.session import stored
 
@@ -69,6 +69,14 @@ def op10_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.checksums(dac.read_tokens(dac.with_starts(index)))
 
 
+def op12_token_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    both = alignment.Tokenizers(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
+    digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
+    aligned = alignment.align(table(spark, sf_dir, "documents"), both).withColumn("groups_sha256", digest).drop("groups")
+    counted = alignment.link_counts(stored(aligned), both)
+    return counted.select("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
+
+
 def op13_bit_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return centroids.with_inertia(*centroids.cluster(table(spark, sf_dir, "embeddings")))
 
@@ -84,6 +92,7 @@ QUERIES = {
     "op8_best_fit": op8_best_fit,
     "op9_hyperminhash": op9_hyperminhash,
     "op10_direct_codes": op10_direct_codes,
+    "op12_token_windows": op12_token_windows,
     "op13_bit_planes": op13_bit_planes,
 }
 
