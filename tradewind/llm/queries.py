@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradewind.llm import alignment, centroids, dac, decontaminate, hilbert, language, neardup, packing, quality, reputation, toxicity, warc
+from tradewind.llm import alignment, centroids, dac, decontaminate, differencing, hilbert, language, neardup, packing, quality, reputation, toxicity, warc
 from tradewind.llm.folds import in_fold
 from tradewind.session import stored
 
@@ -69,6 +69,10 @@ def op10_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dac.checksums(dac.read_tokens(dac.with_starts(index)))
 
 
+def op11_differencing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return differencing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), end_id=2)
+
+
 def op12_token_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = alignment.Tokenizers(public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
     digest = F.when(F.col("n_groups") > 0, F.sha2("groups", 256)).otherwise("")
@@ -92,6 +96,7 @@ QUERIES = {
     "op8_best_fit": op8_best_fit,
     "op9_hyperminhash": op9_hyperminhash,
     "op10_direct_codes": op10_direct_codes,
+    "op11_differencing": op11_differencing,
     "op12_token_windows": op12_token_windows,
     "op13_bit_planes": op13_bit_planes,
 }
