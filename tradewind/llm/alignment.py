@@ -6,7 +6,7 @@ and the text, which is what B makes of it, so both sides cover the same bytes.
 
 from __future__ import annotations
 
-from array import array
+import gc
 from dataclasses import dataclass
 
 import numpy as np
@@ -16,11 +16,11 @@ from pyspark.sql import DataFrame, functions as F
 from tradewind.llm.tokens import Remembered, byte_level_entries, encoder, piece_encoder, piece_entries
 from tradewind.session import stored
 
-WINDOWS = 80 << 20  # bytes of window alignments in each half of what a worker remembers
+WINDOWS = 64 << 20  # bytes of window alignments in each half of what a worker remembers
 BATCH_BYTES = 8 << 20  # results handed on at once
 PAIRS_TO_BROADCAST = 2_000_000  # id pairs with their counts, 17 bytes each
 MERGED = 4_000_000  # links counted at once, and distinct pairs that a task holds
-STOP = b"\xff\xff\xff\xff"  # no id: between the ids of both sides in the name of a window
+STOP = 0xFFFFFFFF  # no id: between the ids of both sides in the name of a window
 HOT = 1000  # a pair with more than this fraction of all links is counted without a shuffle: fewer than this many
 
 _aligners: dict = {}
@@ -54,11 +54,10 @@ class Aligner:
         self.encode_a = encoder(tokenizers.byte_level, leading_space=True, special_as_text=True).encode
         self.encode_b = piece_encoder(tokenizers.pieces).encode
         self.entries = byte_level_entries(tokenizers.byte_level), piece_entries(tokenizers.pieces)
-        self.lengths = [[len(e) for e in entries] for entries in self.entries]
-        self.sizes = [np.array(lengths, np.int64) for lengths in self.lengths]
+        self.sizes = [np.array([len(e) for e in entries], np.int64) for entries in self.entries]
         self.marked = [np.array([e[:1] == b" " for e in entries]) for entries in self.entries]
-        self.names = [str(k) for k in range(max(map(len, self.entries)))]
-        self.code = "I" if len(self.entries[0]) * len(self.entries[1]) <= 1 << 32 else "Q"
+        self.names = [f"{k}{sign}" for sign in ",|;" for k in range(max(map(len, self.entries)))]
+        self.code = np.uint32 if len(self.entries[0]) * len(self.entries[1]) <= 1 << 32 else np.uint64
         self.known = Remembered(WINDOWS)
 
     def windows(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -74,57 +73,75 @@ class Aligner:
         shared = (end_a[place] == end_b[anchors]) & before_space[place]
         return place[shared] + 1, anchors[shared] + 1
 
-    def _window(self, a: bytes, b: bytes) -> tuple[str, bytes, bytes]:
-        """Groups and links of one window, and the bytes that both sides cover; no bytes if they differ."""
-        ids_a, ids_b = array("I", a).tolist(), array("I", b).tolist()
-        covered = b"".join([self.entries[0][k] for k in ids_a])
-        if covered != b"".join([self.entries[1][k] for k in ids_b]):
-            return "", b"", b""
-        own, other = [self.names[k] for k in ids_a], [self.names[k] for k in ids_b]
-        second = len(self.entries[1])
-        if len(ids_a) == 1 or len(ids_b) == 1:
-            return ",".join(own) + "|" + ",".join(other), array(self.code, [ids_a[-1] * second + ids_b[-1]]).tobytes(), covered
-        size_a, size_b = self.lengths
-        groups, links, i, j, first_a, first_b = [], [], 0, 0, 0, 0
-        end_a, end_b = size_a[ids_a[0]], size_b[ids_b[0]]
-        while True:
-            if end_a < end_b:
-                i += 1
-                end_a += size_a[ids_a[i]]
-            elif end_b < end_a:
-                j += 1
-                end_b += size_b[ids_b[j]]
-            else:
-                links.append(ids_a[i] * second + ids_b[j])
-                i, j = i + 1, j + 1
-                groups.append(",".join(own[first_a:i]) + "|" + ",".join(other[first_b:j]))
-                if i == len(ids_a):
-                    return ";".join(groups), array(self.code, links).tobytes(), covered
-                first_a, first_b, end_a, end_b = i, j, end_a + size_a[ids_a[i]], end_b + size_b[ids_b[j]]
-
-    def _known(self, keys: list[bytes]) -> list[tuple[str, bytes, bytes]]:
-        """Alignments of windows by their names: the ids of both sides."""
-        found = list(map(self.known.get, keys))
+    def _named(self, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> list[bytes]:
+        """The name of each window: its ids of A, ``STOP``, its ids of B."""
+        count_a, count_b = np.diff(ends_a, prepend=0), np.diff(ends_b, prepend=0)
+        number = np.arange(len(ends_a))
+        names = np.full(len(a) + len(b) + len(number), STOP, np.uint32)
+        names[np.arange(len(a)) + np.repeat(ends_b - count_b + number, count_a)] = a
+        names[np.arange(len(b)) + np.repeat(ends_a + number + 1, count_b)] = b
+        data, ends = names.tobytes(), (4 * (ends_a + ends_b + number + 1)).tolist()
+        return [data[i:j] for i, j in zip([0, *ends], ends)]
+
+    def _windows(self, names: list[bytes]) -> list[tuple[str, bytes, bytes]] | None:
+        """Groups, links and covered bytes of new windows, all of them at once; None if both sides' bytes differ."""
+        ids = np.frombuffer(b"".join(names), np.uint32)
+        sizes = np.array([len(n) for n in names]) // 4
+        stops = np.flatnonzero(ids == STOP)
+        first = np.cumsum(sizes) - sizes
+        behind = np.arange(len(ids)) > np.repeat(stops, sizes)  # what follows the stop is of B
+        is_stop = ids == STOP
+        a, b = ids[~behind & ~is_stop], ids[behind]
+        covered = b"".join(map(self.entries[0].__getitem__, a.tolist()))
+        if covered != b"".join(map(self.entries[1].__getitem__, b.tolist())):
+            return None
+        end_a, end_b = np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b])
+        place = np.searchsorted(end_a, end_b)
+        shared_b, shared_a = end_a[place] == end_b, np.zeros(len(a), bool)
+        shared_a[place[shared_b]] = True
+        links = (a[shared_a].astype(np.uint64) * np.uint64(len(self.entries[1])) + b[shared_b]).astype(self.code).tobytes()
+        # Tokens of a group of A, then of B, each with the sign that follows it.
+        vocabulary = len(self.names) // 3
+        signed = np.concatenate([a + vocabulary * shared_a, b + 2 * vocabulary * shared_b])
+        group = np.concatenate([2 * (np.cumsum(shared_a) - shared_a), 2 * (np.cumsum(shared_b) - shared_b) + 1])
+        parts = [self.names[k] for k in signed[np.argsort(group, kind="stable")].tolist()]
+        last_a = np.cumsum(stops - first) - 1  # of each window, among the tokens of A
+        text_ends = (np.cumsum(sizes) - np.arange(len(names)) - 1).tolist()
+        link_ends = (np.cumsum(shared_a)[last_a] * np.dtype(self.code).itemsize).tolist()
+        byte_ends = end_a[last_a].tolist()
+        return [
+            ("".join(parts[i:j])[:-1], links[m:n], covered[x:y])
+            for i, j, m, n, x, y in zip([0, *text_ends], text_ends, [0, *link_ends], link_ends, [0, *byte_ends], byte_ends)
+        ]
+
+    def _known(self, names: list[bytes]) -> list[tuple[str, bytes, bytes]] | None:
+        """Alignments of windows by their names; None if one of them covers different bytes on both sides."""
+        found = list(map(self.known.get, names))
         if None in found:
-            missing = {key for key, hit in zip(keys, found) if hit is None}
+            missing = {name for name, hit in zip(names, found) if hit is None}
             new = self.known.recalled(missing)
-            new |= {key: self._window(*key.split(STOP)) for key in missing.difference(new)}
+            rest = list(missing.difference(new))
+            if rest:
+                aligned = self._windows(rest)
+                if aligned is None:
+                    return None
+                new |= zip(rest, aligned)
             self.known.keep(new, 200 * len(new) + 3 * sum(map(len, new)))
-            found = [new[key] if hit is None else hit for key, hit in zip(keys, found)]
+            found = [new[name] if hit is None else hit for name, hit in zip(names, found)]
         return found
 
     def __call__(self, text: str | None) -> Alignment:
         if not text:
             return NOTHING
         spaced = " " + text
-        raw_a, raw_b, whole = self.encode_a(spaced), self.encode_b(text), spaced.encode()
-        a, b = np.frombuffer(raw_a, np.uint32), np.frombuffer(raw_b, np.uint32)
+        a, b = np.frombuffer(self.encode_a(spaced), np.uint32), np.frombuffer(self.encode_b(text), np.uint32)
+        whole = spaced.encode()
         if not self.sizes[0][a].sum() == self.sizes[1][b].sum() == len(whole):
             return NOTHING
-        ends_a, ends_b = ((4 * ends).tolist() for ends in self.windows(a, b))
-        starts_a, starts_b = [0, *ends_a], [0, *ends_b]
-        keys = [raw_a[i:j] + STOP + raw_b[m:n] for i, j, m, n in zip(starts_a, ends_a, starts_b, ends_b)]
-        groups, links, covered = zip(*self._known(keys))
+        found = self._known(self._named(a, b, *self.windows(a, b)))
+        if found is None:
+            return NOTHING
+        groups, links, covered = zip(*found)
         if b"".join(covered) != whole:
             return NOTHING
         return Alignment(len(a), len(b), ";".join(groups), b"".join(links))
@@ -161,23 +178,29 @@ def align(docs: DataFrame, tokenizers: Tokenizers) -> DataFrame:
     names = ["doc_id", "n_a", "n_b", "n_groups", "groups", "links"]
     width = np.dtype(_codes(tokenizers)).itemsize
 
-    def run(batches):
-        work = aligner(tokenizers)
+    def rows(batches):
+        work, kinds = aligner(tokenizers), [*[pa.int64()] * 4, pa.string(), pa.binary()]
         for batch in batches:
             out, held = [], 0
-            rows = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
-            for k, (doc_id, text) in enumerate(rows):
+            for k, (doc_id, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()), start=1):
                 found = work(text)
                 out.append((doc_id, found.n_a, found.n_b, len(found.links) // width, found.groups, found.links))
                 held += len(found.groups) + len(found.links)
-                if held > BATCH_BYTES or k == len(rows) - 1:
-                    kinds = [*[pa.int64()] * 4, pa.string(), pa.binary()]
-                    columns = [pa.array(c, kind) for c, kind in zip(zip(*out), kinds)]
-                    yield pa.RecordBatch.from_arrays(columns, names=names)
+                if held > BATCH_BYTES or k == len(batch):
+                    yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], names=names)
                     out, held = [], 0
 
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(run, "doc_id long, n_a long, n_b long, n_groups long, groups string, links binary")
+    def run(batches):
+        # What is remembered are some hundred thousand small tuples and no cycles: looking through them for
+        # cycles again and again would take a quarter of the time.
+        gc.disable()
+        try:
+            yield from rows(batches)
+        finally:
+            gc.enable()
+
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return texts.mapInArrow(run, "doc_id long, n_a long, n_b long, n_groups long, groups string, links binary")
 
 
 def pair_counts(aligned: DataFrame, tokenizers: Tokenizers) -> DataFrame:
