@@ -11,7 +11,6 @@ import json
 import os
 import statistics
 import sys
-import tempfile
 import time
 
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
@@ -23,8 +22,8 @@ from tradewind.plans import reports as rp  # noqa: E402
 from tradewind.plans import run  # noqa: E402
 from tradewind.plans import training as tr  # noqa: E402
 from tradewind.plans.normalize import normalize  # noqa: E402
-from tradewind.session import prepare  # noqa: E402
-from tradewind.sources.layers import LayerPaths, read_table, write_table  # noqa: E402
+from tradewind.session import prepare, scratch  # noqa: E402
+from tradewind.sources.layers import LayerPaths, publish, read_table  # noqa: E402
 from tradewind_queries import bindings  # noqa: E402
 
 SF_DIR = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
@@ -52,10 +51,16 @@ def main() -> None:
         .getOrCreate()
     )
     spark.sparkContext.setLogLevel("ERROR")
-    paths = LayerPaths.under(tempfile.mkdtemp(prefix="bench-"), raw_csv="")
+    with scratch(spark) as folder:
+        run_bench(spark, folder)
+    spark.stop()
+
+
+def run_bench(spark: SparkSession, folder: str) -> None:
+    paths = LayerPaths.under(folder, raw_csv="")
     for name, df in bindings.raw_tables(spark, SF_DIR).items():
-        write_table(df, paths.normalized, name)
-    write_table(bindings.wide(spark, SF_DIR), paths.staged, "wide")
+        publish(df, paths.normalized, name)
+    publish(bindings.wide(spark, SF_DIR), paths.staged, "wide")
 
     def normalize_wide():
         run.write_all(spark, normalize(read_table(spark, paths.staged, "wide")), f"{paths.staged}/tables")
@@ -88,7 +93,6 @@ def main() -> None:
             }
         )
     )
-    spark.stop()
 
 
 if __name__ == "__main__":

@@ -12,6 +12,7 @@ from tests.domain import ts
 from tradewind.plans import features as ft
 from tradewind.plans import metrics as mt
 from tradewind.plans import training as tr
+from tradewind.sources.layers import publish, published
 
 EXTRACT = (
     "customer_state string, seller_state string, price double, freight_value double, product_weight_g double, "
@@ -151,13 +152,19 @@ def test_best_model_takes_the_first_on_ties(spark):
     assert mt.best_model(df).first().model == "a"
 
 
-def test_stored_extract_is_reused(spark, extract, tmp_path):
-    commerce = extract.withColumn("other", F.lit(1))
-    assert ft.stored_extract(spark, str(tmp_path), commerce).count() == 401
-    assert ft.stored_extract(spark, str(tmp_path), None).count() == 401
+def test_stored_extract_follows_the_commerce_table(spark, extract, tmp_path):
+    wrangled, models = str(tmp_path / "wrangled"), str(tmp_path / "models")
     with pytest.raises(ValueError):
-        ft.stored_extract(spark, str(tmp_path / "none"), None)
-    assert ft.stored_extract(spark, str(tmp_path), extract.limit(5) if commerce is None else commerce.limit(5), refresh=True).count() <= 5
+        ft.stored_extract(spark, models, wrangled)
+    publish(extract.withColumn("other", F.lit(1)), wrangled, "commerce")
+    assert ft.stored_extract(spark, models, wrangled).count() == 401
+    first = published(spark, models, "ml_extract")
+    assert ft.stored_extract(spark, models, wrangled).count() == 401
+    assert published(spark, models, "ml_extract") == first, "unchanged files do not build it again"
+    publish(extract.orderBy("price").limit(5), wrangled, "commerce")
+    assert ft.stored_extract(spark, models, wrangled).count() == 5
+    assert published(spark, models, "ml_extract") != first
+    assert ft.stored_extract(spark, models, str(tmp_path / "gone")).count() == 5
 
 
 def test_split_keeps_rows_without_a_label(spark):

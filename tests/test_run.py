@@ -46,7 +46,9 @@ def test_run_all(spark, export, tmp_path):
     paths = LayerPaths.under(str(tmp_path), export)
     result = run_all(spark, paths, SMALL)
     assert {r.status for r in result.profile.collect()} == {"ok"} and result.profile.count() == 9
-    assert {r.table_name: r.row_count for r in result.clean_rows.collect()}["orders"] == 60
+    counts = {r.table_name: tuple(r)[1:] for r in result.clean_rows.collect()}
+    assert counts["orders"] == (60, 0, 60) and counts["products"][2] == read_table(spark, paths.cleaned, "products").count()
+    assert not list(tmp_path.glob("scratch/run-*"))
     assert result.registered == ["commerce"] and result.model_errors == {}
     orders = read_table(spark, paths.cleaned, "orders")
     assert orders.count() == 60 and dict(orders.dtypes)["order_approved_at"] == "timestamp"

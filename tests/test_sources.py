@@ -1,11 +1,16 @@
+import csv
+import random
+from collections import Counter
+
 import pytest
 from pyspark.errors import AnalysisException
+from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
 from tradewind.plans.normalize import normalize
 from tradewind.plans.profile import profile_layer, row_counts, sample_rows, schema_rows
-from tradewind.sources.layers import LayerPaths, read_layer, read_table, register_layer, write_table
-from tradewind.sources.rawcsv import read_wide_csv, stage_wide_csv
+from tradewind.sources.layers import LayerPaths, fingerprint, location, publish, published, read_layer, read_table, register_layer
+from tradewind.sources.rawcsv import read_split_csv, read_wide_csv, split_records, stage_wide_csv
 from tradewind.sources.reportfiles import read_report, write_report
 from tradewind.sources.schema import conform, typed_numbers
 
@@ -56,8 +61,8 @@ def test_missing_table_is_none_and_other_errors_surface(spark, tmp_path):
 def test_layer_round_trip_and_catalog(spark, tmp_path):
     base = str(tmp_path / "layer")
     df = spark.createDataFrame([(1, "a"), (2, "b")], "id int, v string")
-    write_table(df, base, "t")
-    write_table(df.where("id = 1"), base, "t")
+    publish(df, base, "t")
+    publish(df.where("id = 1"), base, "t")
     assert read_layer(spark, base, ["t", "absent"])["t"].count() == 1
     assert register_layer(spark, base, ["t", "absent"]) == ["t"]
     assert spark.sql("SELECT v FROM t").first().v == "a"
@@ -73,8 +78,8 @@ def test_layer_is_snappy_with_microseconds(spark, tmp_path):
 
     import pyarrow.parquet as pq
 
-    write_table(spark.sql("SELECT timestamp'2018-01-01 00:00:00.123456' AS t"), str(tmp_path), "t")
-    meta = pq.ParquetFile(glob.glob(f"{tmp_path}/t/*.parquet")[0])
+    publish(spark.sql("SELECT timestamp'2018-01-01 00:00:00.123456' AS t"), str(tmp_path), "t")
+    meta = pq.ParquetFile(glob.glob(f"{tmp_path}/t/*/*.parquet")[0])
     assert meta.metadata.row_group(0).column(0).compression == "SNAPPY"
     assert meta.schema_arrow.field("t").type.unit == "us"
 
@@ -84,7 +89,7 @@ def test_shuffles_are_sized_by_the_files(spark, tmp_path, monkeypatch):
 
     before = spark.conf.get("spark.sql.shuffle.partitions")
     for name in ("a", "b"):
-        write_table(spark.range(1000).repartition(1), str(tmp_path), name)
+        publish(spark.range(1000).repartition(1), str(tmp_path), name)
     with session.sized_shuffles(spark, str(tmp_path)):
         assert spark.conf.get("spark.sql.shuffle.partitions") == before
     monkeypatch.setattr(session, "PART_BYTES", 100)
@@ -125,7 +130,7 @@ def test_profiles(spark, tmp_path):
     assert [tuple(r) for r in row_counts({"t": df, "u": df.where("id = 1")}).collect()] == [("t", 3), ("u", 1)]
     assert [tuple(r) for r in schema_rows({"t": df}).collect()] == [("t", 1, "id", "int", 3), ("t", 2, "v", "string", 3)]
     assert [r.id for r in sample_rows(df, ["id"], 2).collect()] == [1, 2]
-    write_table(df, str(tmp_path), "t")
+    publish(df, str(tmp_path), "t")
     (tmp_path / "bad").mkdir()
     (tmp_path / "bad" / "x.parquet").write_text("not parquet")
     got = {r.table_name: r for r in profile_layer(spark, str(tmp_path), ["t", "absent", "bad"]).collect()}
@@ -153,3 +158,136 @@ def test_small_amounts_are_not_rounded_away(spark):
 
     df = spark.createDataFrame([(0.004,), (0.004,), (0.004,)], "v double")
     assert df.agg(money_sum(df["v"])).first()[0] == 0.012
+
+
+FIELDS = ["plain", "", "two\nlines", 'says ""hi"', "a,b", "\n", "\n\n\n", "é🙂", " padded ", "x" * 90, '"', "line\n" * 12, "crlf\r\ninside", None]
+
+
+def write_csv(path, rows, end):
+    with open(path, "w", newline="") as out:
+        writer = csv.writer(out, lineterminator=end)
+        writer.writerow(["id", "a", "b", "c"])
+        writer.writerows(rows)
+
+
+@pytest.mark.parametrize("split_bytes", [40, 333, 1 << 20])
+@pytest.mark.parametrize("end", ["\n", "\r\n"])
+def test_split_files_have_the_rows_of_whole_ones(spark, tmp_path, split_bytes, end):
+    rng = random.Random(split_bytes)
+    for name in ("a.csv", "b.csv"):
+        write_csv(tmp_path / name, [[k, *rng.choices(FIELDS, k=3)] for k in range(150)], end)
+    (tmp_path / "only_header.csv").write_text("id,a,b,c" + end)
+    (tmp_path / "empty.csv").write_text("")
+    with open(tmp_path / "a.csv", "a", newline="") as out:
+        out.write(end + end + 'last,"no line end","",')  # empty lines, and no line end behind the last record
+    whole = read_wide_csv(spark, str(tmp_path))
+    split = read_split_csv(spark, str(tmp_path), split_bytes=split_bytes)
+    assert split.dtypes == whole.dtypes
+    assert Counter(map(tuple, split.collect())) == Counter(map(tuple, whole.collect())) and whole.count() == 301
+
+
+def test_one_large_file_is_read_by_many_tasks(spark, tmp_path):
+    rng = random.Random(1)
+    write_csv(tmp_path / "one.csv", [[k, *rng.choices(FIELDS, k=3)] for k in range(4000)], "\n")
+    path = str(tmp_path / "one.csv")
+    assert read_wide_csv(spark, path).rdd.getNumPartitions() == 1
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    records = split_records(spark, path, 10_000)
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    assert records.where("NOT first").count() == 4000 and records.where("first").count() == 1
+    blocks = spark.read.parquet(max((str(p) for p in _stored_in(spark) if "record" in spark.read.parquet(str(p)).columns), key=lambda p: len(p)))
+    assert blocks.select("block").distinct().count() > 10
+
+
+def _stored_in(spark):
+    from pathlib import Path
+
+    from tradewind.session import shared_folder
+
+    return sorted(Path(shared_folder(spark).removeprefix("file:")).glob("tradewind-*"), key=lambda p: p.stat().st_mtime)[-2:]
+
+
+def test_a_field_longer_than_several_blocks_is_one_record(spark, tmp_path):
+    text = "long line\n" * 400 + 'with ""quotes""\n' + "more\n" * 100
+    (tmp_path / "x.csv").write_text(f'id,a\n1,"{text}"\n2,b\n3,"{text}"')
+    expect = text.replace('""', '"')
+    rows = {r["id"]: r["a"] for r in read_split_csv(spark, str(tmp_path / "x.csv"), split_bytes=100).collect()}
+    assert rows == {"1": expect, "2": "b", "3": expect}
+
+
+def test_split_files_with_other_headers_stop_the_job(spark, tmp_path):
+    (tmp_path / "a.csv").write_text('"order_id","two\nlines"\no1,5\n')
+    (tmp_path / "b.csv").write_text('two,order_id\n7,o2\n')
+    with pytest.raises(ValueError, match="header"):
+        read_split_csv(spark, str(tmp_path), split_bytes=12)
+    (tmp_path / "b.csv").write_text('ORDER_ID,"two\nlines"\no2,7\n')
+    assert sorted(map(tuple, read_split_csv(spark, str(tmp_path), split_bytes=12).collect())) == [("o1", "5"), ("o2", "7")]
+
+
+def failing(df):
+    return df.withColumn("v", F.when(F.col("id") >= 90, F.raise_error(F.lit("killed midway"))).otherwise("new"))
+
+
+def test_a_failed_job_leaves_the_old_version(spark, tmp_path):
+    base = str(tmp_path / "layer")
+    old = spark.range(10).withColumn("v", F.lit("old"))
+    assert published(spark, base, "t") is None
+    publish(old, base, "t", note="from x")
+    first = published(spark, base, "t")
+    assert first.note == "from x" and location(spark, base, "t") == first.path
+    (name,) = register_layer(spark, base, ["t"], database="publish_test")
+    with pytest.raises(Exception, match="killed midway"):
+        publish(failing(spark.range(100).repartition(8)), base, "t")
+    assert published(spark, base, "t") == first
+    for table in (read_table(spark, base, "t"), spark.table(name)):
+        assert table.count() == 10 and table.where("v = 'old'").count() == 10
+    reader = read_table(spark, base, "t")
+    publish(failing(spark.range(50)), base, "t")
+    assert spark.table(name).count() == 10, "the catalog goes on with the old version until it is switched"
+    assert register_layer(spark, base, ["t"], database="publish_test") == [name]
+    assert spark.table(name).where("v = 'new'").count() == 50 == read_table(spark, base, "t").count()
+    assert reader.count() == 10, "whoever reads the version before can go on"
+    publish(spark.range(5).withColumn("other", F.lit(1)), base, "t")
+    register_layer(spark, base, ["t"], database="publish_test")
+    assert spark.table(name).columns == ["id", "other"] and spark.table(name).count() == 5
+    folders = [p.name for p in (tmp_path / "layer" / "t").iterdir()]
+    assert len(folders) == 2 and published(spark, base, "t").version in folders
+    spark.sql("DROP DATABASE publish_test CASCADE")
+
+
+def test_fingerprint_follows_the_files(spark, tmp_path):
+    base = str(tmp_path)
+    assert fingerprint(spark, base, "t") is None
+    publish(spark.range(10), base, "t")
+    first = fingerprint(spark, base, "t")
+    assert first == fingerprint(spark, base, "t")
+    publish(spark.range(10), base, "t")
+    assert fingerprint(spark, base, "t") not in (None, first)
+
+
+def test_scratch_is_removed(spark, tmp_path):
+    from tradewind.session import scratch, shared_folder, stored
+
+    before = shared_folder(spark)
+    with pytest.raises(ZeroDivisionError), scratch(spark, str(tmp_path)) as folder:
+        assert shared_folder(spark) == folder and stored(spark.range(7)).count() == 7
+        assert list(tmp_path.rglob("*.parquet"))
+        1 / 0
+    assert shared_folder(spark) == before and not list(tmp_path.rglob("*.parquet"))
+
+
+def test_counts_while_writing(spark, tmp_path):
+    from tradewind.plans.profile import count_rows, counted
+    from tradewind.session import observing_session, with_settings_of
+
+    own = with_settings_of(spark, observing_session(spark))
+    assert own.conf.get("spark.sql.shuffle.partitions") == spark.conf.get("spark.sql.shuffle.partitions")
+    df = own.createDataFrame([(k % 7, k) for k in range(50)], "k int, v int")
+
+    def change(rows):
+        assert rows.count() == 50  # a look at the input beforehand
+        return rows.where("v > 4").dropDuplicates(["k"])
+
+    changed, counts = counted("t", df, change)
+    publish(changed, str(tmp_path), "t")
+    assert [tuple(r) for r in count_rows(spark, [counts()]).collect()] == [("t", 50, 43, 7)]

@@ -7,14 +7,14 @@ from tests.domain import small_shop
 from tradewind.plans import reports as rp
 from tradewind.plans import wrangle as wr
 from tradewind.plans.clean import clean
-from tradewind.sources.layers import read_layer, write_table
+from tradewind.sources.layers import publish, read_layer
 
 
 @pytest.fixture(scope="module")
 def cleaned(spark, tmp_path_factory):
     base = str(tmp_path_factory.mktemp("cleaned"))
     for name, df in clean(small_shop(spark)).items():
-        write_table(df, base, name)
+        publish(df, base, name)
     from tradewind.sources.schema import TABLES
 
     return read_layer(spark, base, TABLES)
@@ -135,7 +135,7 @@ def test_reports(cleaned, spark, tmp_path):
 
 
 def test_reports_scan_only_their_columns(spark, cleaned, tmp_path):
-    write_table(wr.build_commerce(cleaned), str(tmp_path), "commerce")
+    publish(wr.build_commerce(cleaned), str(tmp_path), "commerce")
     commerce = spark.read.parquet(f"{tmp_path}/commerce")
 
     def scanned(df):

@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 from tradewind.functions.numbers import as_double
 from tradewind.functions.timestamps import floor_days, late_flag
 from tradewind.operators.copies import COPIES, pack_copies, unpack_copies
-from tradewind.sources.layers import read_table, write_table
+from tradewind.sources.layers import fingerprint, publish, published, read_table
 
 # The columns the models see.
 NUMBERS = ("price", "freight_value", "product_weight_g")
@@ -29,17 +29,18 @@ def ml_extract(commerce: DataFrame) -> DataFrame:
     return delivered.select("customer_state", "seller_state", *NUMBERS, CATEGORIES[2], *TIMES)
 
 
-def stored_extract(
-    spark: SparkSession, base: str, commerce: DataFrame | None, name: str = "ml_extract", refresh: bool = False
-) -> DataFrame:
-    """The extract stored under ``base``; built from ``commerce`` and stored first if it is not there, or if ``refresh``."""
-    found = None if refresh else read_table(spark, base, name)
-    if found is None:
-        if commerce is None:
-            raise ValueError(f"no stored extract under {base}, and no commerce table to build it from")
-        write_table(ml_extract(commerce), base, name)
-        found = read_table(spark, base, name)
-    return found
+def stored_extract(spark: SparkSession, base: str, wrangled: str, table: str = "commerce", name: str = "ml_extract") -> DataFrame:
+    """The extract stored under ``base`` if it was made from the files that the commerce table has now.
+
+    With the stored extract lies a digest of the files it was made from. If they have changed, or nothing is
+    stored, it is built and published anew. Where the commerce table is gone, the stored extract still serves.
+    """
+    now, found = fingerprint(spark, wrangled, table), published(spark, base, name)
+    if now is None and found is None:
+        raise ValueError(f"no stored extract under {base}, and no table {table} under {wrangled} to build it from")
+    if now is not None and (found is None or found.note != now):
+        publish(ml_extract(read_table(spark, wrangled, table)), base, name, note=now)
+    return read_table(spark, base, name)
 
 
 def _features(extract: DataFrame, delay, keep_delay: bool) -> DataFrame:

@@ -2,12 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from functools import reduce
 
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from tradewind.sources.layers import read_table
 
@@ -85,3 +85,21 @@ def profile_layer(spark: SparkSession, base: str, names: Sequence[str]) -> DataF
         except Py4JJavaError as error:  # a file that cannot be read surfaces as a plain JVM error
             rows.append((name, f"failed: {error.java_exception.getClass().getSimpleName()}", None, None, None))
     return spark.createDataFrame(rows, kinds)
+
+
+def counted(name: str, df: DataFrame, change: Callable[[DataFrame], DataFrame]) -> tuple[DataFrame, Callable[[], tuple]]:
+    """``change(df)`` with its rows in and out observed by the job that writes it; call the second after that.
+
+    ``df`` belongs to ``session.observing_session``. No job is run for the counts. The first one over the input gives the rows in, also where ``change`` looks at
+    its input beforehand (medians). A task that runs again for a lost executor may be counted twice.
+    """
+    rows_in, rows_out = Observation(), Observation()
+    count = F.count(F.lit(1)).alias("rows")
+    changed = change(df.observe(rows_in, count)).observe(rows_out, count)
+    return changed, lambda: (name, rows_in.get["rows"], rows_out.get["rows"])
+
+
+def count_rows(spark: SparkSession, found: Sequence[tuple]) -> DataFrame:
+    """(table_name, rows_in, rows_removed, rows_out) of what ``counted`` has seen, one row per table."""
+    rows = [(name, before, before - after, after) for name, before, after in found]
+    return spark.createDataFrame(rows, "table_name string, rows_in bigint, rows_removed bigint, rows_out bigint")

@@ -14,7 +14,7 @@ from tradewind.plans.clean import CLEANERS
 from tradewind.plans.features import features_base, features_enhanced, stored_extract
 from tradewind.plans.metrics import best_model, class_balance, correlation_pairs, data_kpis, ml_kpi_row
 from tradewind.plans.normalize import normalize
-from tradewind.plans.profile import profile_layer, profile_samples, row_counts
+from tradewind.plans.profile import count_rows, counted, profile_layer, profile_samples
 from tradewind.plans.training import (
     ALL_MODELS,
     BASE_MODELS,
@@ -28,8 +28,8 @@ from tradewind.plans.training import (
 )
 from tradewind.plans.features import label_encode
 from tradewind.plans.wrangle import build_commerce
-from tradewind.session import prepare, run_together, sized_shuffles
-from tradewind.sources.layers import LayerPaths, read_layer, read_table, register_layer, write_table
+from tradewind.session import observing_session, prepare, run_together, scratch, sized_shuffles, with_settings_of
+from tradewind.sources.layers import LayerPaths, publish, read_layer, read_table, register_layer
 from tradewind.sources.rawcsv import stage_wide_csv
 from tradewind.sources.reportfiles import read_report, write_report
 from tradewind.sources.schema import TABLES
@@ -49,7 +49,7 @@ class RunResult:
 
 
 def write_all(spark: SparkSession, tables: dict[str, DataFrame], base: str) -> None:
-    run_together(spark, [partial(write_table, df, base, name) for name, df in tables.items()])
+    run_together(spark, [partial(publish, df, base, name) for name, df in tables.items()])
 
 
 def normalize_stage(spark: SparkSession, paths: LayerPaths, multi_line: bool = True) -> list[str]:
@@ -61,13 +61,19 @@ def normalize_stage(spark: SparkSession, paths: LayerPaths, multi_line: bool = T
     return list(tables)
 
 
-def clean_stage(spark: SparkSession, paths: LayerPaths, names: Sequence[str] = tuple(TABLES)) -> None:
-    def one(name: str, df: DataFrame) -> None:
-        write_table(CLEANERS[name](df), paths.cleaned, name)
+def clean_stage(spark: SparkSession, paths: LayerPaths, names: Sequence[str] = tuple(TABLES)) -> DataFrame:
+    """Clean the tables that are there; (table_name, rows_in, rows_removed, rows_out), counted while they were written."""
 
-    tables = read_layer(spark, paths.normalized, names)
-    with sized_shuffles(spark, paths.normalized):
-        run_together(spark, [partial(one, name, df) for name, df in tables.items()])
+    def one(name: str, df: DataFrame) -> tuple[str, int, int]:
+        with_counts, counts = counted(name, df, CLEANERS[name])
+        publish(with_counts, paths.cleaned, name)
+        return counts()
+
+    own = with_settings_of(spark, observing_session(spark))
+    tables = read_layer(own, paths.normalized, names)
+    with sized_shuffles(own, paths.normalized):
+        found = run_together(own, [partial(one, name, df) for name, df in tables.items()])
+    return count_rows(spark, found)
 
 
 def wrangle_stage(spark: SparkSession, paths: LayerPaths, names: Sequence[str] = tuple(TABLES)) -> None:
@@ -75,7 +81,7 @@ def wrangle_stage(spark: SparkSession, paths: LayerPaths, names: Sequence[str] =
         commerce = build_commerce(read_layer(spark, paths.cleaned, names))
         if commerce is None:
             raise ValueError("customers, orders and order_items are needed to build the commerce table")
-        write_table(commerce, paths.wrangled, "commerce")
+        publish(commerce, paths.wrangled, "commerce")
 
 
 def report_stage(spark: SparkSession, paths: LayerPaths) -> dict[str, str]:
@@ -89,11 +95,8 @@ def report_stage(spark: SparkSession, paths: LayerPaths) -> dict[str, str]:
     return written
 
 
-def base_model_stage(
-    spark: SparkSession, paths: LayerPaths, settings: ModelSettings, refresh: bool = False
-) -> dict[str, str]:
-    """``refresh`` takes the extract anew from the commerce table instead of a stored one."""
-    extract = stored_extract(spark, paths.models, read_table(spark, paths.wrangled, "commerce"), refresh=refresh)
+def base_model_stage(spark: SparkSession, paths: LayerPaths, settings: ModelSettings) -> dict[str, str]:
+    extract = stored_extract(spark, paths.models, paths.wrangled)
     trained = train_models(features_base(extract), BASE_MODELS, settings)
     found = {
         "base_comparison": model_comparison(trained),
@@ -105,9 +108,9 @@ def base_model_stage(
 
 
 def enhanced_model_stage(
-    spark: SparkSession, paths: LayerPaths, settings: ModelSettings, leak: bool = False, refresh: bool = False
+    spark: SparkSession, paths: LayerPaths, settings: ModelSettings, leak: bool = False
 ) -> dict[str, str]:
-    extract = stored_extract(spark, paths.models, read_table(spark, paths.wrangled, "commerce"), refresh=refresh)
+    extract = stored_extract(spark, paths.models, paths.wrangled)
     trained = train_models(features_enhanced(extract, leak=leak), ALL_MODELS, settings)
     save_models(trained, f"{paths.models}/saved")
     with_delay = features_enhanced(extract, leak=True)
@@ -135,22 +138,20 @@ def run_all(
     multi_line: bool = True,
 ) -> RunResult:
     """Normalize, profile, clean, wrangle, register, report, train. A failed data stage stops the
-    run; a failed model stage is logged and the run goes on."""
-    prepare(spark)
-    names = normalize_stage(spark, paths, multi_line)
-    profile = profile_layer(spark, paths.normalized, names)
-    samples = profile_samples(read_layer(spark, paths.normalized, names))
-    clean_stage(spark, paths, names)
-    # Row counts come from the file footers; against the profile they show what cleaning removed.
-    clean_rows = row_counts(read_layer(spark, paths.cleaned, names))
-    wrangle_stage(spark, paths, names)
-    registered = register_layer(spark, paths.wrangled, ["commerce"], paths.database)
-    result = RunResult(profile, samples, clean_rows, registered, report_stage(spark, paths))
-    if with_models:
-        for name, stage in (("base", base_model_stage), ("enhanced", enhanced_model_stage)):
-            try:
-                result.models.update(stage(spark, paths, settings, refresh=True))
-            except Exception as error:  # noqa: BLE001 - the reports stand without the models
-                log.exception("model stage %s failed", name)
-                result.model_errors[name] = str(error)
+    run; a failed model stage is logged and the run goes on. Intermediate tables are removed at the end."""
+    with scratch(prepare(spark), paths.scratch):
+        names = normalize_stage(spark, paths, multi_line)
+        profile = profile_layer(spark, paths.normalized, names)
+        samples = profile_samples(read_layer(spark, paths.normalized, names))
+        clean_rows = clean_stage(spark, paths, names)
+        wrangle_stage(spark, paths, names)
+        registered = register_layer(spark, paths.wrangled, ["commerce"], paths.database)
+        result = RunResult(profile, samples, clean_rows, registered, report_stage(spark, paths))
+        if with_models:
+            for name, stage in (("base", base_model_stage), ("enhanced", enhanced_model_stage)):
+                try:
+                    result.models.update(stage(spark, paths, settings))
+                except Exception as error:  # noqa: BLE001 - the reports stand without the models
+                    log.exception("model stage %s failed", name)
+                    result.model_errors[name] = str(error)
     return result

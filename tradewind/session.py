@@ -3,15 +3,17 @@
 from __future__ import annotations
 
 import math
-import tempfile
 import uuid
-from collections.abc import Callable, Iterable
+from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import contextmanager
+from functools import lru_cache
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tradewind.sources import files
+
 
 def prepare(spark: SparkSession) -> SparkSession:
     """Set what the results depend on. Memory and parallelism stay with the cluster."""
@@ -33,6 +35,40 @@ def shuffle_parts(stored_bytes: int) -> int:
     return max(1, math.ceil(stored_bytes / size))
 
 
+@contextmanager
+def settings(spark: SparkSession, values: Mapping[str, object]):
+    """Inside, the session has these settings; then it has what it had before."""
+    before = {key: spark.conf.get(key, None) for key in values}
+    for key, value in values.items():
+        spark.conf.set(key, str(value))
+    try:
+        yield
+    finally:
+        for key, value in before.items():
+            if value is None:
+                spark.conf.unset(key)
+            else:
+                spark.conf.set(key, value)
+
+
+@lru_cache(maxsize=8)
+def observing_session(spark: SparkSession) -> SparkSession:
+    """A session beside ``spark``, with its settings, for jobs whose rows are counted by an ``Observation``.
+
+    A session that has made one observation cannot be shipped with a task any more, which Spark ML does with
+    the session that fits and scores models. Files are all that both sessions share.
+    """
+    return spark.newSession()
+
+
+def with_settings_of(spark: SparkSession, other: SparkSession) -> SparkSession:
+    """``other`` with the settings that ``spark`` has now."""
+    for key, value in spark.conf.getAll.items():
+        if other.conf.isModifiable(key):
+            other.conf.set(key, value)
+    return other
+
+
 @contextmanager
 def sized_shuffles(spark: SparkSession, folder: str):
     """Inside, ``spark.sql.shuffle.partitions`` fits the Parquet files under ``folder``; then it is as before.
@@ -40,32 +76,43 @@ def sized_shuffles(spark: SparkSession, folder: str):
     The setting is never lowered: adaptive execution merges partitions that turn out small, but
     cannot split too few of them.
     """
-    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    stored_bytes = files.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]  # sizes only, no content
-    before = spark.conf.get("spark.sql.shuffle.partitions")
-    spark.conf.set("spark.sql.shuffle.partitions", max(int(before), shuffle_parts(stored_bytes)))
-    try:
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    stored_bytes = found.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]  # sizes only, no content
+    key = "spark.sql.shuffle.partitions"
+    with settings(spark, {key: max(int(spark.conf.get(key)), shuffle_parts(stored_bytes))}):
         yield
-    finally:
-        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
+SCRATCH = "tradewind.scratch"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names in ``spark.checkpoint.dir``; a temporary one in local mode only."""
-    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if folder is None:
-        if not spark.sparkContext.master.startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        folder = tempfile.mkdtemp(prefix="tradewind-")
-        spark.sparkContext.setCheckpointDir(folder)
-    return folder.rstrip("/")
+    """Where intermediate tables go: the folder of the ``scratch`` block around the call, else the one that the
+    cluster names in ``spark.checkpoint.dir``, else one beside the session's tables in its warehouse."""
+    folder = spark.conf.get(SCRATCH, None) or spark.conf.get("spark.checkpoint.dir", None)
+    folder = folder or spark.sparkContext.getCheckpointDir()
+    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tradewind").rstrip("/")
+
+
+@contextmanager
+def scratch(spark: SparkSession, folder: str | None = None):
+    """Inside, ``stored`` writes to a new folder under ``folder`` (or the shared one), which is removed at the end.
+
+    No DataFrame that was stored inside can be read after it. One block at a time for a session.
+    """
+    own = f"{(folder or shared_folder(spark)).rstrip('/')}/run-{uuid.uuid4()}"
+    try:
+        with settings(spark, {SCRATCH: own}):
+            yield own
+    finally:
+        files.remove(spark, own)
 
 
 def stored(df: DataFrame) -> DataFrame:
     """Write ``df`` to the shared folder as Parquet and go on from there.
 
     Cuts the lineage in a way that survives lost executors, and later readers scan only the columns
-    they need.
+    they need. A ``scratch`` block removes what is stored inside it.
     """
     path = f"{shared_folder(df.sparkSession)}/tradewind-{uuid.uuid4()}"
     df.write.parquet(path)

@@ -24,7 +24,7 @@ from tradewind.plans import training as tr
 from tradewind.plans import wrangle as wr
 from tradewind.plans.normalize import normalize_table
 from tradewind.session import shared_folder, stored
-from tradewind.sources.layers import register_layer, write_table
+from tradewind.sources.layers import publish, register_layer
 from tradewind.sources.schema import TABLES, TEXT_TIMESTAMP, conform
 from tradewind_queries import bindings as b
 
@@ -196,7 +196,7 @@ def eda_chart_series(spark, sf_dir):
 
 def catalog_sql_smoke(spark, sf_dir):
     base = f"{shared_folder(spark)}/catalog-{uuid.uuid4()}"
-    write_table(stored_commerce(spark, sf_dir), base, "commerce")
+    publish(stored_commerce(spark, sf_dir), base, "commerce")
     (name,) = register_layer(spark, base, ["commerce"])
     return rp.sql_report(spark, name)
 
