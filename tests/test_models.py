@@ -167,6 +167,25 @@ def test_stored_extract_follows_the_commerce_table(spark, extract, tmp_path):
     assert ft.stored_extract(spark, models, str(tmp_path / "gone")).count() == 5
 
 
+@pytest.mark.parametrize("buckets, one_task_rows", [(3, 1), (3, 10), (2, 40)])
+def test_the_bucket_with_the_cut_is_hashed_again(spark, buckets, one_task_rows, monkeypatch):
+    data = [(float(i % 97), i, int(i % 4 == 0)) for i in range(900)] + [(0.5, -1, 0)] * 400 + [(0.5, -1, 1)] * 3
+    df = spark.createDataFrame(data, "x double, k int, is_late int")
+    ranked = []
+    packed = ft.stored
+    monkeypatch.setattr(ft, "stored", lambda rows: ranked.append(packed(rows)) or ranked[-1])
+    split = ft.stratified_split(df, buckets=buckets, one_task_rows=one_task_rows)
+    counts = {(r.is_late, r.split): r["count"] for r in split.groupBy("is_late", "split").count().collect()}
+    for label in (0, 1):
+        n = sum(1 for r in data if r[2] == label)
+        assert counts[label, "train"] == round(0.8 * n) and counts[label, "test"] == n - round(0.8 * n)
+    assert Counter(map(tuple, split.drop("split").collect())) == Counter(map(tuple, df.collect()))
+    assert len(ranked) > 2, "several turns"
+    assert all(r["count"] <= one_task_rows for r in ranked[-1].groupBy("is_late").count().collect())
+    again = ft.stratified_split(df.repartition(5, "x"), buckets=buckets, one_task_rows=one_task_rows)
+    assert Counter(map(tuple, again.collect())) == Counter(map(tuple, split.collect()))
+
+
 def test_split_keeps_rows_without_a_label(spark):
     rows = [(k % 50, None if k % 3 == 0 else k % 2) for k in range(300)]
     split = ft.stratified_split(spark.createDataFrame(rows, "x int, is_late int"), buckets=4)

@@ -8,6 +8,7 @@ from pyspark.sql import Window, functions as F
 from tradewind.operators.columns import keep_unless, rename_or_add
 from tradewind.operators.copies import pack_copies, unpack_copies
 from tradewind.operators.dedupe import except_rows, one_per_key, removed_by_key
+from tradewind.operators.dictionary import dictionary, encode
 from tradewind.operators.fill import forward_fill
 from tradewind.operators.impute import median_impute
 from tradewind.operators.running import exact_medians, quantile_of, running_totals, value_counts_upto
@@ -222,3 +223,29 @@ def test_forward_fill_is_one_window(spark):
     df = spark.createDataFrame([("z", 1, None, 1)], "zip string, id int, a int, b int")
     plan = forward_fill(df, ["a", "b"], "zip", ["id"])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Window [") == 1
+
+
+@pytest.mark.parametrize("most_values", [0, 500_000])
+def test_codes_of_many_values(spark, most_values):
+    rng = random.Random(4)
+    values = [f"{rng.choice('aäzé🙂')}{rng.randrange(4000)}" for _ in range(3000)] + ["hot"] * 2000 + [None] * 50
+    df = spark.createDataFrame([(v, k) for k, v in enumerate(values)], "value string, code int")
+    codes = dictionary(df, "value", part_values=100)
+    expect = {v: k for k, v in enumerate(sorted({v for v in values if v is not None}, key=lambda v: v.encode()))}
+    assert dict(map(tuple, codes.collect())) == expect
+    got = encode(df.withColumnsRenamed({"code": "row", "value": "name"}), "name", codes, most_values)
+    assert {r["row"]: r["name"] for r in got.collect()} == {k: expect.get(v) for k, v in enumerate(values)}
+    assert got.columns == ["name", "row"]
+    assert dictionary(df.where("false"), "value").count() == 0
+    assert {r["name"] for r in encode(df.select(F.col("value").alias("name")).limit(20), "name", codes.where("false"), most_values).collect()} == {None}
+
+
+def test_codes_of_a_million_values(spark):
+    df = spark.range(2_000_000).select(F.concat(F.lit("v"), F.col("id") % 1_000_000).alias("v"))
+    codes = dictionary(df, "v", part_values=300_000)
+    assert codes.count() == 1_000_000
+    facts = codes.agg(F.min("code"), F.max("code"), F.count_distinct("code"), F.min_by("value", "code"), F.max_by("value", "code")).first()
+    assert tuple(facts) == (0, 999_999, 1_000_000, "v0", "v999999")
+    check = codes.where("value IN ('v10', 'v5', 'v777777')").collect()
+    order = sorted(f"v{k}" for k in range(1_000_000))
+    assert all(order[r["code"]] == r["value"] for r in check) and len(check) == 3

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from functools import partial, reduce
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import ElementwiseProduct, StandardScaler, StringIndexer, VectorAssembler
@@ -13,7 +14,10 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tradewind.functions.numbers import as_double
 from tradewind.functions.timestamps import floor_days, late_flag
-from tradewind.operators.copies import COPIES, pack_copies, unpack_copies
+from tradewind.operators.copies import COPIES, unpack_copies
+from tradewind.operators.dictionary import VALUES_TO_BROADCAST, dictionary, encode
+from tradewind.operators.running import ONE_TASK_ROWS
+from tradewind.session import run_together, stored
 from tradewind.sources.layers import fingerprint, publish, published, read_table
 
 # The columns the models see.
@@ -79,10 +83,15 @@ def label_indexer(columns: Sequence[str] = CATEGORIES) -> StringIndexer:
     )
 
 
-def label_encode(df: DataFrame, columns: Sequence[str] = CATEGORIES) -> DataFrame:
-    """Replace each category by its code."""
-    coded = label_indexer(columns).fit(df).transform(df)
-    return coded.select(*[F.col(f"{c}_code").cast("int").alias(c) if c in columns else F.col(c) for c in df.columns])
+def label_encode(df: DataFrame, columns: Sequence[str] = CATEGORIES, most_values: int = VALUES_TO_BROADCAST) -> DataFrame:
+    """Replace each category by its code: 0, 1, ... in the sort order of the values, NULL for NULL.
+
+    The dictionaries are made and joined in Spark, whatever number of values they hold.
+    """
+    made = run_together(df.sparkSession, [partial(dictionary, df, column) for column in columns])
+    for column, codes in zip(columns, made):
+        df = encode(df, column, codes, most_values).withColumn(column, F.col(column).cast("int"))
+    return df
 
 
 def preparation(df: DataFrame, label: str = LABEL) -> Pipeline:
@@ -114,41 +123,45 @@ def standardize(df: DataFrame, label: str = LABEL) -> DataFrame:
 
 
 def stratified_split(
-    df: DataFrame, label: str = LABEL, train_share: float = 0.8, seed: int = 42, buckets: int = 65_536
+    df: DataFrame,
+    label: str = LABEL,
+    train_share: float = 0.8,
+    seed: int = 42,
+    buckets: int = 65_536,
+    one_task_rows: int = ONE_TASK_ROWS,
 ) -> DataFrame:
     """Add ``split`` ('train' or 'test'): per class exactly round(share × rows) train rows.
 
     Rows are ordered by a hash of their values, cut into hash buckets. The bucket counts (classes ×
-    ``buckets`` rows at most) tell which buckets are all train or all test; only the one bucket per
-    class that holds the cut is ranked. Equal rows are interchangeable, so they are ranked as one.
-    The same data gives the same split, whatever its order or partitioning.
+    ``buckets`` rows at most) tell which buckets are all train or all test; only the bucket of each
+    class that holds the cut is looked at further. Its equal rows are interchangeable and go on as one row with
+    a count. While it has more than ``one_task_rows`` of these, it is hashed anew and counted again, as in a
+    radix sort; then it is ranked in one task. The same data gives the same split, whatever its order or partitioning.
     """
     columns = df.columns
-    hashed = F.xxhash64(*[F.col(c) for c in columns], F.lit(seed))
-    rows = df.withColumn("__bucket", F.pmod(hashed, F.lit(buckets)).cast("int"))
-
-    sizes = rows.groupBy(label, "__bucket").agg(F.count(F.lit(1)).alias("__n"))
-    by_class = Window.partitionBy(label)
-    earlier = by_class.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
-    target = F.round(F.sum("__n").over(by_class) * F.lit(train_share)).cast("bigint")
-    start = F.coalesce(F.sum("__n").over(earlier), F.lit(0))
-    quota = sizes.select(
-        label, "__bucket", "__n", F.greatest(F.lit(0), F.least(F.col("__n"), target - start)).alias("__train")
-    )
-
-    quota = quota.withColumnRenamed(label, "__label").withColumnRenamed("__bucket", "__cut")
-    same = rows[label].eqNullSafe(quota["__label"]) & (rows["__bucket"] == quota["__cut"])  # NULL is a class too
-    tagged = rows.join(F.broadcast(quota), same).drop("__label", "__cut")
-    uncut = (F.col("__train") == 0) | (F.col("__train") == F.col("__n"))
-    whole = tagged.where(uncut).select(
-        *columns, F.when(F.col("__train") == 0, F.lit("test")).otherwise(F.lit("train")).alias("split")
-    )
+    rows = df.withColumn(COPIES, F.lit(1).cast("bigint"))
+    all_of_class = F.sum("__n").over(Window.partitionBy(label))
+    target = lambda sizes: sizes.withColumn("__left", F.round(all_of_class * F.lit(train_share)).cast("bigint"))
+    decided, cut = _past_buckets(rows, target, label, columns, seed, buckets)
+    # Uncut rows are not shuffled; those of a cut bucket are few, or many times the same.
+    out = [decided.select(*columns, "split")]
+    packed = cut.groupBy(*columns, "__left").agg(F.sum(COPIES).alias(COPIES))
+    packed, turn = stored(packed), 0
+    while True:
+        largest = packed.groupBy(label).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+        if largest <= one_task_rows:
+            break
+        turn += 1
+        quotas = packed.select(F.col(label).alias("__of"), "__left").distinct()  # one row per class
+        target = lambda sizes: sizes.join(F.broadcast(quotas), sizes[label].eqNullSafe(quotas["__of"]))  # noqa: B023, E731
+        decided, cut = _past_buckets(packed.drop("__left"), target, label, columns, seed + turn, max(2, buckets))
+        out.append(unpack_copies(decided.select(*columns, "split", COPIES)))
+        packed = stored(cut.select(*columns, "__left", COPIES))
 
-    groups = pack_copies(tagged.where(~uncut).select(*columns, "__train"))
+    hashed = F.xxhash64(*[F.col(c) for c in columns], F.lit(seed))
     ranked = Window.partitionBy(label).orderBy(hashed, *columns).rowsBetween(Window.unboundedPreceding, -1)
-    room = F.col("__train") - F.coalesce(F.sum(COPIES).over(ranked), F.lit(0))
-    to_train = F.greatest(F.lit(0), F.least(F.col(COPIES), room))
-    shares = groups.withColumn("__to_train", to_train).withColumn(
+    room = F.col("__left") - F.coalesce(F.sum(COPIES).over(ranked), F.lit(0))
+    shares = packed.withColumn("__to_train", F.greatest(F.lit(0), F.least(F.col(COPIES), room))).withColumn(
         "__part",
         F.explode(
             F.array(
@@ -157,5 +170,29 @@ def stratified_split(
             )
         ),
     )
-    cut = unpack_copies(shares.select(*columns, "__part.split", F.col("__part.copies").alias(COPIES)))
-    return whole.unionByName(cut)
+    out.append(unpack_copies(shares.select(*columns, "__part.split", F.col("__part.copies").alias(COPIES))))
+    return reduce(DataFrame.unionByName, out)
+
+
+def _past_buckets(
+    rows: DataFrame, target: Callable[[DataFrame], DataFrame], label: str, columns: Sequence[str], seed: int, buckets: int
+) -> tuple[DataFrame, DataFrame]:
+    """``rows`` (with a count of copies) of the buckets that are all train or all test, with ``split``; and those of
+    the bucket of each class that the cut is in, with ``__left``, how many of them are still to be train.
+
+    ``target`` adds to the sizes of the buckets how many rows of the class are to be train, as ``__left``.
+    """
+    hashed = F.xxhash64(*[F.col(c) for c in columns], F.lit(seed))
+    rows = rows.withColumn("__bucket", F.pmod(hashed, F.lit(buckets)).cast("int"))
+    sizes = target(rows.groupBy(label, "__bucket").agg(F.sum(COPIES).alias("__n")))
+    earlier = Window.partitionBy(label).orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)
+    room = F.col("__left") - F.coalesce(F.sum("__n").over(earlier), F.lit(0))
+    quota = sizes.select(
+        F.col(label).alias("__label"), F.col("__bucket").alias("__cut"), "__n", F.greatest(F.lit(0), F.least(F.col("__n"), room)).alias("__left")
+    )
+    # Classes × buckets rows at most, each a few numbers. NULL is a class too.
+    same = rows[label].eqNullSafe(quota["__label"]) & (rows["__bucket"] == quota["__cut"])
+    tagged = rows.join(F.broadcast(quota), same).drop("__label", "__cut", "__bucket")
+    uncut = (F.col("__left") == 0) | (F.col("__left") == F.col("__n"))
+    split = F.when(F.col("__left") == 0, F.lit("test")).otherwise(F.lit("train"))
+    return tagged.where(uncut).withColumn("split", split).drop("__n", "__left"), tagged.where(~uncut).drop("__n")
