@@ -1,11 +1,9 @@
+import dataclasses
 import random
 from collections import Counter
 
 import pytest
-from pyspark.ml import PipelineModel
-from pyspark.ml.classification import GBTClassificationModel
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from tests.domain import ts
@@ -120,6 +118,26 @@ def test_correlations_and_kpis(spark):
     flat = mt.correlation_pairs(df.withColumn("c", F.lit(5.0)), ["a", "c"]).collect()
     assert [(r.feature_b, r.correlation is None) for r in flat] == [("a", False), ("c", True), ("c", True)]
     assert tuple(mt.data_kpis(df).first()) == (3, pytest.approx(100 / 3), 4.0)
+    assert [r.correlation for r in mt.correlation_pairs(df.where("a = 1"), ["a"]).collect()] == [None]
+
+
+def test_correlations_of_many_columns(spark):
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    data = rng.normal(size=(300, 200)) + 1000
+    data[:, 1] = data[:, 0] * 2 + rng.normal(size=300)
+    data[:, 7] = 5.0
+    names = [f"c{k}" for k in range(200)]
+    df = spark.createDataFrame([tuple(map(float, row)) for row in data] + [(None,) * 200], ", ".join(f"{n} double" for n in names))
+    got = {(r.feature_a, r.feature_b): r.correlation for r in mt.correlation_pairs(df, names).collect()}
+    with np.errstate(all="ignore"):
+        expect = np.corrcoef(data.T)
+    assert len(got) == 200 * 201 // 2
+    for i in range(200):
+        for j in range(i, 200):
+            value = got[names[i], names[j]]
+            assert value is None if 7 in (i, j) else abs(value - expect[i, j]) < 1e-9
 
 
 def test_training(spark, extract, tmp_path):
@@ -136,10 +154,41 @@ def test_training(spark, extract, tmp_path):
     assert tr.model_confusion(trained).count() == 12 and tr.model_roc(trained).count() > 6
 
     tr.save_models(trained, str(tmp_path))
-    prepared = PipelineModel.load(f"{tmp_path}/preparation").transform(ft.features_enhanced(extract))
-    model = GBTClassificationModel.load(f"{tmp_path}/Gradient_Boosting")
-    scores = model.transform(prepared).select(vector_to_array("probability")[1].alias("p"))
-    assert 0 < scores.agg(F.avg("p")).first()[0] < 1
+    features = ft.features_enhanced(extract)
+    saved = tr.load_models(spark.newSession(), str(tmp_path))
+    assert set(saved.models) == set(tr.ALL_MODELS)
+    facts = tr.saved_score_facts(trained, saved, features).collect()
+    assert len(facts) == 6 and all(r.different == 0 and r.rows > 0 for r in facts)
+    scored = tr.score_table(saved, tr.BOOSTING, features.drop("is_late"))
+    assert scored.columns == [*features.drop("is_late").columns, "prediction", "score"] and scored.count() == features.count()
+    unseen = tr.score_table(saved, tr.FOREST, features.withColumn("customer_state", F.lit("never seen")))
+    assert unseen.where("score BETWEEN 0 AND 1").count() == features.count()
+    other = dict(saved.models) | {tr.FOREST: trained.models[tr.BOOSTING]}
+    wrong = tr.saved_score_facts(trained, tr.SavedModels(saved.preparation, other), features).collect()
+    assert sum(r.different for r in wrong if r.model == tr.FOREST) > 0
+    with pytest.raises(ValueError):
+        tr.load_models(spark, str(tmp_path / "none"))
+
+    # Facts that hold for fitted models, and fail for shuffled labels, random scores and wrong rows.
+    best = mt.best_model(comparison)
+    assert all(abs(r.gradient) < 5e-4 for r in tr.logreg_gradient(trained).collect())
+    deep = tr.train_models(ft.features_enhanced(extract), [tr.FOREST], tr.ModelSettings(forest_trees=30, forest_depth=8))
+    assert [(r.model, r.beats_features) for r in tr.tree_facts(deep).collect()] == [(tr.FOREST, True)]
+    assert {r.model: r.beats_features for r in tr.tree_facts(trained).collect()}[tr.BOOSTING]
+    assert tuple(tr.boosting_loss(trained).first()) == (3, 0, True)
+    gaps = tr.comparison_facts(trained, comparison).collect()
+    assert len(gaps) == 3 and all(abs(r[c]) < 1e-12 for r in gaps for c in r.asDict() if c.endswith("_gap"))
+    assert tuple(tr.best_facts(trained, best).first()) == (3, 0)
+    shuffled = trained.train.withColumn("label", (F.rand(5) < 0.3).cast("double"))
+    elsewhere = dataclasses.replace(trained, train=shuffled.persist())
+    assert any(abs(r.gradient) > 5e-3 for r in tr.logreg_gradient(elsewhere).collect())
+    assert not tr.boosting_loss(elsewhere).first().below_constant
+    random_scores = {n: p.withColumn("score", F.rand(7)).withColumn("prediction", (F.rand(9) < 0.5).cast("int")).persist() for n, p in trained.predictions.items()}
+    guessed = dataclasses.replace(trained, predictions=random_scores)
+    assert any(abs(r.auc_gap) > 1e-6 and abs(r.acc_gap) > 1e-6 for r in tr.comparison_facts(guessed, comparison).collect())
+    worst = comparison.orderBy("auc").limit(1)
+    assert tr.best_facts(trained, worst).first().beaten_by > 0
+    assert not tr.tree_facts(dataclasses.replace(deep, train=shuffled)).first().beats_features
 
 
 def test_a_leaked_delay_gives_the_label_away(extract):

@@ -12,6 +12,7 @@ from tradewind.operators.dictionary import dictionary, encode
 from tradewind.operators.fill import forward_fill
 from tradewind.operators.impute import median_impute
 from tradewind.operators.running import exact_medians, quantile_of, running_totals, value_counts_upto
+from tradewind.operators.sketches import merged_quantiles, rank_error, rank_gaps, sketch_by, sketched_medians
 from tradewind.operators.skew import grid, hot_keys, left_join_all
 
 
@@ -249,3 +250,30 @@ def test_codes_of_a_million_values(spark):
     check = codes.where("value IN ('v10', 'v5', 'v777777')").collect()
     order = sorted(f"v{k}" for k in range(1_000_000))
     assert all(order[r["code"]] == r["value"] for r in check) and len(check) == 3
+
+
+def test_sketches_are_merged_within_their_error(spark):
+    rng = random.Random(8)
+    values = [(rng.choice("abc"), rng.choice([rng.gauss(0, 1), 0.5, None])) for _ in range(20_000)]
+    df = spark.createDataFrame(values, "g string, v double").repartition(7)
+    sketches = sketch_by(df, "v", ["g"])
+    assert {r["g"]: r["n"] for r in sketches.collect()} == Counter(g for g, v in values if v is not None)
+    shares = (0.0, 0.1, 0.5, 0.9, 1.0)
+    points = merged_quantiles(sketches, shares).collect()
+    counts, total = value_counts_upto(df, "v")
+    assert [r["share"] for r in points] == list(shares) and {r["n"] for r in points} == {total}
+    gaps = rank_gaps(counts, "v", [(r["share"], r["value"]) for r in points]).collect()
+    assert all(r["gap"] <= rank_error() < 0.01 for r in gaps)
+    far = rank_gaps(counts, "v", [(0.5, 10.0), (0.5, -10.0)]).collect()
+    assert [round(r["gap"], 6) for r in far] == [0.5, 0.5]
+    assert merged_quantiles(sketches.where("false"), shares).count() == 0
+    assert len(merged_quantiles(sketches, shares, ["g"]).collect()) == 15
+    medians = sketched_medians(df.withColumn("none", F.lit(None).cast("double")), ["v", "none"])
+    assert medians["none"] is None and rank_gaps(counts, "v", [(0.5, medians["v"])]).first()["gap"] <= rank_error()
+
+
+def test_counts_are_made_by_one_scan(spark, tmp_path):
+    spark.createDataFrame([(float(k % 5),) for k in range(40)], "v double").write.parquet(str(tmp_path / "t"))
+    counts, total = value_counts_upto(spark.read.parquet(str(tmp_path / "t")), "v")
+    assert total == 40 and str(tmp_path) not in counts._jdf.queryExecution().toString()
+    assert counts.agg(quantile_of("v", 0.5, total)).first()[0] == 2.0

@@ -8,6 +8,8 @@ from collections.abc import Sequence
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
+from tradewind.session import stored
+
 ONE_TASK_ROWS = 1_000_000  # up to this many distinct values, one sorted task is enough
 MAX_BUCKETS = 10_000
 
@@ -54,8 +56,10 @@ def running_totals(
 
 
 def value_counts_upto(df: DataFrame, column: str, one_task_rows: int = ONE_TASK_ROWS) -> tuple[DataFrame, int]:
-    """Each distinct non-NULL value with its count ``n`` and running count ``n_upto``; and the total."""
-    counts = df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n"))
+    """Each distinct non-NULL value with its count ``n`` and running count ``n_upto``; and the total.
+
+    The counts are stored: ``df`` is scanned once, whatever is made of them."""
+    counts = stored(df.where(F.col(column).isNotNull()).groupBy(column).agg(F.count(F.lit(1)).alias("n")))
     size = counts.agg(F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum("n"), F.lit(0)).alias("total")).first()
     return running_totals(counts, column, ["n"], one_task_rows=one_task_rows, rows=size.rows), size.total
 
@@ -74,7 +78,7 @@ def exact_medians(
     The distinct values of all columns are counted together, and small columns ranked together.
     """
     pairs = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).cast("double").alias("value")) for c in columns])
-    counts = (
+    counts = stored(
         df.select(F.explode(pairs).alias("p"))
         .select("p.*")
         .where(F.col("value").isNotNull())

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
+from pyspark.ml.feature import VectorAssembler
+from pyspark.ml.stat import Correlation, Summarizer
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradewind.operators.running import ONE_TASK_ROWS, running_totals
+from tradewind.session import stored
 
 
 def _ratio(a, b):
@@ -45,7 +49,7 @@ def confusion_matrix(df: DataFrame, label: str, prediction: str) -> DataFrame:
 def _score_counts(df: DataFrame, label: str, score: str) -> DataFrame:
     """Positives and negatives per distinct score."""
     positive = F.col(label).cast("double") == 1.0
-    return (
+    return stored(
         df.where(F.col(score).isNotNull())
         .groupBy(F.col(score).cast("double").alias("score"))
         .agg(F.count_if(positive).alias("pos"), F.count_if(~positive).alias("neg"))
@@ -87,20 +91,22 @@ def class_balance(df: DataFrame, label: str) -> DataFrame:
 
 
 def correlation_pairs(df: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(feature_a, feature_b, correlation): Pearson, each unordered pair once, all in one pass.
+    """(feature_a, feature_b, correlation): Pearson, each unordered pair once, from one matrix of products.
 
-    NULL for a constant column, where ``corr`` would fail on a division by zero.
+    Tasks add up the products of their rows as vectors; one matrix of columns × columns comes back, whatever
+    the number of rows, and the plan does not grow with the number of pairs. Rows with a NULL in any of the
+    columns are left out. NULL for a constant column, and for all if fewer than two rows are left.
     """
-    pairs = [(a, b) for i, a in enumerate(columns) for b in columns[i:]]
-    cells = [
-        F.struct(
-            F.lit(a).alias("feature_a"),
-            F.lit(b).alias("feature_b"),
-            (F.covar_pop(a, b) / F.nullif(F.stddev_pop(a) * F.stddev_pop(b), F.lit(0.0))).alias("correlation"),
-        )
-        for a, b in pairs
-    ]
-    return df.agg(F.array(*cells).alias("cells")).select(F.explode("cells").alias("c")).select("c.*")
+    rows = VectorAssembler(inputCols=list(columns), outputCol="__v", handleInvalid="skip").transform(df).select("__v")
+    found, spread = None, None
+    if rows.limit(2).count() == 2:
+        found = Correlation.corr(rows, "__v").first()[0].toArray()
+        spread = rows.select(Summarizer.std(F.col("__v"))).first()[0]
+    # The matrix has 1 on its diagonal for a constant column too.
+    known = lambda i, j: found is not None and spread[i] > 0 and spread[j] > 0 and not math.isnan(found[i, j])
+    value = lambda i, j: float(found[i, j]) if known(i, j) else None
+    pairs = [(a, columns[j], value(i, j)) for i, a in enumerate(columns) for j in range(i, len(columns))]
+    return df.sparkSession.createDataFrame(pairs, "feature_a string, feature_b string, correlation double")
 
 
 def data_kpis(features: DataFrame, label: str = "is_late") -> DataFrame:

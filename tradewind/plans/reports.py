@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tradewind.functions.numbers import as_double, money, money_sum, safe_double, safe_long
 from tradewind.functions.timestamps import whole_days
+from tradewind.operators.sketches import merged_quantiles, sketch_by
 from tradewind.operators.running import ONE_TASK_ROWS, quantile_of, value_counts_upto
 from tradewind.sources.reportfiles import write_report
 
@@ -91,6 +92,17 @@ def product_price_distribution(commerce: DataFrame, one_task_rows: int = ONE_TAS
     )
 
 
+def price_sketches(commerce: DataFrame) -> DataFrame:
+    """A sketch of the prices of each month (``month, n, sketch``), to be stored and merged for any range of months."""
+    priced = commerce.select(F.date_trunc("month", "order_purchase_timestamp").alias("month"), as_double("price").alias("price"))
+    return sketch_by(priced, "price", ["month"])
+
+
+def sketched_price_distribution(sketches: DataFrame) -> DataFrame:
+    """(share, price, prices): approximate quartiles of the months whose sketches are given; see ``sketches.rank_error``."""
+    return merged_quantiles(sketches, (0.25, 0.5, 0.75)).toDF("share", "price", "prices")
+
+
 def review_score_distribution(commerce: DataFrame) -> DataFrame:
     scored = commerce.where(F.col("review_score").isNotNull())
     return scored.groupBy("review_score").agg(_rows("num_reviews")).orderBy("review_score")

@@ -11,19 +11,22 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tradewind.plans import reports as rep
 from tradewind.plans.clean import CLEANERS
-from tradewind.plans.features import features_base, features_enhanced, stored_extract
+from tradewind.plans.features import features_base, features_enhanced, ml_extract, stored_extract
 from tradewind.plans.metrics import best_model, class_balance, correlation_pairs, data_kpis, ml_kpi_row
 from tradewind.plans.normalize import normalize
 from tradewind.plans.profile import count_rows, counted, profile_layer, profile_samples
 from tradewind.plans.training import (
     ALL_MODELS,
     BASE_MODELS,
+    BOOSTING,
     ModelSettings,
+    load_models,
     model_comparison,
     model_confusion,
     model_importances,
     model_roc,
     save_models,
+    score_table,
     train_models,
 )
 from tradewind.plans.features import label_encode
@@ -130,6 +133,13 @@ def enhanced_model_stage(
     }
 
 
+def score_stage(spark: SparkSession, paths: LayerPaths, model: str = BOOSTING, table: str = "commerce") -> str:
+    """Score the delivered rows of a wrangled table with the models an earlier run has saved; returns the folder of the scores."""
+    features = features_enhanced(ml_extract(read_table(spark, paths.wrangled, table)))
+    scored = score_table(load_models(spark, f"{paths.models}/saved"), model, features)
+    return publish(scored, paths.models, "scores")
+
+
 def run_all(
     spark: SparkSession,
     paths: LayerPaths,

@@ -2,19 +2,29 @@
 
 from __future__ import annotations
 
+import math
 import time
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.ml import PipelineModel
 from pyspark.ml.base import Model
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import (
+    GBTClassificationModel,
+    GBTClassifier,
+    LogisticRegression,
+    LogisticRegressionModel,
+    RandomForestClassificationModel,
+    RandomForestClassifier,
+)
+from pyspark.ml.feature import StringIndexerModel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from tradewind.plans.features import LABEL, feature_names, preparation, stratified_split
 from tradewind.plans.metrics import binary_metrics, confusion_matrix, feature_importance, roc_auc, roc_curve
 from tradewind.session import stored
+from tradewind.sources import files
 
 # Names and settings of the models.
 LOGREG, FOREST, BOOSTING = "Logistic Regression", "Random Forest", "Gradient Boosting"
@@ -159,9 +169,7 @@ def model_facts(trained: TrainedModels) -> DataFrame:
     """(model, actual, rows, auc_gap): scored test rows per class, and the area under the stored ROC points
     by the trapezoid rule less the AUC, which both count a tie as half."""
     rows = _per_model(trained, lambda p: p.groupBy(F.col("label").alias("actual")).agg(F.count(F.lit(1)).alias("rows")))
-    by_rate = Window.partitionBy("model").orderBy("fpr", "tpr")
-    step = (F.col("fpr") - F.lag("fpr").over(by_rate)) * (F.col("tpr") + F.lag("tpr").over(by_rate)) / 2
-    area = model_roc(trained).withColumn("step", step).groupBy("model").agg(F.sum("step").alias("area"))
+    area = areas(trained)
     auc = _per_model(trained, lambda p: roc_auc(p, "label", "score"))
     gap = area.join(auc, "model").select("model", (F.col("area") - F.col("auc")).alias("auc_gap"))
     return rows.join(gap, "model")
@@ -173,6 +181,130 @@ def mean_train_score(trained: TrainedModels, name: str) -> DataFrame:
     return scored.agg(F.count(F.lit(1)).alias("train_rows"), F.avg("score").alias("mean_score"))
 
 
+def logreg_gradient(trained: TrainedModels) -> DataFrame:
+    """(feature, train_rows, gradient): the slope of the penalised loss at the fitted coefficients, which is 0 at its minimum.
+
+    The mean of (score - label) × feature over the train rows, plus the penalty's share; for the intercept without one.
+    """
+    model, rows = trained.models[LOGREG], trained.train
+    off = vector_to_array("probability")[1] - F.col("label")
+    x = vector_to_array("features")
+    slopes = [F.avg(off * x[i]).alias(f"s{i}") for i in range(len(trained.names))] + [F.avg(off).alias("intercept")]
+    found = model.transform(rows).agg(F.count(F.lit(1)).alias("rows"), *slopes).first()
+    penalty = [w / found["rows"] for w in model.coefficients.toArray().tolist()]
+    cells = [(name, found["rows"], found[f"s{i}"] + penalty[i]) for i, name in enumerate(trained.names)]
+    cells.append(("intercept", found["rows"], found["intercept"]))
+    return rows.sparkSession.createDataFrame(cells, "feature string, train_rows bigint, gradient double")
+
+
+def tree_facts(trained: TrainedModels) -> DataFrame:
+    """(model, train_rows, beats_features): whether a tree model orders its train rows better than every single feature does."""
+    rows = trained.train
+    x = vector_to_array("features")
+    alone = [roc_auc(rows.select("label", x[i].alias("x")), "label", "x").first()["auc"] for i in range(len(trained.names))]
+    best = max((max(a, 1 - a) for a in alone if a is not None), default=0.5)
+    cells = []
+    for name in (n for n in trained.models if n in (FOREST, BOOSTING)):
+        auc = roc_auc(_scored(trained.models[name], rows), "label", "score").first()["auc"]
+        cells.append((name, rows.count(), auc is not None and auc > best))
+    return rows.sparkSession.createDataFrame(cells, "model string, train_rows bigint, beats_features boolean")
+
+
+def boosting_loss(trained: TrainedModels) -> DataFrame:
+    """(rounds, rising, below_constant): in how many rounds of boosting the train loss rises, and whether the last is below the
+    loss of the best constant score."""
+    rows = trained.train
+    losses = trained.models[BOOSTING].evaluateEachIteration(rows)
+    share = rows.agg(F.avg("label")).first()[0] or 0.0
+    # The loss is 2 log(1 + exp(-2 y f)), whose least constant value is twice the entropy of the labels.
+    constant = -2 * sum(p * math.log(p) for p in (share, 1 - share) if p > 0)
+    rising = sum(b > a + 1e-9 for a, b in zip(losses, losses[1:]))
+    cells = [(len(losses), rising, bool(losses and losses[-1] < constant))]
+    return rows.sparkSession.createDataFrame(cells, "rounds bigint, rising bigint, below_constant boolean")
+
+
+def areas(trained: TrainedModels) -> DataFrame:
+    """(model, area) under the stored ROC points, by the trapezoid rule."""
+    by_rate = Window.partitionBy("model").orderBy("fpr", "tpr")
+    step = (F.col("fpr") - F.lag("fpr").over(by_rate)) * (F.col("tpr") + F.lag("tpr").over(by_rate)) / 2
+    return model_roc(trained).withColumn("step", step).groupBy("model").agg(F.sum("step").alias("area"))
+
+
+def comparison_facts(trained: TrainedModels, comparison: DataFrame) -> DataFrame:
+    """(model, test_rows, acc_gap, precision_gap, recall_gap, f1_gap, auc_gap): the comparison's figures less those that follow
+    from the model's own confusion cells and ROC points."""
+    cell = lambda a, p: F.sum(F.when((F.col("actual") == a) & (F.col("predicted") == p), F.col("n")))
+    cells = model_confusion(trained).groupBy("model").agg(
+        cell(1, 1).alias("tp"), cell(0, 1).alias("fp"), cell(1, 0).alias("fn"), F.sum("n").alias("test_rows"), cell(0, 0).alias("tn")
+    )
+    ratio = lambda a, b: F.coalesce(F.expr(f"({a}) / nullif({b}, 0)"), F.lit(0.0))
+    expected = {
+        "acc": ratio("tp + tn", "test_rows"), "precision": ratio("tp", "tp + fp"),
+        "recall": ratio("tp", "tp + fn"), "f1": ratio("2 * tp", "2 * tp + fp + fn"), "auc": F.col("area"),
+    }
+    both = comparison.join(cells, "model").join(areas(trained), "model")
+    return both.select("model", "test_rows", *[(F.col(c) - e).alias(f"{c}_gap") for c, e in expected.items()])
+
+
+def best_facts(trained: TrainedModels, best: DataFrame) -> DataFrame:
+    """(models, beaten_by): by how many models the best one is beaten, judged by the areas under their ROC points."""
+    found = {r["model"]: r["area"] for r in areas(trained).collect()}  # one row per model
+    own = found.get((best.first() or {"model": None})["model"], -1.0)
+    cells = [(len(found), sum(area > own + 1e-9 for area in found.values()))]
+    return best.sparkSession.createDataFrame(cells, "models bigint, beaten_by bigint")
+
+
+@dataclass(frozen=True)
+class SavedModels:
+    """The preparation and the models of an earlier run, as they were saved."""
+
+    preparation: PipelineModel
+    models: dict[str, Model]
+
+
+_SAVED = {LOGREG: LogisticRegressionModel, FOREST: RandomForestClassificationModel, BOOSTING: GBTClassificationModel}
+
+
+def load_models(spark: SparkSession, base: str) -> SavedModels:
+    """What ``save_models`` has put under ``base``, in this or in a later session.
+
+    A category that the preparation has not seen gets a code of its own, after all others, when a table is scored.
+    """
+    base = base.rstrip("/")
+    there = files.names(spark, base)
+    if "preparation" not in there:
+        raise ValueError(f"no saved models under {base}")
+    preparation = PipelineModel.load(f"{base}/preparation")
+    for stage in preparation.stages:
+        if isinstance(stage, StringIndexerModel):
+            stage.setHandleInvalid("keep")
+    folders = {name: name.replace(" ", "_") for name in _SAVED}
+    return SavedModels(preparation, {n: _SAVED[n].load(f"{base}/{f}") for n, f in folders.items() if f in there})
+
+
+def score_table(saved: SavedModels, name: str, features: DataFrame) -> DataFrame:
+    """``features`` (see ``plans.features``) with ``prediction`` and ``score`` of one model. Partitions are scored where they
+    lie, nothing is shuffled; the label is not needed."""
+    scored = saved.models[name].transform(saved.preparation.transform(features))
+    return scored.select(
+        *features.columns, F.col("prediction").cast("int").alias("prediction"), vector_to_array("probability")[1].alias("score")
+    )
+
+
+def saved_score_facts(trained: TrainedModels, saved: SavedModels, features: DataFrame, label: str = LABEL) -> DataFrame:
+    """(model, actual, rows, different): rows of a table, and those that a saved model scores differently from the fitted one."""
+    result = None
+    for name, model in trained.models.items():
+        own = model.transform(trained.preparation.transform(features))
+        own = own.select(*features.columns, vector_to_array("probability")[1].alias("own_score"), F.col("prediction").alias("own_prediction"))
+        both = saved.models[name].transform(saved.preparation.transform(own))
+        differs = (F.abs(vector_to_array("probability")[1] - F.col("own_score")) > 1e-12) | (F.col("prediction") != F.col("own_prediction"))
+        part = both.groupBy(F.col(label).alias("actual")).agg(F.count(F.lit(1)).alias("rows"), F.count_if(differs).alias("different"))
+        part = part.select(F.lit(name).alias("model"), "*")
+        result = part if result is None else result.unionByName(part)
+    return result
+
+
 def save_models(trained: TrainedModels, base: str) -> list[str]:
     """The preparation (encoder and scaler) and each model, loadable by Spark ML."""
     base = base.rstrip("/")

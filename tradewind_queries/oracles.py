@@ -317,6 +317,13 @@ def _featured(select: str) -> str:
     return f"WITH {BINDINGS.strip()}, {CLEAN.strip()}, {WRANGLE.strip()}, {FEATURES.strip()} {select}"
 
 
+def _train_rows(select: str) -> str:
+    return _featured(
+        f", train AS (SELECT CAST(SUM(t) AS BIGINT) AS train_rows, CAST(SUM(c - t) AS BIGINT) AS test_rows "
+        f"FROM (SELECT COUNT(*) AS c, CAST(ROUND(0.8 * COUNT(*)) AS BIGINT) AS t FROM enhanced GROUP BY is_late)) {select}"
+    )
+
+
 def _scored(select: str) -> str:
     return f"WITH {SCORED.strip()} {select}"
 
@@ -446,6 +453,16 @@ def _correlation_pairs() -> str:
     )
 
 
+def _clean_row_counts() -> str:
+    cleaned = {
+        "orders": "c_orders", "order_items": "c_items", "order_payments": "c_payments", "order_reviews": "c_reviews", "customers": "c_customers",
+        "sellers": "c_sellers", "products": "c_products", "geolocation": "c_geo", "product_category_name_translation": "c_translation",
+    }
+    count = "(SELECT COUNT(*) FROM {})".format
+    rows = [f"SELECT '{t}' AS table_name, {count(DOMAIN[t][0])} AS rows_in, {count(c)} AS rows_out" for t, c in cleaned.items()]
+    return _clean(f"SELECT table_name, rows_in, rows_in - rows_out AS rows_removed, rows_out FROM ({' UNION ALL '.join(rows)})")
+
+
 def _normalized(view: str, columns: str) -> str:
     return _domain(f"SELECT DISTINCT {columns} FROM {view}")
 
@@ -586,7 +603,45 @@ ORACLES: dict[str, str] = {
         "SELECT CAST(SUM(t) AS BIGINT) AS train_rows, ROUND(CAST(SUM(t) FILTER (is_late = 1) AS DOUBLE) / SUM(t), 4) AS mean_score "
         "FROM (SELECT is_late, CAST(ROUND(0.8 * COUNT(*)) AS BIGINT) AS t FROM enhanced GROUP BY 1)"
     ),
-    "ml_best_model_facts": "SELECT 3::BIGINT AS models, 0.0::DOUBLE AS short_by",
+    "ml_best_model_facts": "SELECT 3::BIGINT AS models, 0::BIGINT AS beaten_by",
+    "ml_logreg_gradient": _train_rows(
+        "SELECT feature, train_rows, 0.0::DOUBLE AS gradient FROM train, (VALUES ('price'), ('freight_value'), ('product_weight_g'), "
+        "('customer_state'), ('seller_state'), ('product_category_name_english'), ('intercept')) AS v(feature)"
+    ),
+    "ml_tree_facts": _train_rows(
+        "SELECT model, train_rows, TRUE AS beats_features FROM train, (VALUES ('Random Forest'), ('Gradient Boosting')) AS v(model)"
+    ),
+    "ml_boosting_loss": "SELECT 100::BIGINT AS rounds, 0::BIGINT AS rising, TRUE AS below_constant",
+    "ml_comparison_facts": _train_rows(
+        "SELECT model, test_rows, 0.0::DOUBLE AS acc_gap, 0.0::DOUBLE AS precision_gap, 0.0::DOUBLE AS recall_gap, 0.0::DOUBLE AS f1_gap, "
+        "0.0::DOUBLE AS auc_gap FROM train, (VALUES ('Logistic Regression'), ('Random Forest'), ('Gradient Boosting')) AS v(model)"
+    ),
+    "ml_kpi_row": _featured(
+        "SELECT COUNT(*) AS samples, ROUND(CAST(SUM(is_late) AS DOUBLE) / COUNT(*) * 100, 6) AS late_pct, "
+        "ROUND(CAST(SUM(delay_days) AS DOUBLE) / COUNT(*), 6) AS avg_delay_days, 0.0::DOUBLE AS auc_gap, 0.0::DOUBLE AS accuracy_gap FROM enhanced"
+    ),
+    "ml_saved_scores": _featured(
+        "SELECT model, is_late AS actual, rows, 0::BIGINT AS different FROM (SELECT is_late, COUNT(*) AS rows FROM enhanced GROUP BY 1), "
+        "(VALUES ('Logistic Regression'), ('Random Forest'), ('Gradient Boosting')) AS v(model)"
+    ),
+    "catalog_table": _reported("SELECT * FROM order_status_distribution"),
+    "wide_csv_split": "SELECT doc_id, nullif(text, '') AS text, lang, source, n_chars FROM documents",
+    "wide_columns": "SELECT 'commerce' AS table_name, CAST(COUNT(*) AS INTEGER) AS column_count FROM (DESCRIBE "
+    + _wrangled("SELECT * FROM commerce")
+    + ")",
+    "clean_row_counts": _clean_row_counts(),
+    "text_and_fallback_times": (
+        "SELECT event_id, date_trunc('minute', CAST(ts AS TIMESTAMP)) AS as_text, CAST(CAST(ts AS DATE) AS TIMESTAMP) AS as_date, "
+        "date_trunc('second', CAST(ts AS TIMESTAMP)) AS as_seconds, CAST(NULL AS TIMESTAMP) AS no_time FROM events"
+    ),
+    "ml_extract_stored": _featured("SELECT * FROM extract"),
+    "price_quantiles_sketched": _wrangled(
+        "SELECT share, COUNT(price) AS n, TRUE AS within FROM commerce, (VALUES (0.25::DOUBLE), (0.5::DOUBLE), (0.75::DOUBLE)) AS v(share) GROUP BY 1"
+    ),
+    "medians_sketched": _domain(
+        "SELECT measure, COUNT(v) AS n, TRUE AS within FROM (SELECT unnest(['product_weight_g', 'product_length_cm', 'product_height_cm', "
+        "'product_width_cm']) AS measure, unnest([product_weight_g, product_length_cm, product_height_cm, product_width_cm]) AS v FROM b_products) GROUP BY 1"
+    ),
     "binary_metrics": _scored(
         "SELECT ROUND((tp + tn) / (tp + fp + fn + tn), 9) AS acc, ROUND(COALESCE(tp / NULLIF(tp + fp, 0), 0), 9) AS precision, "
         "ROUND(COALESCE(tp / NULLIF(tp + fn, 0), 0), 9) AS recall, ROUND(COALESCE(2 * tp / NULLIF(2 * tp + fp + fn, 0), 0), 9) AS f1 FROM cells"
@@ -616,4 +671,6 @@ ORACLES |= {
     "roc_auc_ranged": ORACLES["roc_auc"],
     "roc_curve_ranged": ORACLES["roc_curve"],
     "stratified_split_few_buckets": ORACLES["stratified_split_counts"],
+    "stratified_split_radix": ORACLES["stratified_split_counts"],
+    "label_encode_joined": ORACLES["label_encode"],
 }

@@ -14,6 +14,8 @@ from tradewind.functions.timestamps import floor_days, late_flag, to_ts
 from tradewind.operators.dedupe import except_rows, one_per_key, removed_by_key
 from tradewind.operators.fill import forward_fill
 from tradewind.operators.impute import median_impute
+from tradewind.operators.running import value_counts_upto
+from tradewind.operators.sketches import rank_error, rank_gaps, sketched_medians
 from tradewind.operators.skew import left_join_all
 from tradewind.plans import clean as cl
 from tradewind.plans import features as ft
@@ -23,8 +25,9 @@ from tradewind.plans import reports as rp
 from tradewind.plans import training as tr
 from tradewind.plans import wrangle as wr
 from tradewind.plans.normalize import normalize_table
-from tradewind.session import shared_folder, stored
+from tradewind.session import observing_session, shared_folder, stored, with_settings_of
 from tradewind.sources.layers import publish, register_layer
+from tradewind.sources.rawcsv import read_split_csv
 from tradewind.sources.schema import TABLES, TEXT_TIMESTAMP, conform
 from tradewind_queries import bindings as b
 
@@ -201,6 +204,97 @@ def catalog_sql_smoke(spark, sf_dir):
     return rp.sql_report(spark, name)
 
 
+def catalog_table(spark, sf_dir):
+    """A report from a table of a database, which is published twice: the catalog is switched to the whole table."""
+    base, database = f"{shared_folder(spark)}/catalog-{uuid.uuid4()}", f"tradewind_{uuid.uuid4().hex}"
+    table = stored_commerce(spark, sf_dir)
+    publish(table.where("order_status = 'F'"), base, "commerce")
+    register_layer(spark, base, ["commerce"], database)
+    publish(table, base, "commerce")
+    (name,) = register_layer(spark, base, ["commerce"], database)
+    return rp.sql_report(spark, name)
+
+
+def wide_csv_split(spark, sf_dir):
+    """All documents by way of CSV files, whose texts hold quotes and line feeds, read in small blocks."""
+    folder = f"{shared_folder(spark)}/csv-{uuid.uuid4()}"
+    kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"', "header": True}
+    b.source(spark, sf_dir, "documents").write.options(**kept).csv(folder)
+    text = read_split_csv(spark, folder, split_bytes=100_000)
+    return conform(text, {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"})
+
+
+def wide_columns(spark, sf_dir):
+    profiled = {"commerce": stored_commerce(spark, sf_dir)}
+    return pf.schema_rows(profiled).groupBy("table_name").agg(F.count(F.lit(1)).cast("int").alias("column_count"))
+
+
+def clean_row_counts(spark, sf_dir):
+    """Rows in, removed and out of each cleaner, counted by the job that stores its table."""
+    own = with_settings_of(spark, observing_session(spark))
+
+    def one(name):
+        changed, counts = pf.counted(name, b.RAW[name](own, sf_dir), cl.CLEANERS[name])
+        stored(changed)
+        return counts()
+
+    return pf.count_rows(spark, [one(name) for name in b.RAW])
+
+
+def text_and_fallback_times(spark, sf_dir):
+    """Times as text, as a date, as seconds with a fraction, and text that is no time."""
+    ts = F.col("ts")
+    events = b.source(spark, sf_dir, "events").select(
+        "event_id", F.date_format("ts", TEXT_TIMESTAMP).alias("as_text"), F.to_date(ts).alias("as_date"),
+        (F.unix_seconds(ts) + 0.5).alias("as_seconds"), F.col("event_type").alias("no_time"),
+    )
+    return events.select("event_id", *[to_ts(events, c).alias(c) for c in ("as_text", "as_date", "as_seconds", "no_time")])
+
+
+def ml_extract_stored(spark, sf_dir):
+    """The extract as it is stored, after the commerce table under it has been replaced by the whole one."""
+    base = f"{shared_folder(spark)}/extract-{uuid.uuid4()}"
+    table = stored_commerce(spark, sf_dir)
+    publish(table.where("order_status = 'F'"), base, "commerce")
+    ft.stored_extract(spark, f"{base}/models", base)
+    publish(table, base, "commerce")
+    return ft.stored_extract(spark, f"{base}/models", base)
+
+
+def _within(gaps):
+    return gaps.withColumn("within", F.col("gap") <= rank_error()).drop("gap")
+
+
+def price_quantiles_sketched(spark, sf_dir):
+    """Quartiles from merged monthly sketches: rows behind them, and whether their ranks are within the stated error."""
+    table = stored_commerce(spark, sf_dir)
+    sketches = stored(rp.price_sketches(table))
+    points = rp.sketched_price_distribution(sketches).collect()
+    counts, _ = value_counts_upto(table.select("price"), "price")
+    gaps = _within(rank_gaps(counts, "price", [(r["share"], r["price"]) for r in points]))
+    seen = sketches.agg(F.sum("n")).first()[0]
+    return gaps.withColumn("within", F.col("within") & (F.col("n") == F.lit(points[0]["prices"])) & (F.col("n") == F.lit(seen)))
+
+
+def medians_sketched(spark, sf_dir):
+    """Medians of the product measures from one pass, against the exact ranks."""
+    products, out = b.products(spark, sf_dir), None
+    for name, median in sketched_medians(products, cl.PRODUCT_MEASURES).items():
+        counts, _ = value_counts_upto(products.select(name), name)
+        part = _within(rank_gaps(counts, name, [(0.5, median)])).select(F.lit(name).alias("measure"), "n", "within")
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def label_encode_joined(spark, sf_dir):
+    return ft.label_encode(ml_features(spark, sf_dir), most_values=0)
+
+
+def stratified_split_radix(spark, sf_dir):
+    split = ft.stratified_split(ml_features(spark, sf_dir), buckets=3, one_task_rows=SMALL_LIMIT)
+    return split.groupBy(ft.LABEL, "split").agg(F.count(F.lit(1)).alias("n"))
+
+
 def missing_columns(spark, sf_dir):
     """An export without the weight, and without a column that no export has."""
     wanted = {"product_id": "bigint", "product_weight_g": "double", "product_length_cm": "double", "shelf": "int"}
@@ -324,6 +418,50 @@ def ml_importance_facts(spark, sf_dir):
     )
 
 
+def ml_logreg_gradient(spark, sf_dir):
+    found = tr.logreg_gradient(trained_all(spark, sf_dir))
+    return found.withColumn("gradient", F.round("gradient", 3) + 0.0)
+
+
+def ml_tree_facts(spark, sf_dir):
+    return tr.tree_facts(trained_all(spark, sf_dir))
+
+
+def ml_boosting_loss(spark, sf_dir):
+    return tr.boosting_loss(trained_all(spark, sf_dir))
+
+
+def _rounded_gaps(df):
+    return df.withColumns({c: F.round(c, 9) + 0.0 for c in df.columns if c.endswith("_gap")})
+
+
+def ml_comparison_facts(spark, sf_dir):
+    return _rounded_gaps(tr.comparison_facts(trained_all(spark, sf_dir), ml_model_comparison(spark, sf_dir)))
+
+
+def ml_kpi_row(spark, sf_dir):
+    """The KPI row, with its AUC and accuracy less the largest area under ROC points and that model's share of right cells."""
+    trained = trained_all(spark, sf_dir)
+    row = mt.ml_kpi_row(ml_features_enhanced(spark, sf_dir), ml_model_comparison(spark, sf_dir))
+    best = tr.areas(trained).orderBy(F.desc("area")).first()
+    right = F.sum(F.when(F.col("actual") == F.col("predicted"), F.col("n")))
+    name = row.first()["best_model"]
+    share = tr.model_confusion(trained).where(F.col("model") == name).agg(right / F.sum("n")).first()[0]
+    gaps = row.select(
+        "samples", "late_pct", "avg_delay_days", (F.col("best_auc") - best["area"]).alias("auc_gap"), (F.col("best_accuracy") - share).alias("accuracy_gap")
+    )
+    return _rounded_gaps(gaps).withColumns({c: F.round(c, 6) for c in ("late_pct", "avg_delay_days")})
+
+
+def ml_saved_scores(spark, sf_dir):
+    """All feature rows, scored by the models as they come back from storage."""
+    trained = trained_all(spark, sf_dir)
+    base = f"{shared_folder(spark)}/models-{uuid.uuid4()}"
+    tr.save_models(trained, base)
+    features = ft.features_enhanced(extract(spark, sf_dir))
+    return tr.saved_score_facts(trained, tr.load_models(spark, base), features)
+
+
 def ml_logreg_calibration(spark, sf_dir):
     """The intercept has no penalty, so the mean score on the train rows is their share of late ones."""
     found = tr.mean_train_score(trained_all(spark, sf_dir), tr.LOGREG)
@@ -331,9 +469,8 @@ def ml_logreg_calibration(spark, sf_dir):
 
 
 def ml_best_model_facts(spark, sf_dir):
-    """Models compared, and by how much the best one falls short of the highest AUC."""
-    compared, best = ml_model_comparison(spark, sf_dir), ml_best_model(spark, sf_dir).first()
-    return compared.agg(F.count(F.lit(1)).alias("models"), (F.max("auc") - best["auc"]).alias("short_by"))
+    """Models compared, and by how many the best one is beaten by the area under its ROC points."""
+    return tr.best_facts(trained_all(spark, sf_dir), ml_best_model(spark, sf_dir))
 
 
 def ml_feature_importance(spark, sf_dir):
@@ -402,6 +539,22 @@ QUERIES: dict[str, Query] = {
     "ml_importance_facts": ml_importance_facts,
     "ml_logreg_calibration": ml_logreg_calibration,
     "ml_best_model_facts": ml_best_model_facts,
+    "ml_logreg_gradient": ml_logreg_gradient,
+    "ml_tree_facts": ml_tree_facts,
+    "ml_boosting_loss": ml_boosting_loss,
+    "ml_comparison_facts": ml_comparison_facts,
+    "ml_kpi_row": ml_kpi_row,
+    "ml_saved_scores": ml_saved_scores,
+    "catalog_table": catalog_table,
+    "wide_csv_split": wide_csv_split,
+    "wide_columns": wide_columns,
+    "clean_row_counts": clean_row_counts,
+    "text_and_fallback_times": text_and_fallback_times,
+    "ml_extract_stored": ml_extract_stored,
+    "price_quantiles_sketched": price_quantiles_sketched,
+    "medians_sketched": medians_sketched,
+    "label_encode_joined": label_encode_joined,
+    "stratified_split_radix": stratified_split_radix,
     "orders_all_hot": lambda s, d: wr.build_orders_all(cleaned(s, d), hot_rows=SMALL_LIMIT),
     "commerce_hot": lambda s, d: wr.build_commerce(cleaned(s, d), hot_rows=SMALL_LIMIT),
     "forward_fill_carried": forward_fill_carried,
