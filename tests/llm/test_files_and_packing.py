@@ -10,6 +10,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 from hypothesis import given, settings, strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from tradewind.llm import dac, packing, reputation, tokens, warc
@@ -98,13 +99,22 @@ def test_memory_of_pieces_is_bounded(monkeypatch):
             assert known.held <= 4000 and max(map(len, known), default=0) <= tokens.LONGEST
 
 
-def test_long_texts_are_cut_where_no_piece_reaches_over(monkeypatch):
-    monkeypatch.setattr(tokens, "BLOCK", 7)
+def test_pieces_of_a_marking_model_have_the_library_ids(monkeypatch):
+    monkeypatch.setattr(tokens, "REMEMBERED", 20_000)
     own = tokens.PieceEncoder(PIECES)
     library = sentencepiece.SentencePieceProcessor(model_file=PIECES)
     assert own.apart
     for text in odd_texts(1500):
         assert np.frombuffer(own.encode(text), np.uint32).tolist() == library.encode(text)
+    assert own.known.held <= 15_000
+
+
+def test_merges_are_used_only_where_ids_grow_with_them():
+    assert tokens.Merges.of(BYTES) is not None and tokens.Merges.of(WORDS) is None
+    library, merges = Tokenizer.from_file(BYTES), tokens.Merges.of(BYTES)
+    words = [" " + "".join(random.Random(k).choices("aeiounrstéßŁİǆɏ", k=1 + k % 20)) for k in range(800)]
+    for word, ids in zip(words, merges.words(words)):
+        assert np.frombuffer(ids, np.uint32).tolist() == library.encode(word, add_special_tokens=False).ids
 
 
 def test_token_files_round_trip(spark, monkeypatch):
@@ -148,6 +158,33 @@ def test_packing_of_odd_rows(spark):
     assert packing.pack(parts.where("false")).count() == 0
 
 
+def test_equal_rows_are_dealt_like_others(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP", 200)
+    sizes, kept = [], packing.stored
+
+    def counted(df):
+        df = kept(df)
+        if "_fill" in df.columns:
+            sizes.extend(r["count"] for r in df.groupBy((F.col("sequence_id") / packing.BIN).cast("long")).count().collect())
+        return df
+
+    monkeypatch.setattr(packing, "stored", counted)
+    parts = spark.createDataFrame([(7, 300, 1)] * 3000, "doc_id long, length long, _number int")
+    rows = packing.pack(parts, 1000).collect()
+    assert len(rows) == 3000 and len(check_packed(rows, 1000)) <= 1010 and packing.pack(parts, 1000).columns[:3] == parts.columns
+    assert max(sizes) < 300
+
+
+def test_equal_rows_are_written_by_many_tasks(spark):
+    docs = spark.createDataFrame([(5, "same text", "")] * 900 + [(None, None, "")] * 300, DOCS).repartition(6)
+    index = dac.write_tokens(docs, BYTES, 2)
+    files = [r["count"] for r in index.groupBy("part").count().collect()]
+    assert len(files) > 2 and max(files) < 700
+    got = dac.checksums(dac.read_tokens(dac.with_starts(index))).orderBy("start").collect()
+    assert [r["doc_id"] for r in got] == [None] * 300 + [5] * 900
+    assert [r["start"] for r in got] == [*range(300), *range(300, 300 + 900 * 3, 3)]
+
+
 def test_rounds_of_groups_come_close_to_the_bound(spark, monkeypatch):
     monkeypatch.setattr(packing, "GROUP", 40)
     rng = random.Random(3)
@@ -186,6 +223,9 @@ def test_urls_and_rules(spark):
     assert out.columns == ["page_id", "url", "html", "host", "path", "rule", "verdict"]
     assert [tuple(r)[3:] for r in out.orderBy("page_id").collect()] == list(cases.values())
     assert reputation.judge(pages.where("false"), reputation.RULES).count() == 0
+    clash = pages.selectExpr("*", "1 AS _judged", "2 AS _RULED", "3 AS _judged_")
+    assert reputation.judge(clash, reputation.RULES).columns == [*clash.columns[:3], "_judged", "_RULED", "_judged_", "host", "path", "rule", "verdict"]
+    assert [r["verdict"] for r in reputation.judge(clash, reputation.RULES).orderBy("page_id").collect()] == [v[-1] for v in cases.values()]
     with pytest.raises(ValueError):
         reputation.judge(pages, [Rule(f"h{k}", "/", "block") for k in range(reputation.MOST_RULES + 1)])
 

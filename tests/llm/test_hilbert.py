@@ -48,6 +48,19 @@ def test_small_table_is_exact(spark):
     assert [i for i, _ in got[200]] == [25, 250, 300, 1000, 1001]  # copies of one vector: the smallest ids
 
 
+def test_doubles_are_compared_as_doubles(spark):
+    rng = np.random.default_rng(5)
+    rows = [(i, rng.normal(size=6).tolist()) for i in range(1, 90)] + [(100, (rng.normal(size=6) * 1e-3).tolist())]
+    near = np.array(rows[-1][1])
+    rows += [(i, (near + np.eye(6)[0] * 1e-12 * i).tolist()) for i in range(101, 108)]  # equal as 32-bit numbers
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = [(r["vec_id"], r["score"]) for r in hilbert.nearest(docs, F.col("vec_id") == 100).orderBy("rank").collect()]
+    score = {i: float(near @ v / np.linalg.norm(near) / np.linalg.norm(v)) for i, v in ((i, np.array(v)) for i, v in rows) if i != 100}
+    assert len(got) == 5 and all(abs(s - score[i]) < 1e-15 for i, s in got) and {i for i, _ in got} <= set(range(101, 108))
+    whole = docs.select("vec_id", F.transform("embedding", lambda x: F.round(x * 1000).cast("int")).alias("embedding"))
+    assert hilbert.nearest(whole, F.col("vec_id") % 50 == 0).count() == 10
+
+
 def test_few_and_no_vectors(spark):
     few = spark.createDataFrame([(0, [1.0, 0.0], ""), (1, [1.0, 1.0], "")], VECTORS)
     rows = hilbert.nearest(few, F.col("vec_id") % 50 == 0).collect()

@@ -146,3 +146,50 @@ def test_query_equals_brute_force_over_the_whole_table(spark):
     folder = "/root/testdata/sf0.001"
     rows = [(r["doc_id"], r["text"]) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
     assert result(queries.op9_hyperminhash(spark, folder)) == brute_force(rows, 2)
+
+
+def test_any_long_is_an_id_and_any_name_a_column(spark):
+    long = "the quick brown fox jumps over the lazy dog near the river bank today"
+    ids = [2**62 + 5, 2**62 + 6, 2**63 - 1, -(2**63), 0]
+    rows = [(i, long if k < 4 else "something else entirely here", 1, 2, 3, 4) for k, i in enumerate(ids)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row int, _ROW_ int, _id int, _gone int")
+    assert result(neardup.near_duplicates(docs)) == brute_force([r[:2] for r in rows], 5)
+    twice = docs.unionByName(docs.where("doc_id = 0"))
+    kept = neardup.one_of_each(twice)
+    assert kept.columns == docs.columns and sorted(r["doc_id"] for r in kept.collect()) == [-(2**63), 0]
+    top = docs.where("doc_id > 0").unionByName(spark.createDataFrame([(None, long, 1, 2, 3, 4)], docs.schema))
+    found = {r["doc_id"]: (r["component_id"], r["kept"]) for r in neardup.near_duplicates(top).collect()}
+    assert found == {2**62 + 5: (2**62 + 5, True), 2**62 + 6: (2**62 + 5, False), 2**63 - 1: (2**62 + 5, False), None: (2**62 + 5, False)}
+
+
+def test_a_stray_row_does_not_deal_its_bucket_again(spark):
+    n = 20_480
+    members = spark.range(n + 2).selectExpr("1L AS key", "0 AS band", "id AS node", "10L AS n", "0L AS leader")
+    labels = spark.range(1, n + 1).selectExpr("id AS node", "1L AS label")
+    sketches = spark.range(n + 2).selectExpr("id AS node", "10L AS n", "cast('x' AS binary) AS registers")
+    dealt = neardup._dealt(members, labels, sketches)
+    assert n < dealt.count() < 25_000
+    sizes = dealt.groupBy("cell").count()
+    assert sizes.where(f"count > {2 * neardup.BLOCK}").isEmpty()
+    # Every pair of the stray row and another one meets in exactly one cell, on different sides.
+    stray = dealt.where(f"node = {n + 1} AND side = 1").select("cell")
+    assert dealt.where("side = 0").join(stray, "cell").select("node").distinct().count() == n
+
+
+@pytest.mark.parametrize("block", [2, 5])
+def test_every_pair_of_labels_meets_in_one_cell(spark, monkeypatch, block):
+    monkeypatch.setattr(neardup, "BLOCK", block)
+    label = {k: k % 4 if k < 12 else 0 if k < 25 else k for k in range(1, 31)}
+    members = spark.createDataFrame([(1, 0, k, 1, 0) for k in label], "key long, band int, node long, n long, leader long")
+    labels = spark.createDataFrame(list(label.items()), "node long, label long")
+    sketches = spark.createDataFrame([(k, 1, b"x") for k in label], "node long, n long, registers binary")
+    cells = {}
+    for r in neardup._dealt(members, labels, sketches).collect():
+        cells.setdefault(r["cell"], []).append((r["node"], r["side"]))
+    met = {}
+    for rows in cells.values():
+        for a, s in rows:
+            for c, t in rows:
+                if a < c and label[a] != label[c] and (s != t or s == 2):
+                    met[a, c] = met.get((a, c), 0) + 1
+    assert met == {(a, c): 1 for a in label for c in label if a < c and label[a] != label[c]}

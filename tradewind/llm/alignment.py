@@ -6,17 +6,16 @@ and the text, which is what B makes of it, so both sides cover the same bytes.
 
 from __future__ import annotations
 
-import gc
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tradewind.llm.tokens import Remembered, byte_level_entries, encoder, piece_encoder, piece_entries
+from tradewind.llm.tokens import Remembered, byte_level_entries, encoder, piece_encoder, piece_entries, uncollected
 from tradewind.session import stored
 
-WINDOWS = 64 << 20  # bytes of window alignments in each half of what a worker remembers
+WINDOWS = 40 << 20  # bytes of window alignments in each half of what a worker remembers
 BATCH_BYTES = 8 << 20  # results handed on at once
 PAIRS_TO_BROADCAST = 2_000_000  # id pairs with their counts, 17 bytes each
 MERGED = 4_000_000  # links counted at once, and distinct pairs that a task holds
@@ -178,7 +177,8 @@ def align(docs: DataFrame, tokenizers: Tokenizers) -> DataFrame:
     names = ["doc_id", "n_a", "n_b", "n_groups", "groups", "links"]
     width = np.dtype(_codes(tokenizers)).itemsize
 
-    def rows(batches):
+    @uncollected
+    def run(batches):
         work, kinds = aligner(tokenizers), [*[pa.int64()] * 4, pa.string(), pa.binary()]
         for batch in batches:
             out, held = [], 0
@@ -190,15 +190,6 @@ def align(docs: DataFrame, tokenizers: Tokenizers) -> DataFrame:
                     yield pa.RecordBatch.from_arrays([pa.array(c, kind) for c, kind in zip(zip(*out), kinds)], names=names)
                     out, held = [], 0
 
-    def run(batches):
-        # What is remembered are some hundred thousand small tuples and no cycles: looking through them for
-        # cycles again and again would take a quarter of the time.
-        gc.disable()
-        try:
-            yield from rows(batches)
-        finally:
-            gc.enable()
-
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     return texts.mapInArrow(run, "doc_id long, n_a long, n_b long, n_groups long, groups string, links binary")
 

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tradewind.llm.files import create, new_folder, open_file
-from tradewind.llm.tokens import encoder
+from tradewind.llm.tokens import encoder, uncollected
 from tradewind.session import stored
 
 MAGIC = 0x31434144
@@ -104,10 +104,12 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, leading_space: bo
     from place ``first`` of its segment. Rows without an id come first; rows with the same id are
     ordered by their text. A NULL or empty text is the end id alone. An empty table writes no file.
 
-    Texts are dealt by ranges of ids, and then each task encodes and writes its range segment by segment.
+    Texts are dealt by ranges of ids, and then each task encodes and writes its range segment by segment. Rows with
+    the same id and text, which may be a large share of the table, are dealt by a number that the scan gives them.
     """
     folder = new_folder(docs.sparkSession, "tokens")
 
+    @uncollected
     def write(batches):
         texts, out, uri, at = encoder(tokenizer, leading_space), None, None, 0
         end, part = np.uint32(end_id).tobytes(), TaskContext.get().partitionId()
@@ -145,9 +147,11 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, leading_space: bo
             out.close()
 
     ordered = (
-        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-        .repartitionByRange("doc_id", F.xxhash64("text"))
-        .sortWithinPartitions("doc_id", F.xxhash64("text"), "text")
+        docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("by_text"))
+        .withColumn("again", F.monotonically_increasing_id())
+        .repartitionByRange("doc_id", "by_text", "again")
+        .sortWithinPartitions("doc_id", "by_text", "text")
+        .select("doc_id", "text")
     )
     index = "part long, file string, at long, size long, doc_id long, first long, n_tokens long"
     return stored(ordered.mapInArrow(write, index))

@@ -12,7 +12,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, functions as F
 
-from tradewind.llm.tokens import encoder
+from tradewind.llm.tokens import encoder, uncollected
 from tradewind.session import stored
 
 CAPACITY = 4096
@@ -168,6 +168,7 @@ def pack(
     empty table gives no row. ``keep_ids`` adds each piece's ``ids`` as little-endian 32-bit bytes.
     """
 
+    @uncollected
     def first_pass(batches):
         texts, end = encoder(tokenizer, leading_space), np.uint32(end_id).tobytes()
         base = TaskContext.get().partitionId() << 32

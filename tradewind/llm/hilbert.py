@@ -103,11 +103,11 @@ def _best(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
 
 
 def usable_vectors(vectors: DataFrame, vec_id: str = "vec_id", embedding: str = "embedding") -> DataFrame:
-    """``vec_id, embedding`` of the vectors that can be compared: an id, finite components, not all zero."""
+    """``vec_id, embedding`` of the vectors that can be compared, as doubles: an id, finite components, not all zero."""
     x = F.col("embedding")
     whole = F.forall(x, lambda v: v.isNotNull() & ~F.isnan(v) & (F.abs(v) < F.lit(float("inf"))))
     return (
-        vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).alias("embedding"))
+        vectors.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("embedding"))
         .where(F.col("vec_id").isNotNull() & x.isNotNull() & whole & F.exists(x, lambda v: v != 0))
         .distinct()
     )
@@ -188,9 +188,9 @@ def nearest(vectors: DataFrame, is_query: Column, k: int = 5, seed: int = 11) ->
         return pa.Table.from_arrays(columns, names=["query_id", "class_id", "score"])
 
     queries = usable.where(is_query).groupBy("vec_id").agg(F.min("embedding").alias("embedding"))
-    left = queries.mapInArrow(place_queries, "curve long, block long, query_id long, embedding array<float>")
-    right = classes.select("class_id", F.col("embedding").cast("array<float>"), F.size("members").cast("long").alias("n"))
-    right = right.mapInArrow(place_classes, "curve long, block long, class_id long, embedding array<float>, n long")
+    left = queries.mapInArrow(place_queries, "curve long, block long, query_id long, embedding array<double>")
+    right = classes.select("class_id", "embedding", F.size("members").cast("long").alias("n"))
+    right = right.mapInArrow(place_classes, "curve long, block long, class_id long, embedding array<double>, n long")
     found = (
         left.groupBy("curve", "block")
         .cogroup(right.groupBy("curve", "block"))

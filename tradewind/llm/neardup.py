@@ -9,6 +9,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tradewind.llm.columns import unused
 from tradewind.llm.graph import components
 from tradewind.llm.words import mixed, shingles, word_hashes
 from tradewind.session import stored
@@ -16,7 +17,6 @@ from tradewind.session import stored
 REGISTERS, ROWS = 256, 6  # 42 bands of 6 registers; the last 4 registers only serve the estimate
 BANDS = REGISTERS // ROWS
 MANTISSA = 10  # bits kept below the leading zeros
-NO_ID = 1 << 62  # rows without an id are numbered from here on, by their text
 IDS_TO_BROADCAST = 2_000_000
 BLOCK = 2048  # rows compared with each other by one task
 BLOCK_HASHES = 1 << 20  # and elements of their sets
@@ -72,26 +72,30 @@ class Settings:
 
 
 def _row_id() -> Column:
-    by_text = F.xxhash64("text").bitwiseAND(F.lit(NO_ID - 1)).bitwiseOR(F.lit(NO_ID))
-    return F.coalesce(F.col("doc_id").cast("long"), by_text)
+    """The id of a row, or a number made from its text; ``_nameless`` tells which."""
+    return F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(F.lit("no id"), "text"))
+
+
+def _nameless() -> Column:
+    return F.col("doc_id").cast("long").isNull()
 
 
 def _sketches(docs: DataFrame, shingle: int) -> DataFrame:
-    """``id, n, digest, registers`` of each row, from its whole text."""
+    """``id, nameless, n, digest, registers`` of each row, from its whole text."""
 
     def sketch(batches):
         for batch in batches:
             sizes, digests, kept = [], [], []
-            for words in word_hashes(batch.column(1)):
+            for words in word_hashes(batch.column(2)):
                 found = shingles(words, shingle)
                 sizes.append(len(found))
                 digests.append(hashlib.blake2b(found.tobytes(), digest_size=16).digest())
                 kept.append(registers(found).tobytes())
             columns = [pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(kept, pa.binary())]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], names=["id", "n", "digest", "registers"])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["id", "nameless", "n", "digest", "registers"])
 
-    rows = docs.select(_row_id().alias("id"), "text")
-    return rows.mapInArrow(sketch, "id long, n long, digest binary, registers binary")
+    rows = docs.select(_row_id().alias("id"), _nameless().alias("nameless"), "text")
+    return rows.mapInArrow(sketch, "id long, nameless boolean, n long, digest binary, registers binary")
 
 
 def _sets(docs: DataFrame, ids: DataFrame, shingle: int) -> DataFrame:
@@ -194,28 +198,43 @@ CELL = "cell long, side long, node long, label long, n long, band long, register
 def _dealt(members: DataFrame, labels: DataFrame, sketches: DataFrame) -> DataFrame:
     """Rows of ``CELL``, each cell's behind one another: rows that share a bucket whose rows differ in label.
 
-    Buckets whose rows (but for the leader) all have one label are done. Of the others, rows are dealt
-    into blocks of two thousand (fewer if their sets are large), and each cell has one block, or two.
+    Buckets whose rows (but for the leader) all have one label are done. Of the others, only pairs with a row
+    without the bucket's main label are left to compare. Both kinds of rows are dealt into blocks of two thousand
+    (fewer if their sets are large). A row of the main label goes to one cell for each block of the others, and
+    these to one for each block of either kind: a few stray rows in a bucket leave all its rows at one copy.
     """
     named = members.where("node <> leader").join(labels, "node", "left")
     named = named.select("key", "band", "node", "n", F.coalesce("label", "node").alias("label"))
-    blocks = F.ceil(F.greatest(F.col("rows") / BLOCK, F.col("hashes") / BLOCK_HASHES)).cast("int")
-    mixed_up = (
-        named.groupBy("key")
-        .agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count("*").alias("rows"), F.sum("n").alias("hashes"))
-        .where("low <> high")
-        .select("key", blocks.alias("blocks"))
+    per_label = named.groupBy("key", "label").agg(F.count("*").alias("rows"), F.sum("n").alias("hashes"))
+    blocks = lambda rows, hashes: F.greatest(
+        F.lit(1), F.ceil(F.greatest(F.expr(rows) / BLOCK, F.expr(hashes) / BLOCK_HASHES))
+    ).cast("int")
+    sizes = (
+        per_label.groupBy("key")
+        .agg(F.max(F.struct("rows", "label", "hashes")).alias("top"), F.count("*").alias("labels"), F.sum("rows").alias("rows"), F.sum("hashes").alias("hashes"))
+        .where("labels > 1")
+        .select(
+            "key",
+            F.col("top.label").alias("main"),
+            blocks("top.rows", "top.hashes").alias("held"),
+            blocks("rows - top.rows", "hashes - top.hashes").alias("asking"),
+        )
+    )
+    asks, own = F.col("label") != F.col("main"), F.col("own")
+    every = lambda n: F.sequence(F.lit(0), F.col(n) - 1)
+    cell = lambda kind, i, j, side: F.struct(F.xxhash64("key", F.lit(kind), i, j).alias("cell"), side.cast("long").alias("side"))
+    # Sides 0 and 1 are compared with each other, rows of side 2 among themselves.
+    held = F.transform(every("asking"), lambda x: cell(0, own, x, F.lit(0)))
+    asking = F.concat(
+        F.transform(every("held"), lambda x: cell(0, x, own, F.lit(1))),
+        F.transform(every("asking"), lambda x: cell(1, F.least(own, x), F.greatest(own, x), F.when(own == x, 2).when(own < x, 0).otherwise(1))),
     )
-    own = F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int")
-    # Block pairs (low, high): side 2 where both are the same, else 0 and 1.
     dealt = (
-        named.join(mixed_up, "key")
-        .withColumn("own", own)
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .withColumn("side", F.when(F.col("own") == F.col("other"), 2).when(F.col("own") < F.col("other"), 0).otherwise(1))
-        .withColumn("cell", F.xxhash64("key", F.least("own", "other"), F.greatest("own", "other")))
+        named.join(sizes, "key")
+        .withColumn("own", F.pmod(F.xxhash64("node"), F.when(asks, F.col("asking")).otherwise(F.col("held"))).cast("int"))
+        .withColumn("place", F.explode(F.when(asks, asking).otherwise(held)))
         .join(sketches.select("node", "registers"), "node")
-        .select("cell", F.col("side").cast("long").alias("side"), "node", "label", "n", F.col("band").cast("long").alias("band"), "registers")
+        .select("place.cell", "place.side", "node", "label", "n", F.col("band").cast("long").alias("band"), "registers")
     )
     return dealt.repartition("cell").sortWithinPartitions("cell")
 
@@ -291,7 +310,8 @@ def _joining(undecided: DataFrame, sets: DataFrame, settings: Settings) -> DataF
 
 
 def _components(docs: DataFrame, settings: Settings) -> DataFrame:
-    """``id, n, component`` of every row; see ``near_duplicates``."""
+    """``id, nameless, n, label, component`` of every row; see ``near_duplicates``. ``label`` names each component, also
+    one without any id."""
     rows = stored(_sketches(docs, settings.shingle).withColumn("digest", F.when(F.col("n") > 0, F.col("digest"))))
     copies = rows.where("n > 0").groupBy("digest").agg(F.min("id").alias("node"))
     copies = stored(copies)
@@ -317,9 +337,20 @@ def _components(docs: DataFrame, settings: Settings) -> DataFrame:
     links = stored(links.unionByName(_joining(undecided, sets, settings)))
     labels = components(links)
 
-    named = copies.join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("component"))
-    found = rows.select("id", "n", "digest").join(named, "digest", "left")
-    return found.select("id", "n", F.coalesce("component", "id").alias("component"))
+    named = copies.join(labels, "node", "left").select("digest", F.coalesce("label", "node").alias("label"))
+    found = rows.select("id", "nameless", "n", "digest").join(named, "digest", "left")
+    found = found.select("id", "nameless", "n", F.coalesce("label", "id").alias("label"))
+    if rows.where("nameless").isEmpty():
+        return found.withColumn("component", F.col("label"))
+    # A component with rows without an id is named by the smallest id among the others.
+    found = stored(found)
+    touched = found.where("nameless").select("label").distinct()
+    few = touched.count() <= IDS_TO_BROADCAST
+    touched = F.broadcast(touched) if few else touched
+    smallest = found.where("NOT nameless").join(touched, "label").groupBy("label").agg(F.min("id").alias("smallest"))
+    smallest = touched.join(smallest, "label", "left").withColumn("renamed", F.lit(True))
+    component = F.when(F.col("renamed"), F.col("smallest")).otherwise(F.col("label"))
+    return found.join(F.broadcast(smallest) if few else smallest, "label", "left").select("id", "nameless", "n", "label", component.alias("component"))
 
 
 def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
@@ -343,7 +374,7 @@ def near_duplicates(docs: DataFrame, settings: Settings = Settings()) -> DataFra
     are one document. Rows without an id are linked by their text; their component has the smallest id
     among the others, or NULL, and then all of them are kept. An empty table gives no row.
     """
-    doc_id, component = (F.when(F.col(c) < NO_ID, F.col(c)) for c in ("id", "component"))
+    doc_id, component = F.when(~F.col("nameless"), F.col("id")), F.col("component")
     return _components(docs, settings).select(
         doc_id.alias("doc_id"),
         F.col("n").alias("n_shingles"),
@@ -359,12 +390,15 @@ def one_of_each(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
     ids that go are broadcast while they are few, else joined; texts are not shuffled but for repeated ids.
     """
     rows = stored(_components(docs, settings))
-    repeated = rows.groupBy("id").agg(F.count("*").alias("rows"), F.min(F.col("id") == F.col("component")).alias("stays"))
-    gone = repeated.where("NOT stays OR rows > 1").select(F.col("id").alias("_gone"))
-    twice = repeated.where("stays AND rows > 1").select(F.col("id").alias("_twice"))
+    # Of a component without any id the row that names it stays.
+    stays = F.when(F.col("component").isNull(), F.col("id") == F.col("label")).otherwise(~F.col("nameless") & (F.col("id") == F.col("component")))
+    repeated = rows.groupBy("id").agg(F.count("*").alias("rows"), F.min(stays).alias("stays"))
+    row, name = (unused(docs.columns, c) for c in ("_row", "_id"))
+    gone = repeated.where("NOT stays OR rows > 1").select(F.col("id").alias(name))
+    twice = repeated.where("stays AND rows > 1").select(F.col("id").alias(name))
     few = lambda ids: F.broadcast(ids) if ids.count() <= IDS_TO_BROADCAST else ids
-    out = docs.join(few(gone), _row_id() == F.col("_gone"), "left_anti")
+    out = docs.join(few(gone), _row_id() == F.col(name), "left_anti")
     if twice.isEmpty():
         return out
-    again = docs.join(few(twice), _row_id() == F.col("_twice"), "left_semi").withColumn("_row", _row_id())
-    return out.unionByName(again.dropDuplicates(["_row", "text"]).drop("_row"))
+    again = docs.join(few(twice), _row_id() == F.col(name), "left_semi").withColumn(row, _row_id())
+    return out.unionByName(again.dropDuplicates([row, "text"]).drop(row))

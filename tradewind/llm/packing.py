@@ -8,8 +8,10 @@ from bisect import bisect_left, insort
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import LongType, StructField
 
-from tradewind.llm.tokens import encoder
+from tradewind.llm.columns import unused
+from tradewind.llm.tokens import encoder, uncollected
 from tradewind.session import stored
 
 CAPACITY = 4096
@@ -26,6 +28,7 @@ def pieces(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = CAPACIT
     texts are the end id alone.
     """
 
+    @uncollected
     def cut(batches):
         texts, end = encoder(tokenizer, leading_space=False), np.uint32(end_id).tobytes()
         for batch in batches:
@@ -125,14 +128,16 @@ def local_search(bins: list[list[int]], lengths: np.ndarray, capacity: int) -> l
 def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     """``parts`` (with ``length``) with ``sequence_id, offset`` added: every piece in one sequence, without gaps.
 
-    Full pieces are sequences of their own. The others are dealt by a hash of all their columns into groups of
-    some thousand; each group is packed best fit, longest first, and improved by swaps. Bins that are
+    Full pieces are sequences of their own. The others are stored with a number each and dealt by a hash of it into
+    groups of some thousand, equal rows like any others; each group is packed best fit, longest first, and improved by swaps. Bins that are
     left loose are opened again and packed together in fewer groups, until there is one group or the
     loose pieces get no fewer. No task sees more than its group, whatever the size of the table.
     Repeated rows are packed as often as they come. An empty table gives no row.
     """
+    number = unused(parts.columns, "_number")
     added = parts.select("*", F.lit(0).cast("long").alias("sequence_id"), F.lit(0).cast("long").alias("offset"))
-    columns = added.schema
+    columns = added.schema.fields
+    numbers_field = StructField(number, LongType())
 
     def solve(table: pa.Table) -> pa.Table:
         first = table["_base"][0].as_py()
@@ -143,32 +148,34 @@ def pack(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
         table, lengths = table.drop_columns(["_tie"]).take(pa.array(order)), lengths[order]
         numbers, offsets = np.zeros(len(lengths), np.int64), np.zeros(len(lengths), np.int64)
         fill = np.zeros(len(lengths), np.int64)
-        for number, places in enumerate(local_search(best_fit(lengths, capacity), lengths, capacity)):
+        for k, places in enumerate(local_search(best_fit(lengths, capacity), lengths, capacity)):
             sizes = lengths[places]
-            numbers[places], offsets[places], fill[places] = first + number, np.cumsum(sizes) - sizes, sizes.sum()
+            numbers[places], offsets[places], fill[places] = first + k, np.cumsum(sizes) - sizes, sizes.sum()
         names = table.column_names
         columns = [*table.columns, pa.array(numbers), pa.array(offsets), pa.array(fill)]
         return pa.Table.from_arrays(columns, names=[*names, "sequence_id", "offset", "_fill"])
 
     whole = parts.where(F.col("length") >= capacity).withColumn("sequence_id", -1 - F.monotonically_increasing_id())
     done = [stored(whole.withColumn("offset", F.lit(0).cast("long")))]
-    waiting, turn, before = parts.where(F.col("length") < capacity), 0, None
+    numbered = parts.where(F.col("length") < capacity).withColumn(number, F.monotonically_increasing_id())
+    waiting, turn, before = stored(numbered), 0, None
     while True:
         rows = waiting.count()
         if rows == 0:
             break
         groups = -(-rows // GROUP)
-        tie = F.xxhash64(F.lit(turn), *parts.columns)
+        tie = F.xxhash64(F.lit(turn), number)
         dealt = waiting.withColumn("_tie", tie).withColumn("_group", F.pmod("_tie", F.lit(groups)))
         dealt = dealt.withColumn("_base", F.lit((turn + 1) * ROUND) + F.col("_group") * BIN)
-        kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns) + ", _fill long"
+        fields = [*(f for f in columns if f.name not in ("sequence_id", "offset")), numbers_field, *columns[-2:]]
+        kind = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields) + ", _fill long"
         packed = stored(dealt.groupBy("_group").applyInArrow(solve, kind))
         last = groups == 1 or (before is not None and rows > 0.9 * before)
         loose = F.col("_fill") < LOOSE * capacity
-        done.append((packed if last else packed.where(~loose)).drop("_fill"))
+        done.append((packed if last else packed.where(~loose)).drop("_fill", number))
         if last:
             break
-        waiting, turn, before = packed.where(loose).select(*parts.columns), turn + 1, rows
+        waiting, turn, before = packed.where(loose).select(*parts.columns, number), turn + 1, rows
     out = done[0]
     for part in done[1:]:
         out = out.unionByName(part)

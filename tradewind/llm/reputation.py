@@ -6,6 +6,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tradewind.llm.columns import unused
 from tradewind.session import stored
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -120,14 +121,15 @@ def judge(pages: DataFrame, rules: list[Rule], threshold: float = 0.5, quantile:
     """
     host, path = host_and_path(F.col("url"))
     kept = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    ruled_by, judged_by = unused(kept, "_ruled"), unused(kept, "_judged")
     parsed = pages.select(*kept, host.alias("host"), path.alias("path"))
     rule, ruled = longest_rule(F.col("host"), F.col("path"), rules)
-    parsed = parsed.withColumn("rule", rule).withColumn("_ruled", ruled)
-    outcome = F.when(F.col("_ruled") == "allow", 1).when(F.col("_ruled") == "block", 0)
+    parsed = parsed.withColumn("rule", rule).withColumn(ruled_by, ruled)
+    outcome = F.when(F.col(ruled_by) == "allow", 1).when(F.col(ruled_by) == "block", 0)
     known = host_reputation(parsed.select("host", outcome.alias("outcome")), quantile)
-    judged = known.select("host", F.when(F.col("bound") < threshold, "block").otherwise("allow").alias("_judged"))
+    judged = known.select("host", F.when(F.col("bound") < threshold, "block").otherwise("allow").alias(judged_by))
     return parsed.join(judged, "host", "left").select(
-        *kept, "host", "path", "rule", F.coalesce("_ruled", "_judged").alias("verdict")
+        *kept, "host", "path", "rule", F.coalesce(ruled_by, judged_by).alias("verdict")
     )
 
 

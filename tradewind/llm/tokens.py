@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import gc
+import json
 import os
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable
+from functools import wraps
 
 import numpy as np
 
 REMEMBERED = 64 << 20  # bytes of strings and their ids in each half of what a worker remembers
 LONGEST = 200  # characters of the longest string that is remembered
-BLOCK = 1 << 20  # characters that SentencePiece gets at once
 _OTHER_SPACE = re.compile(r"[^\S \n]")
 _BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
 _SINGLE_SPACE = re.compile("(?<=[^ ]) (?=[^ ])")
@@ -56,6 +58,54 @@ class Remembered(dict):
             found = {text: ids for text, ids in found.items() if len(text) <= LONGEST}
         self.keep(found, 2 * sum(map(len, found)) + sum(map(len, found.values())))
 
+    def joined(self, pieces: list[str], learned: Callable[[set[str]], dict[str, bytes]]) -> bytes:
+        """Ids of the pieces one after another; ``learned`` works out those of pieces that are not known."""
+        found = list(map(self.get, pieces))
+        if None in found:
+            missing = {p for p, ids in zip(pieces, found) if ids is None}
+            new = self.recalled(missing)
+            new |= learned(missing.difference(new))
+            self.keep_ids(new)
+            found = [new[p] if ids is None else ids for p, ids in zip(pieces, found)]
+        return b"".join(found)
+
+
+class Merges:
+    """The merges of a byte-level tokenizer file, applied to many words by one call of tiktoken."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        import tiktoken
+
+        self.encoding = tiktoken.Encoding("merges", pat_str=r" ?\p{L}+", mergeable_ranks=ranks, special_tokens={})
+        self.sizes = np.zeros(max(ranks.values()) + 1, np.int64)
+        for token, k in ranks.items():
+            self.sizes[k] = len(token)
+
+    @classmethod
+    def of(cls, path: str) -> "Merges | None":
+        """None unless ids grow in the order of the merges, so that the smallest id is always merged first."""
+        with open(path, encoding="utf-8") as file:
+            model = json.load(file)["model"]
+        vocabulary, byte_of = model["vocab"], {letter: byte for byte, letter in _LETTERS.items()}
+        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+        made = [vocabulary.get(a + b, -1) for a, b in pairs]
+        letters = {token: k for token, k in vocabulary.items() if len(token) == 1}
+        plain = not any(model.get(k) for k in ("continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges", "dropout"))
+        if not plain or set(letters) != set(byte_of) or made != sorted(set(made)) or min(made, default=0) <= max(letters.values()):
+            return None
+        tokens = [*letters.items(), *((a + b, k) for (a, b), k in zip(pairs, made))]
+        return cls({bytes(byte_of[c] for c in token): k for token, k in tokens})
+
+    def words(self, words: list[str]) -> list[bytes]:
+        """Ids of words of letters, each with a space before it."""
+        if not words:
+            return []
+        ids = np.array(self.encoding.encode_ordinary("".join(words)), np.uint32)
+        ends = np.cumsum([len(w.encode()) for w in words])
+        cuts = (4 * (np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1)).tolist()
+        data = ids.tobytes()
+        return [data[i:j] for i, j in zip([0, *cuts], cuts)]
+
 
 class Encoder:
     """Encodes a text piece by piece, as little-endian unsigned 32-bit ids: those of ``Tokenizer.from_file(path)``.
@@ -79,6 +129,7 @@ class Encoder:
         longest_first = sorted(self.special, key=len, reverse=True)
         self.special_strings = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")")
         self.leading_space = leading_space
+        self.merges = Merges.of(path) if leading_space else None
         self.known, self.words, self.others = Remembered(), Remembered(REMEMBERED // 2), Remembered(REMEMBERED // 8)
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
@@ -87,15 +138,20 @@ class Encoder:
 
     def _words(self, words: set[str]) -> dict[str, bytes]:
         """Ids of letters alone, behind a space or not: one word of the pattern, so the model's merges are all there is to do."""
+        if self.merges:
+            spaced = [w for w in words if w[0] == " "]
+            found = dict(zip(spaced, self.merges.words(spaced)))
+            return found | {w: self._merged(w) for w in words if w[0] != " "}
         found = {w: self.words[w] for w in words if w in self.words}
         found |= self.words.recalled(words.difference(found))
-        new = {}
-        for word in words.difference(found):
-            letters = word.encode().decode("latin-1").translate(_LETTERS)
-            new[word] = array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+        new = {word: self._merged(word) for word in words.difference(found)}
         self.words.keep_ids(new)
         return found | new
 
+    def _merged(self, word: str) -> bytes:
+        letters = word.encode().decode("latin-1").translate(_LETTERS)
+        return array("I", [t.id for t in self.tokenizer.model.tokenize(letters)]).tobytes()
+
     def _other(self, text: str) -> bytes:
         """Ids of a text as it stands, without a space before it: marks, or the start of a text."""
         if text not in self.others:
@@ -121,26 +177,16 @@ class Encoder:
         found.update(zip(others, self._ids([p if p[:1] == "\n" else lead + p for p in others])))
         return found
 
-    def _joined(self, pieces: list[str]) -> bytes:
-        found = list(map(self.known.get, pieces))
-        if None in found:
-            missing = {p for p, ids in zip(pieces, found) if ids is None}
-            new = self.known.recalled(missing)
-            new |= self._learned(missing.difference(new))
-            self.known.keep_ids(new)
-            found = [new[p] if ids is None else ids for p, ids in zip(pieces, found)]
-        return b"".join(found)
-
     def _plain(self, text: str) -> bytes:
         """Ids of a text without strings of added tokens."""
         if not self.leading_space:  # white space is dropped
-            return self._joined(text.replace("\n", " ").split(" "))
+            return self.known.joined(text.replace("\n", " ").split(" "), self._learned)
         pieces = text.replace("\n", " \n").split(" ")
         first = pieces.pop(0)
         if "" in pieces or "\n" in pieces or _OTHER_SPACE.search(text):
             first, *pieces = _BOUNDARY.split(text)
         head = self._other(first) if first else b""  # no space before the first piece
-        return head + self._joined(pieces)
+        return head + self.known.joined(pieces, self._learned)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -154,34 +200,57 @@ class Encoder:
 class PieceEncoder:
     """Encodes a text with a SentencePiece model that marks a space before a word, as little-endian unsigned 32-bit ids.
 
-    The ids are those of ``SentencePieceProcessor(model_file=path).encode(text)``. A very long text is cut into
-    blocks before single spaces between two other characters, so that the library's memory has a bound: if
-    no piece of the model holds the mark behind another character, none reaches over such a place, and the
-    library itself puts a mark before the text it gets. Texts that hold the mark are encoded whole.
+    The ids are those of ``SentencePieceProcessor(model_file=path).encode(text)``. A text is cut before every
+    single space between two other characters: if no piece of the model holds the mark behind another
+    character, none reaches over it, and the model itself puts a mark before the text it gets. Pieces of
+    text that come again are looked up; new ones are encoded together. Texts that hold the mark are encoded whole.
     """
 
     def __init__(self, path: str):
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_file=path)
-        entries = (self.model.id_to_piece(i) for i in range(self.model.get_piece_size()))
+        entries = [self.model.id_to_piece(i) for i in range(self.model.get_piece_size())]
+        self.marked = np.array([e[:1] == MARK for e in entries])
         self.apart = not any(MARK in e.lstrip(MARK) for e in entries)
         self.apart &= "".join(self.model.encode("a  b ", out_type=str)) == f"{MARK}a{MARK}{MARK}b{MARK}"
+        self.known = Remembered(REMEMBERED * 3 // 4)
 
-    def _blocks(self, text: str) -> Iterator[str]:
-        start = 0
-        while len(text) - start > BLOCK and self.apart and MARK not in text:
-            space = _SINGLE_SPACE.search(text, start + BLOCK)
-            if space is None:
-                break
-            yield text[start : space.start()]
-            start = space.end()
-        yield text[start:]
+    def _learned(self, pieces: set[str]) -> dict[str, bytes]:
+        """In a text of pieces without a space, each begins with its only token that has the mark."""
+        plain = [p for p in pieces if p and " " not in p]
+        ids = np.array(self.model.encode(" ".join(plain), num_threads=1), np.uint32)
+        data, starts = ids.tobytes(), [*(np.flatnonzero(self.marked[ids]) * 4).tolist(), 4 * len(ids)]
+        found = {p: data[i:j] for p, i, j in zip(plain, starts, starts[1:])}
+        return found | {p: array("I", self.model.encode(p)).tobytes() for p in pieces if p not in found}
 
     def encode(self, text: str | None) -> bytes:
         if not text:
             return b""
-        return b"".join(array("I", self.model.encode(block, num_threads=1)).tobytes() for block in self._blocks(text))
+        if not self.apart or MARK in text:
+            return array("I", self.model.encode(text)).tobytes()
+        pieces = text.split(" ")
+        if "" in pieces:
+            pieces = _SINGLE_SPACE.split(text)
+        return self.known.joined(pieces, self._learned)
+
+
+def uncollected(rows: Callable) -> Callable:
+    """A function of batches that runs without Python's search for cycles.
+
+    What encoders remember are some hundred thousand small objects and no cycles: looking through them again and
+    again would take up to a quarter of a task's time.
+    """
+
+    @wraps(rows)
+    def run(batches):
+        gc.disable()
+        try:
+            yield from rows(batches)
+        finally:
+            gc.enable()
+
+    return run
 
 
 def encoder(path: str, leading_space: bool, special_as_text: bool = False) -> Encoder:
