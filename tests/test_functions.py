@@ -12,7 +12,6 @@ from tradewind.functions.text import (
     map_values,
     replace_if_contains,
     strip_accents,
-    strip_accents_arrow,
 )
 from tradewind.functions.timestamps import floor_days, late_flag, parse_named_timestamps, to_ts, whole_days
 
@@ -85,7 +84,6 @@ def test_strip_accents_equals_nfkd_on_every_single_letter_form(spark):
 def test_strip_accents_variants(spark):
     df = spark.createDataFrame([("São Paulo",), ("é",), ("ﬁ ½",), (None,), ("ß ø",)], "t string")
     assert one(df.select(strip_accents(F.col("t")))) == ["Sao Paulo", "e", "ﬁ ½", None, "ß ø"]
-    assert one(df.select(strip_accents_arrow(F.col("t")))) == ["Sao Paulo", "e", "fi 1⁄2", None, "ß ø"]
 
 
 def test_value_rules(spark):

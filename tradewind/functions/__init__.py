@@ -1 +1 @@
-"""Column functions. All of them stay JVM-side except ``text.strip_accents_arrow``."""
+"""Column functions. All of them stay JVM-side."""

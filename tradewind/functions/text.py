@@ -5,7 +5,6 @@ from __future__ import annotations
 import unicodedata
 from functools import lru_cache
 
-import pandas as pd
 from pyspark.sql import Column, functions as F
 
 
@@ -14,7 +13,7 @@ def _accent_table() -> tuple[str, str]:
     """Characters that NFKD turns into one base character, then the marks that it drops.
 
     Built from the Unicode tables over the basic plane. Characters that decompose into several base
-    characters (ligatures, fractions) are not covered here; ``strip_accents_arrow`` covers those.
+    characters (ligatures, fractions) stay as they are.
     """
     source, target, marks = [], [], []
     for code in range(0x80, 0x10000):
@@ -36,18 +35,6 @@ def strip_accents(value: Column) -> Column:
     return F.translate(value, *_accent_table())
 
 
-def strip_accents_arrow(value: Column) -> Column:
-    """Full NFKD form, Arrow-batched, for text with ligatures or other multi-letter forms."""
-    @F.pandas_udf("string")
-    def bare(texts: pd.Series) -> pd.Series:
-        return texts.map(
-            lambda t: "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)),
-            na_action="ignore",
-        )
-
-    return bare(value)
-
-
 def replace_if_contains(value: Column, rules: dict[str, str]) -> Column:
     """Apply ``rules`` in order: a value holding the key as a substring becomes the rule's value."""
     for part, whole in rules.items():

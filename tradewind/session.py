@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import re
 import uuid
 from collections.abc import Callable, Iterable, Mapping
 from concurrent.futures import ThreadPoolExecutor
@@ -91,7 +92,8 @@ def shared_folder(spark: SparkSession) -> str:
     cluster names in ``spark.checkpoint.dir``, else one beside the session's tables in its warehouse."""
     folder = spark.conf.get(SCRATCH, None) or spark.conf.get("spark.checkpoint.dir", None)
     folder = folder or spark.sparkContext.getCheckpointDir()
-    return (folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tradewind").rstrip("/")
+    folder = folder or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_tradewind"
+    return re.sub("^file:/(?!/)", "file:///", folder).rstrip("/")
 
 
 @contextmanager
