@@ -1,5 +1,6 @@
 """Toxicity, quality and language: held-out accuracy, and every odd input."""
 
+import math
 import zlib
 
 import numpy as np
@@ -45,6 +46,44 @@ def test_sample_is_bounded_weighted_and_holds_no_held_out_row(spark, small):
     assert all(r["weight"] >= 1 for r in rows)
 
 
+def test_copies_of_a_sampled_row_are_one_row_with_a_weight(spark):
+    docs = spark.createDataFrame([(3, "same text")] * 6000 + [(k, f"text {k}") for k in range(1, 30)] + [(3, None)] * 2, "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(1, 30)], "doc_id long, toxic int")
+    rows = labelled_sample(docs, labels, "toxic", 5, 0, rows_per_class=50).collect()
+    learnable = [k for k in range(1, 30) if zlib.crc32(str(k).encode()) % 5]
+    assert 3 in learnable and len(rows) == len(learnable) + 2  # id 3 with three texts
+    assert {(r["text"], r["copies"], r["weight"]) for r in rows if r["doc_id"] == 3} == {("same text", 6000, 6000.0), ("text 3", 1, 1.0), (None, 2, 2.0)}
+
+
+def test_toxicity_scores_equal_a_plain_sum(spark, small):
+    docs, labels = small
+    model = toxicity.fit(docs, labels, "toxic", 5, 0)
+    for r in toxicity.predict(docs, model).collect():
+        grams = {int(i) for ids in toxicity.ngram_ids(r["text"], toxicity.ORDERS, toxicity.BITS) for i in ids}
+        margin = model.bias + sum(float(model.weight[i]) for i in sorted(grams))
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-margin)), abs=1e-6)
+
+
+def test_quality_scores_equal_a_plain_loop(spark, small):
+    docs, labels = small
+    model = quality.fit(docs, labels, "quality", 4, 2)
+    w = model.weights
+    for r in quality.predict(docs, model).collect():
+        if len(r["text"] or "") > 50_000:
+            continue
+        codes, logits = [], []
+        for row in quality.passages(r["text"]):
+            x = [min(6.0, max(-6.0, (v - m) / s)) for v, m, s in zip(row, model.mean, model.spread)]
+            code = [math.tanh(sum(a * w["W"][i][h] for i, a in enumerate(x)) + w["b"][h]) for h in range(quality.HIDDEN)]
+            look = [math.tanh(sum(c * w["V"][h][k] for h, c in enumerate(code))) for k in range(quality.ATTENTION)]
+            gate = [1 / (1 + math.exp(-sum(c * w["U"][h][k] for h, c in enumerate(code)))) for k in range(quality.ATTENTION)]
+            codes.append(code), logits.append(sum(a * g * u for a, g, u in zip(look, gate, w["a"])))
+        shares = [math.exp(x - max(logits)) for x in logits]
+        whole = [sum(s * c[h] for s, c in zip(shares, codes)) / sum(shares) for h in range(quality.HIDDEN)]
+        margin = sum(a * c for a, c in zip(whole, w["c"])) + float(w["d"])
+        assert r["score"] == pytest.approx(1 / (1 + math.exp(-margin)), abs=1e-6)
+
+
 @pytest.mark.parametrize("module, label", [(toxicity, "toxic"), (quality, "quality")])
 def test_scores_of_odd_rows(spark, small, module, label):
     docs, labels = small
@@ -138,6 +177,24 @@ def test_language_equals_brute_force(spark):
     assert np.allclose(np.exp(model.log_prior), [0.25, 0.5, 0.25])
 
 
+@pytest.mark.parametrize("batch, merges", [(1 << 20, 1024), (10, 2)])
+def test_languages_equal_a_plain_sum(spark, small, monkeypatch, batch, merges):
+    monkeypatch.setattr(language, "BATCH_IDS", batch)
+    monkeypatch.setattr(language, "MERGES", merges)
+    docs, _ = small
+    model = language.fit(docs.repartition(7))
+    for r in language.predict(docs.repartition(2), model).collect():
+        if not any(c.isalpha() for c in r["text"] or ""):
+            assert (r["lang_pred"], r["score"]) == ("und", 0)
+            continue
+        total = [float(p) for p in model.log_prior]
+        for ids in language.ngram_ids(r["text"], language.ORDERS, language.BITS):
+            total = [x + float(sum(row[ids].astype(float))) for x, row in zip(total, model.log_prob)]
+        best = max(range(len(total)), key=lambda k: (total[k], -k))
+        assert r["lang_pred"] == model.languages[best]
+        assert r["score"] == pytest.approx(1 / sum(math.exp(x - total[best]) for x in total), abs=1e-6)
+
+
 @pytest.mark.parametrize(
     "name, fold, least", [("op2_toxicity", (5, 0), 0.965), ("op5_quality", (4, 2), 0.98), ("op6_language", (5, 0), 0.97)]
 )

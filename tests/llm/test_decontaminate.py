@@ -51,6 +51,41 @@ def test_tiles_cover_what_the_plain_version_covers():
             assert len(used) == len(set(used))
 
 
+def plain_matches(doc, item, doc_free, item_free, size):
+    out = []
+    for d in range(len(doc) - size + 1):
+        for t in range(len(item) - size + 1):
+            if d and t and doc_free[d - 1] and item_free[t - 1] and doc[d - 1] == item[t - 1]:
+                continue
+            n = 0
+            while d + n < len(doc) and t + n < len(item) and doc_free[d + n] and item_free[t + n] and doc[d + n] == item[t + n]:
+                n += 1
+            if n >= size:
+                out.append((n, d, t))
+    return sorted(out)
+
+
+def test_matches_equal_a_plain_search():
+    rng = np.random.default_rng(6)
+    for turn in range(400):
+        kinds = int(rng.choice([1, 2, 5]))
+        doc, item = (mixed(rng.integers(0, kinds, rng.integers(0, 40)).astype(np.uint64)) for _ in range(2))
+        doc_free, item_free = (rng.random(len(x)) < rng.choice([0.7, 0.95, 1.0]) for x in (doc, item))
+        size = int(rng.integers(1, 6))
+        assert sorted(dc._matches(doc, item, doc_free, item_free, size)) == plain_matches(doc, item, doc_free, item_free, size), turn
+
+
+@pytest.mark.parametrize("words, of", [((20_000, 3000), [1]), ((20_000, 3000), [1, 2]), ((200_000, 1000), [1, 2, 3])])
+def test_repeated_words_take_no_square(words, of):
+    import time
+
+    doc, item = (hashed([of[k % len(of)] for k in range(n)]) for n in words)
+    started = time.process_time()
+    found = dc.tiles(doc, item)
+    assert sum(n for _, _, n in found) == words[1]
+    assert time.process_time() - started < 5  # the pairs of places are 60 million and more
+
+
 @pytest.fixture(scope="module")
 def tables(spark):
     passage = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi"
@@ -84,7 +119,7 @@ def test_contaminated_rows(tables):
 
 def test_several_parts_of_the_benchmark_and_empty_tables(tables, monkeypatch):
     docs, items = tables
-    monkeypatch.setattr(dc, "CHUNK_ROWS", 1)
+    monkeypatch.setattr(dc, "CHUNK_BYTES", 30)
     assert len({(r["doc_id"], r["item_id"]) for r in dc.contaminations(docs, items).collect()}) == 5
     assert sorted(r["doc_id"] for r in dc.without_contaminated(docs, items).collect()) == [3, 4, 5, 6, 7]
     assert dc.contaminations(docs, items.where("false")).count() == 0

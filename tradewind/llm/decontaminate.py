@@ -15,7 +15,7 @@ SEED = 5  # words that a document and an item must share in a row to be compared
 LEAST_TILE = 3  # words of the shortest tile
 FIRST_LENGTH = 20  # words of the first search
 COVERAGE = 0.5  # share of an item's words in tiles from which on a document is contaminated
-CHUNK_ROWS = 20_000  # benchmark items that one pass over the documents looks for
+CHUNK_ROWS, CHUNK_BYTES = 20_000, 32 << 20  # benchmark items, and bytes of them, that one pass over the documents looks for
 FILTER_BITS = 22
 _BASE = np.uint64(0xD1342543DE82EF95)
 _INVERSE = np.uint64(pow(0xD1342543DE82EF95, -1, 1 << 64))
@@ -32,28 +32,82 @@ def _window_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mixed((sums[size:] - sums[:-size]) * down)
 
 
+def _free_runs(free: np.ndarray) -> np.ndarray:
+    """How many free words there are in a row from each place on."""
+    stops = np.append(np.flatnonzero(~free), len(free))
+    return stops[np.searchsorted(stops, np.arange(len(free)))] - np.arange(len(free))
+
+
+class _Runs:
+    """Hashes of any runs of words, from running sums: two runs are compared without looking at their words."""
+
+    def __init__(self, words: np.ndarray):
+        up = np.concatenate(([np.uint64(1)], np.full(max(0, len(words) - 1), _BASE))).cumprod(dtype=np.uint64)[: len(words)]
+        self.down = np.concatenate(([np.uint64(1)], np.full(len(words), _INVERSE))).cumprod(dtype=np.uint64)
+        self.sums = np.concatenate(([np.uint64(0)], np.cumsum(words * up, dtype=np.uint64)))
+
+    def __call__(self, starts: np.ndarray, sizes: np.ndarray) -> np.ndarray:
+        return (self.sums[starts + sizes] - self.sums[starts]) * self.down[starts]
+
+
 def _matches(doc: np.ndarray, item: np.ndarray, doc_free: np.ndarray, item_free: np.ndarray, size: int) -> list[tuple[int, int, int]]:
-    """``(length, doc place, item place)`` of the longest match from each pair of places with equal windows of ``size`` free words."""
+    """``(length, doc place, item place)`` of the longest match from each pair of places with equal windows of ``size`` free words.
+
+    A match that could begin one word earlier is left out. Pairs of places are therefore made only where the
+    words before them differ (or are not free): of a run of one repeated word these are its ends, not its square.
+    The length of each is found by halving steps on the hashes of runs, for all pairs at once.
+    """
     doc_hash, item_hash = _window_hashes(doc, size), _window_hashes(item, size)
     if not len(doc_hash) or not len(item_hash):
         return []
-    whole = lambda free: np.convolve(free, np.ones(size, np.int64), "valid") == size
-    places = np.flatnonzero(whole(item_free))
-    order = places[np.argsort(item_hash[places], kind="stable")]
-    known = item_hash[order]
-    wanted = np.flatnonzero(np.isin(doc_hash, known) & whole(doc_free))
-    low, high = np.searchsorted(known, doc_hash[wanted], "left"), np.searchsorted(known, doc_hash[wanted], "right")
-    found = []
-    for d, a, b in zip(wanted.tolist(), low.tolist(), high.tolist()):
-        for t in order[a:b].tolist():
-            if d and t and doc_free[d - 1] and item_free[t - 1] and doc[d - 1] == item[t - 1]:
-                continue  # part of the match that begins one word earlier
-            n = 0
-            while d + n < len(doc) and t + n < len(item) and doc_free[d + n] and item_free[t + n] and doc[d + n] == item[t + n]:
-                n += 1
-            if n >= size:
-                found.append((n, d, t))
-    return found
+    doc_runs, item_runs = _free_runs(doc_free), _free_runs(item_free)
+    places = np.flatnonzero(item_runs[: len(item_hash)] >= size)
+    wanted = np.flatnonzero((doc_runs[: len(doc_hash)] >= size) & np.isin(doc_hash, item_hash[places]))
+    if not len(places) or not len(wanted):
+        return []
+
+    def before(words, free, at):
+        """The word before each place, and whether there is a free one."""
+        return words[at - 1], (at > 0) & free[at - 1]
+
+    word, known = before(item, item_free, places)
+    order = np.lexsort((word, known, item_hash[places]))
+    places, word, known = places[order], word[order], known[order]
+    hashes = item_hash[places]
+    low, high = np.searchsorted(hashes, doc_hash[wanted], "left"), np.searchsorted(hashes, doc_hash[wanted], "right")
+    # Places of the item with the same window and the same free word before it lie behind one another.
+    name = mixed(hashes * _BASE + word)
+    names, first = np.unique(name[known], return_index=True)
+    first = np.flatnonzero(known)[first]
+    behind = np.append(np.flatnonzero((name[1:] != name[:-1]) | (known[1:] != known[:-1])) + 1, len(name))
+    last = behind[np.searchsorted(behind, first, "right")]
+    own, own_known = before(doc, doc_free, wanted)
+    if len(names):
+        at = np.minimum(np.searchsorted(names, mixed(doc_hash[wanted] * _BASE + own)), len(names) - 1)
+        same = own_known & (names[at] == mixed(doc_hash[wanted] * _BASE + own))
+        skip_from, skip_to = np.where(same, first[at], low), np.where(same, last[at], low)
+    else:
+        skip_from = skip_to = low
+    counts = np.stack([skip_from - low, high - skip_to], axis=1)
+    total = int(counts.sum())
+    if not total:
+        return []
+    starts, flat = np.stack([low, skip_to], axis=1).ravel(), counts.ravel()
+    t = places[np.repeat(starts - (np.cumsum(flat) - flat), flat) + np.arange(total)]
+    d = np.repeat(wanted, counts.sum(axis=1))
+
+    most = np.minimum(doc_runs[d], item_runs[t])
+    doc_hashes, item_hashes, length = _Runs(doc), _Runs(item), np.zeros(total, np.int64)
+    step = 1 << int(most.max()).bit_length()
+    while step:
+        fits = length + step <= most
+        tried = np.flatnonzero(fits)
+        longer = length[tried] + step
+        equal = doc_hashes(d[tried], longer) == item_hashes(t[tried], longer)
+        length[tried[equal]] = longer[equal]
+        step >>= 1
+    kept = length >= size
+    return list(zip(length[kept].tolist(), d[kept].tolist(), t[kept].tolist()))
 
 
 def tiles(doc: np.ndarray, item: np.ndarray, least: int = LEAST_TILE, first: int = FIRST_LENGTH) -> list[tuple[int, int, int]]:
@@ -151,9 +205,10 @@ def compared(words: np.ndarray, items: Items, coverage: float) -> Iterator[tuple
 
 
 def _chunks(benchmark: DataFrame) -> Iterator[Items]:
-    """The benchmark in parts of a bounded number of items, each of which is broadcast."""
+    """The benchmark in parts of a bounded number and size of items, each of which is broadcast."""
     rows = benchmark.select(F.col("item_id").cast("long").alias("item_id"), "text").where("text IS NOT NULL")
-    parts = max(1, -(-rows.count() // CHUNK_ROWS))
+    items, size = rows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
+    parts = max(1, -(-items // CHUNK_ROWS), -(-size // CHUNK_BYTES))
     for part in range(parts):
         own = rows.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(parts)) == part).distinct().collect()
         own.sort(key=lambda r: (r["item_id"] is None, r["item_id"] or 0, r["text"]))
@@ -171,7 +226,7 @@ def contaminations(docs: DataFrame, benchmark: DataFrame, coverage: float = COVE
     three words. The document is contaminated if tiles cover ``coverage`` of the item's words, in
     whatever order and place they are.
 
-    The documents are scanned once for every 20,000 items, which are broadcast; nothing is shuffled, and
+    The documents are scanned once for every 20,000 items or 32 MB of them, which are broadcast; nothing is shuffled, and
     a seed that many documents share makes no pairs but those that are reported. NULL and empty texts on either
     side match nothing. Rows without an id are reported without one; repeated rows are reported each.
     """

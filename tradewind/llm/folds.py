@@ -13,13 +13,13 @@ def in_fold(doc_id: str, folds: int, fold: int) -> Column:
 def labelled_sample(
     docs: DataFrame, labels: DataFrame, label: str, folds: int, fold: int, rows_per_class: int, files: int = 8
 ) -> DataFrame:
-    """``doc_id, text, label, weight`` of at most ``rows_per_class`` learnable documents of either class.
+    """``doc_id, text, label, copies, weight`` of at most ``rows_per_class`` learnable documents of either class.
 
     The rows with the smallest hashes of their ids are taken, so the sample does not depend on the
     partitioning. ``weight`` is how many learnable rows of its class each sampled row stands for. The
     ids are broadcast: ``2 * rows_per_class`` of them at most. The texts go to a few partitions,
-    whatever the size of ``docs``. An id with two different labels is left out; repeated documents count
-    as often as they come.
+    whatever the size of ``docs``. An id with two different labels is left out. Rows with the same id and text are
+    one row, however many they are, with their number as ``copies``; ``weight`` counts them all.
     """
     usable = (
         labels.select("doc_id", F.col(label).cast("int").alias("label"))
@@ -38,4 +38,7 @@ def labelled_sample(
         for c in (0, 1)
     ]
     chosen = F.broadcast(parts[0].unionByName(parts[1]))
-    return docs.select("doc_id", "text").join(chosen, "doc_id").repartition(files, "doc_id")
+    found = docs.select("doc_id", "text").join(chosen, "doc_id")
+    once = found.groupBy("doc_id", "text", "label", "weight").agg(F.count("*").alias("copies"))
+    rows = once.select("doc_id", "text", "label", "copies", (F.col("weight") * F.col("copies")).alias("weight"))
+    return rows.repartition(files, "doc_id")

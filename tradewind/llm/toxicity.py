@@ -16,6 +16,8 @@ from tradewind.session import stored
 ORDERS = (4, 5, 6)
 BITS = 18
 ROWS_PER_CLASS = 2500  # bound of the labelled sample that the classifier is fitted on
+LEAST_ERRORS = 4.0  # standard errors by which an n-gram's shares in both classes differ at least, to be a feature
+TOXIC_WEIGHT = 2.0  # what a row of label 1 counts beside one of label 0
 
 
 @dataclass(frozen=True)
@@ -39,16 +41,18 @@ def present(text: str | None, first: np.ndarray) -> np.ndarray:
     return ids[first[ids] == order]
 
 
-def log_count_ratios(counts: np.ndarray, documents: np.ndarray, smoothing: float = 1.0) -> np.ndarray:
+def log_count_ratios(
+    counts: np.ndarray, documents: np.ndarray, least_errors: float = LEAST_ERRORS, smoothing: float = 1.0
+) -> np.ndarray:
     """``log(p / q)`` of each n-gram from ``counts[class, id]`` of documents that have it.
 
-    Where the two shares differ by under four standard errors of a difference by chance, the ratio is 0:
-    the n-gram is no feature.
+    Where the two shares differ by under ``least_errors`` standard errors of a difference by chance, the ratio
+    is 0: the n-gram is no feature. That bounds what the driver holds; a lower limit finds no more toxic documents.
     """
     share = (counts + smoothing) / (documents[:, None] + 2 * smoothing)
     pooled = (counts.sum(axis=0) + smoothing) / (documents.sum() + 2 * smoothing)
     error = np.sqrt(pooled * (1 - pooled) * (1 / documents).sum())
-    return np.where(np.abs(share[1] - share[0]) >= 4 * error, np.log(share[1] / share[0]), 0.0)
+    return np.where(np.abs(share[1] - share[0]) >= least_errors * error, np.log(share[1] / share[0]), 0.0)
 
 
 def fit_linear(
@@ -85,34 +89,37 @@ def fit(
     folds: int = 5,
     fold: int = 0,
     rows_per_class: int = ROWS_PER_CLASS,
-    l2: float = 1e-4,
-    steps: int = 150,
+    l2: float = 1e-3,
+    steps: int = 300,
+    least_errors: float = LEAST_ERRORS,
+    toxic_weight: float = TOXIC_WEIGHT,
 ) -> ToxicityModel:
     """Fit on at most ``rows_per_class`` labelled documents of either class, whole texts, outside the fold.
 
     The sample is stored once. Its n-gram counts come back as one array per class and file, and each
-    row as its ids with a ratio, so the driver holds what the sample's bound allows and no text. If a
+    row as its ids with a ratio, so the driver holds what the sample's bound allows and no text. Penalty, steps and
+    the weight of label 1 were chosen by five folds of the learnable rows. If a
     class has no row, no n-gram counts and every text gets the smoothed share of label 1.
     """
     session = docs.sparkSession
     sample = stored(labelled_sample(docs, labels, label, folds, fold, rows_per_class))
 
     def count(batches):
-        counts, rows, first = np.zeros((2, 1 << BITS), np.int32), [0, 0], np.zeros(1 << BITS, np.int32)
+        counts, rows, first = np.zeros((2, 1 << BITS), np.int64), [0, 0], np.zeros(1 << BITS, np.int32)
         for batch in batches:
-            for text, toxic in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                counts[toxic, present(text, first)] += 1
-                rows[toxic] += 1
+            for text, toxic, copies in zip(*(batch.column(i).to_pylist() for i in range(3))):
+                counts[toxic, present(text, first)] += copies
+                rows[toxic] += copies
         yield pa.RecordBatch.from_arrays(
             [pa.array([0, 1]), pa.array(rows), pa.array([c.tobytes() for c in counts], pa.binary())],
             names=["label", "docs", "counts"],
         )
 
     counts, documents = np.zeros((2, 1 << BITS)), np.zeros(2)
-    for r in sample.select("text", "label").mapInArrow(count, "label long, docs long, counts binary").toLocalIterator():
-        counts[r["label"]] += np.frombuffer(r["counts"], np.int32)
+    for r in sample.select("text", "label", "copies").mapInArrow(count, "label long, docs long, counts binary").toLocalIterator():
+        counts[r["label"]] += np.frombuffer(r["counts"], np.int64)
         documents[r["label"]] += r["docs"]
-    ratios = log_count_ratios(counts, documents) if documents.min() > 0 else np.zeros(1 << BITS)
+    ratios = log_count_ratios(counts, documents, least_errors) if documents.min() > 0 else np.zeros(1 << BITS)
     if documents.min() == 0:
         return ToxicityModel(ratios, float(np.log((documents[1] + 0.5) / (documents[0] + 1.5))))
     used = session.sparkContext.broadcast(ratios != 0)
@@ -129,7 +136,7 @@ def fit(
     weight, bias = fit_linear(
         [np.frombuffer(r["ids"], np.uint32) for r in rows],
         np.array([r["label"] for r in rows], float),
-        np.array([r["weight"] for r in rows]),
+        np.array([r["weight"] * (toxic_weight if r["label"] else 1.0) for r in rows]),
         ratios,
         l2,
         steps,
