@@ -86,7 +86,7 @@ def test_windows_end_before_marked_tokens():
     work = al.Aligner(TOKENIZERS)
     text = "some ordinary words, and a longer unbelievably tokenized one"
     a, b = np.frombuffer(work.encode_a(" " + text), np.uint32), np.frombuffer(work.encode_b(text), np.uint32)
-    ends_a, ends_b = work.windows(a, b)
+    ends_a, ends_b = work.windows(a, b, *work.ends(a, b))
     assert len(ends_a) == len(text.split(" ")) and ends_a[-1] == len(a) and ends_b[-1] == len(b)
     work(text)
     known = len(work.known)

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame, functions as F
 from tradewind.llm.tokens import Remembered, byte_level_entries, encoder, piece_encoder, piece_entries, uncollected
 from tradewind.session import stored
 
-WINDOWS = 40 << 20  # bytes of window alignments in each half of what a worker remembers
+WINDOWS = 88 << 20  # bytes of window alignments in each half of what a worker remembers
 BATCH_BYTES = 8 << 20  # results handed on at once
 PAIRS_TO_BROADCAST = 2_000_000  # id pairs with their counts, 17 bytes each
 MERGED = 4_000_000  # links counted at once, and distinct pairs that a task holds
@@ -59,22 +59,28 @@ class Aligner:
         self.code = np.uint32 if len(self.entries[0]) * len(self.entries[1]) <= 1 << 32 else np.uint64
         self.known = Remembered(WINDOWS)
 
-    def windows(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def ends(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The byte behind each token of either side."""
+        return np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b])
+
+    def windows(self, a: np.ndarray, b: np.ndarray, end_a: np.ndarray, end_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Where windows end, as places in ``a`` and in ``b``, of ids that cover equally many bytes.
 
         A window ends where a token of A and one of B end at the same byte and the next token of each begins
         with a space, or where the text ends.
         """
-        end_a, end_b = np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b])
-        before_space = np.append(self.marked[0][a[1:]], True)
-        anchors = np.flatnonzero(np.append(self.marked[1][b[1:]], True))
+        before_space, anchor = np.ones(len(a), bool), np.ones(len(b), bool)
+        before_space[:-1], anchor[:-1] = self.marked[0][a[1:]], self.marked[1][b[1:]]
+        anchors = np.flatnonzero(anchor)
         place = np.searchsorted(end_a, end_b[anchors])
         shared = (end_a[place] == end_b[anchors]) & before_space[place]
         return place[shared] + 1, anchors[shared] + 1
 
     def _named(self, a: np.ndarray, b: np.ndarray, ends_a: np.ndarray, ends_b: np.ndarray) -> list[bytes]:
         """The name of each window: its ids of A, ``STOP``, its ids of B."""
-        count_a, count_b = np.diff(ends_a, prepend=0), np.diff(ends_b, prepend=0)
+        count_a, count_b = ends_a.copy(), ends_b.copy()
+        count_a[1:] -= ends_a[:-1]
+        count_b[1:] -= ends_b[:-1]
         number = np.arange(len(ends_a))
         names = np.full(len(a) + len(b) + len(number), STOP, np.uint32)
         names[np.arange(len(a)) + np.repeat(ends_b - count_b + number, count_a)] = a
@@ -135,9 +141,10 @@ class Aligner:
         spaced = " " + text
         a, b = np.frombuffer(self.encode_a(spaced), np.uint32), np.frombuffer(self.encode_b(text), np.uint32)
         whole = spaced.encode()
-        if not self.sizes[0][a].sum() == self.sizes[1][b].sum() == len(whole):
+        end_a, end_b = self.ends(a, b)
+        if not end_a[-1] == end_b[-1] == len(whole):
             return NOTHING
-        found = self._known(self._named(a, b, *self.windows(a, b)))
+        found = self._known(self._named(a, b, *self.windows(a, b, end_a, end_b)))
         if found is None:
             return NOTHING
         groups, links, covered = zip(*found)
