@@ -19,7 +19,7 @@ ORDERS = (1, 2, 3)
 BITS = 15
 SLOT = 4096  # counts per row while the counts of all partitions are added up
 MERGES = 1024  # groups that partitions are added up in before these are added up: a few dozen MB each for a million partitions
-BATCH_IDS = 1 << 20  # n-grams of the texts that are scored at once
+BATCH_IDS = 1 << 17  # n-grams of the texts that are scored at once
 UNKNOWN = "und"
 
 
