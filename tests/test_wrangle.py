@@ -7,7 +7,7 @@ from tests.domain import small_shop
 from tradewind.plans import reports as rp
 from tradewind.plans import wrangle as wr
 from tradewind.plans.clean import clean
-from tradewind.sources.layers import publish, read_layer
+from tradewind.sources.layers import publish, read_layer, read_table
 
 
 @pytest.fixture(scope="module")
@@ -136,7 +136,7 @@ def test_reports(cleaned, spark, tmp_path):
 
 def test_reports_scan_only_their_columns(spark, cleaned, tmp_path):
     publish(wr.build_commerce(cleaned), str(tmp_path), "commerce")
-    commerce = spark.read.parquet(f"{tmp_path}/commerce")
+    commerce = read_table(spark, str(tmp_path), "commerce")
 
     def scanned(df):
         plan = df._jdf.queryExecution().executedPlan().toString()
