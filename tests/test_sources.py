@@ -7,7 +7,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
-from tradewind.plans.normalize import normalize
+from tradewind.plans.normalize import normalize, normalize_joined, normalize_table
 from tradewind.plans.profile import profile_layer, row_counts, sample_rows, schema_rows
 from tradewind.sources.layers import LayerPaths, fingerprint, location, publish, published, read_layer, read_table, register_layer
 from tradewind.sources.rawcsv import read_split_csv, read_wide_csv, split_records, stage_wide_csv
@@ -291,3 +291,14 @@ def test_counts_while_writing(spark, tmp_path):
     changed, counts = counted("t", df, change)
     publish(changed, str(tmp_path), "t")
     assert [tuple(r) for r in count_rows(spark, [counts()]).collect()] == [("t", 50, 43, 7)]
+
+
+def test_joined_tables_are_normalized_before_their_rows_are_multiplied(spark, rows):
+    people = spark.createDataFrame([(i, None if i == 0 else i % 3) for i in range(60)], "id int, zip int")
+    geo = spark.createDataFrame([(i % 2, float(i % 4), None if i == 3 else "c") for i in range(40)], "geo_zip int, lat double, city string")
+    wide = people.join(geo, people["zip"] == geo["geo_zip"], "left")
+    for columns in (["geo_zip", "lat", "city"], ["zip", "city"], ["lat", "absent"]):
+        got = normalize_joined(people, geo, "zip", "geo_zip", columns)
+        assert rows(got) == rows(normalize_table(wide, columns)) and len(got.columns) == len(set(columns) - {"absent"})
+    plan = normalize_joined(people, geo, "zip", "geo_zip", ["geo_zip", "lat"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Aggregate") == 3  # one on each side and one on the joined rows

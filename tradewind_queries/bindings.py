@@ -186,8 +186,7 @@ def wide(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def wide_geo(spark: SparkSession, sf_dir: str) -> DataFrame:
+def wide_geo(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame, str, str]:
+    """Two tables, and their columns, by which the export holds every customer with every geo row of its ZIP."""
     people, geo = customers(spark, sf_dir), geolocation(spark, sf_dir)
-    return people.join(
-        geo, people["customer_zip_code_prefix"] == geo["geolocation_zip_code_prefix"], "left"
-    )
+    return people, geo, "customer_zip_code_prefix", "geolocation_zip_code_prefix"

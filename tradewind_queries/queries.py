@@ -24,7 +24,7 @@ from tradewind.plans import profile as pf
 from tradewind.plans import reports as rp
 from tradewind.plans import training as tr
 from tradewind.plans import wrangle as wr
-from tradewind.plans.normalize import normalize_table
+from tradewind.plans.normalize import normalize_joined, normalize_table
 from tradewind.session import observing_session, shared_folder, stored, with_settings_of
 from tradewind.sources.layers import publish, register_layer
 from tradewind.sources.rawcsv import read_split_csv
@@ -84,8 +84,9 @@ def extract(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _normalize(table: str) -> Query:
     def run(spark, sf_dir):
-        wide = b.wide_geo(spark, sf_dir) if table == "geolocation" else b.wide(spark, sf_dir)
-        return normalize_table(wide, TABLES[table])
+        if table == "geolocation":
+            return normalize_joined(*b.wide_geo(spark, sf_dir), TABLES[table])
+        return normalize_table(b.wide(spark, sf_dir), TABLES[table])
 
     return run
 
