@@ -52,6 +52,16 @@ def test_copies_round_trip(spark, rows):
     assert rows(unpack_copies(packed, per_chunk=10)) == rows(df)
 
 
+def test_few_copies_are_repeated_where_they_lie(spark, rows):
+    df = spark.createDataFrame([(1, "a")] * 25 + [(2, None)] * 3 + [(3, "c")], "k int, v string")
+    packed = pack_copies(df)
+    for most, shuffles in ((25, 0), (30, 0), (25, 1)):
+        got = unpack_copies(packed, per_chunk=10 if shuffles else 30, most=most)
+        assert rows(got) == rows(df)
+        assert got._jdf.queryExecution().optimizedPlan().toString().count("RepartitionByExpression") == shuffles
+    assert rows(unpack_copies(df.distinct().withColumn("__copies", F.lit(1)), most=1)) == rows(df.distinct())
+
+
 def shop(spark, hot):
     """Orders, items and payments where order 1 holds a third of all items, half of them equal rows."""
     orders = spark.createDataFrame([(i, f"s{i % 3}") for i in range(20)] + [(None, "s9")], "id int, status string")
