@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.domain import small_shop
+from tradewind.operators.fill import forward_fill
 from tradewind.plans import reports as rp
 from tradewind.plans import wrangle as wr
 from tradewind.plans.clean import clean
@@ -149,3 +150,36 @@ def test_reports_scan_only_their_columns(spark, cleaned, tmp_path):
     assert "IsNotNull(price)" in plan
     schema, plan = scanned(rp.top_states_by_order_count(commerce))
     assert "TakeOrderedAndProject" in plan and "IsNotNull(customer_state)" in plan
+
+
+def _places(spark):
+    customers = spark.createDataFrame(
+        [(i, "1" if i < 6 else "2" if i < 8 else None if i < 10 else "3") for i in range(12)],
+        "customer_id int, customer_zip_code_prefix string",
+    )
+    geo = spark.createDataFrame(
+        [("1", 1.0, 1.0, None, None), ("1", 1.0, 2.0, "a", None), ("1", 2.0, 1.0, None, "SP"), ("1", 3.0, 1.0, None, None),
+         ("2", 5.0, 5.0, None, "RJ"), (None, 7.0, 7.0, "x", "x")],
+        "geolocation_zip_code_prefix string, geolocation_lat double, geolocation_lng double, geolocation_city string, geolocation_state string",
+    )
+    return customers, geo
+
+
+@pytest.mark.parametrize("hot_rows, fill_rows", [(1_000_000, 1_000_000), (5, 1_000_000), (1_000_000, 2), (5, 2)])
+def test_geo_rows_filled_before_the_join_are_those_filled_after_it(spark, hot_rows, fill_rows):
+    customers, geo = _places(spark)
+    raw = wr.customers_geo_raw(customers, geo)
+    order = ["customer_id", "geolocation_lat", "geolocation_lng"]
+    after = forward_fill(raw, [wr.GEO_ZIP, *wr.GEO_POINT], "customer_zip_code_prefix", order)
+    before = wr.customers_geo_filled(customers, geo, hot_rows=hot_rows, fill_rows=fill_rows)
+    assert before.columns == after.columns and before.dtypes == after.dtypes
+    assert counted(before) == counted(after) and before.count() == 6 * 4 + 2 + 2 + 2
+    assert before.where("customer_id = 0 AND geolocation_city IS NULL").count() == 1
+
+
+def test_geo_filled_rows_are_not_sorted_or_shuffled(spark):
+    customers, geo = _places(spark)
+    plan = wr.customers_geo_filled(customers, geo)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("Join") < plan.index("Window")  # the window lies below the join: it fills geo rows alone
+    hot = wr.customers_geo_raw(customers, geo, hot_rows=5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "RepartitionByExpression" not in hot  # rows of hot keys are repeated where they are made
