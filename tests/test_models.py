@@ -241,3 +241,15 @@ def test_split_keeps_rows_without_a_label(spark):
     counts = {(r["is_late"], r["split"]): r["n"] for r in split.groupBy("is_late", "split").agg(F.count("*").alias("n")).collect()}
     assert sum(counts.values()) == 300
     assert counts[None, "train"] == 80 and counts[None, "test"] == 20
+
+
+def test_train_rows_lie_in_even_parts_and_keep_their_values(spark, extract, monkeypatch):
+    monkeypatch.setattr(tr, "TASK_ROWS", 20)
+    trained = tr.train_models(ft.features_base(extract), (tr.FOREST,), SMALL)
+    sizes = [r["count"] for r in trained.train.groupBy(F.input_file_name()).count().collect()]
+    n = sum(sizes)
+    assert len(sizes) >= n // 20 and max(sizes) <= 25  # as many parts as the rows ask for, not what files happen to be there
+    assert n == trained.train.count() and n + trained.predictions[tr.FOREST].count() == ft.features_base(extract).count()
+    forest = trained.models[tr.FOREST]
+    assert forest.getNumTrees == SMALL.forest_trees and forest.getOrDefault("maxDepth") == SMALL.forest_depth
+    assert forest.getOrDefault("subsamplingRate") == 1.0 and forest.getOrDefault("maxBins") == 32
