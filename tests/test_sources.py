@@ -302,3 +302,16 @@ def test_joined_tables_are_normalized_before_their_rows_are_multiplied(spark, ro
         assert rows(got) == rows(normalize_table(wide, columns)) and len(got.columns) == len(set(columns) - {"absent"})
     plan = normalize_joined(people, geo, "zip", "geo_zip", ["geo_zip", "lat"])._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Aggregate") == 3  # one on each side and one on the joined rows
+
+
+def test_blocks_grow_with_the_text(spark, tmp_path, monkeypatch, rows):
+    from tradewind_queries import queries as q
+
+    texts = [(i, f'a "{i}"\n' + "x y\n" * (i % 7 * 2_000), "en", "s", 5) for i in range(60)]
+    spark.createDataFrame(texts, "doc_id long, text string, lang string, source string, n_chars long").write.parquet(f"{tmp_path}/documents.parquet")
+    sizes, read = [], q.read_split_csv
+    monkeypatch.setattr(q, "read_split_csv", lambda s, folder, split_bytes: sizes.append(split_bytes) or read(s, folder, split_bytes=split_bytes))
+    assert rows(q.wide_csv_split(spark, str(tmp_path))) == rows(spark.read.parquet(f"{tmp_path}/documents.parquet"))
+    monkeypatch.setattr(q, "MOST_BLOCKS", 3)
+    assert rows(q.wide_csv_split(spark, str(tmp_path))) == rows(spark.read.parquet(f"{tmp_path}/documents.parquet"))
+    assert sizes[0] == 100_000 and sizes[1] > 400_000  # three blocks for 1.4 MB of text

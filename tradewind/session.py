@@ -70,6 +70,12 @@ def with_settings_of(spark: SparkSession, other: SparkSession) -> SparkSession:
     return other
 
 
+def bytes_under(spark: SparkSession, folder: str) -> int:
+    """Bytes of all files under ``folder``: sizes only, no content is read."""
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    return found.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]
+
+
 @contextmanager
 def sized_shuffles(spark: SparkSession, folder: str):
     """Inside, ``spark.sql.shuffle.partitions`` fits the Parquet files under ``folder``; then it is as before.
@@ -77,8 +83,7 @@ def sized_shuffles(spark: SparkSession, folder: str):
     The setting is never lowered: adaptive execution merges partitions that turn out small, but
     cannot split too few of them.
     """
-    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    stored_bytes = found.agg(F.coalesce(F.sum("length"), F.lit(0))).first()[0]  # sizes only, no content
+    stored_bytes = bytes_under(spark, folder)
     key = "spark.sql.shuffle.partitions"
     with settings(spark, {key: max(int(spark.conf.get(key)), shuffle_parts(stored_bytes))}):
         yield

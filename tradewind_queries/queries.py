@@ -24,7 +24,7 @@ from tradewind.plans import reports as rp
 from tradewind.plans import training as tr
 from tradewind.plans import wrangle as wr
 from tradewind.plans.normalize import normalize_joined, normalize_table
-from tradewind.session import observing_session, shared_folder, stored, with_settings_of
+from tradewind.session import bytes_under, observing_session, shared_folder, stored, with_settings_of
 from tradewind.sources.layers import publish, register_layer
 from tradewind.sources.rawcsv import read_split_csv
 from tradewind.sources.schema import TABLES, TEXT_TIMESTAMP, conform
@@ -207,12 +207,16 @@ def catalog_table(spark, sf_dir):
     return rp.sql_report(spark, name)
 
 
+MOST_BLOCKS = 2_000  # every block is a task of each pass
+
+
 def wide_csv_split(spark, sf_dir):
-    """All documents by way of CSV files, whose texts hold quotes and line feeds, read in small blocks."""
+    """All documents by way of CSV files, whose texts hold quotes and line feeds, read in small blocks: so many that
+    records are cut by them, but no more tasks for more text."""
     folder = f"{shared_folder(spark)}/csv-{uuid.uuid4()}"
     kept = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False, "escape": '"', "header": True}
     b.source(spark, sf_dir, "documents").write.options(**kept).csv(folder)
-    text = read_split_csv(spark, folder, split_bytes=100_000)
+    text = read_split_csv(spark, folder, split_bytes=max(100_000, bytes_under(spark, folder) // MOST_BLOCKS))
     return conform(text, {"doc_id": "bigint", "text": "string", "lang": "string", "source": "string", "n_chars": "bigint"})
 
 
