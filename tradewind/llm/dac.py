@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tradewind.llm.files import create, new_folder, open_file
 from tradewind.llm.tokens import encoder, uncollected
-from tradewind.session import stored
+from tradewind.session import settings, stored
 
 MAGIC = 0x31434144
 SPAN = 512  # bits between two entries of the directory
@@ -154,7 +154,9 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, leading_space: bo
         .select("doc_id", "text")
     )
     index = "part long, file string, at long, size long, doc_id long, first long, n_tokens long"
-    return stored(ordered.mapInArrow(write, index))
+    # Adaptive execution would give a table of little text to one task; its parts are for all cores instead.
+    with settings(docs.sparkSession, {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b"}):
+        return stored(ordered.mapInArrow(write, index))
 
 
 def with_starts(index: DataFrame) -> DataFrame:
