@@ -253,3 +253,33 @@ def test_train_rows_lie_in_even_parts_and_keep_their_values(spark, extract, monk
     forest = trained.models[tr.FOREST]
     assert forest.getNumTrees == SMALL.forest_trees and forest.getOrDefault("maxDepth") == SMALL.forest_depth
     assert forest.getOrDefault("subsamplingRate") == 1.0 and forest.getOrDefault("maxBins") == 32
+
+
+def test_copies_are_weights(spark, extract):
+    many = extract.withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(5)))).drop("again")
+    trained = tr.train_models(ft.features_enhanced(many), settings=SMALL)
+    rows, seen = ft.features_enhanced(many).count(), trained.train.agg(F.count("*"), F.sum(tr.COPIES)).first()
+    assert seen[0] <= rows // 5 + 2 and seen[1] + trained.predictions[tr.FOREST].count() == rows  # the cut may lie inside a group
+    assert all(abs(r.gradient) < 5e-4 and r.train_rows == seen[1] for r in tr.logreg_gradient(trained).collect())
+    one_by_one = tr.unpack_copies(trained.train, most=5).withColumn(tr.COPIES, F.lit(1).cast("bigint"))
+    expanded = dataclasses.replace(trained, train=one_by_one.persist())
+    for facts in (tr.tree_facts, tr.boosting_loss, lambda t: tr.mean_train_score(t, tr.LOGREG)):
+        for a, b in zip(facts(trained).collect(), facts(expanded).collect()):
+            assert tuple(a)[:-1] == tuple(b)[:-1] and tuple(a)[-1] == pytest.approx(tuple(b)[-1], abs=1e-12)
+    plain = tr.GBTClassifier(maxIter=3, maxDepth=3, stepSize=0.1, seed=tr.SEED).fit(one_by_one)
+    weighed = trained.models[tr.BOOSTING]
+    assert plain.evaluateEachIteration(one_by_one) == pytest.approx(weighed.evaluateEachIteration(trained.train), abs=1e-3)
+
+
+def test_a_query_fits_only_the_models_it_needs(spark, extract, monkeypatch):
+    from tradewind_queries import queries as q
+
+    made = []
+    monkeypatch.setattr(tr, "_estimator", lambda name, settings, rows, real=tr._estimator: made.append(name) or real(name, SMALL, rows))
+    monkeypatch.setattr(q, "extract", lambda spark, sf_dir: extract)
+    folder = "test_a_query_fits_only_the_models_it_needs"
+    q.ml_logreg_gradient(spark, folder)
+    assert made == [tr.LOGREG]
+    q.ml_importance_facts(spark, folder), q.ml_tree_facts(spark, folder)
+    assert sorted(made) == sorted(tr.ALL_MODELS)
+    assert q.ml_model_comparison(spark, folder).count() == 3 and len(made) == 3
