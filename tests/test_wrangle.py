@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tests.domain import small_shop
+from tradewind.operators import skew
 from tradewind.operators.fill import forward_fill
 from tradewind.plans import reports as rp
 from tradewind.plans import wrangle as wr
@@ -183,3 +184,16 @@ def test_geo_filled_rows_are_not_sorted_or_shuffled(spark):
     assert plan.index("Join") < plan.index("Window")  # the window lies below the join: it fills geo rows alone
     hot = wr.customers_geo_raw(customers, geo, hot_rows=5)._jdf.queryExecution().optimizedPlan().toString()
     assert "RepartitionByExpression" not in hot  # rows of hot keys are repeated where they are made
+
+
+def test_only_items_of_kept_orders_are_widened_in_parts_of_bounded_rows(spark, monkeypatch):
+    tables = clean(small_shop(spark))
+    seen, join = [], wr.left_join_all
+    monkeypatch.setattr(wr, "left_join_all", lambda base, branches, key, **more: seen.append((base, branches, key)) or join(base, branches, key, **more))
+    monkeypatch.setattr(skew, "PART_ROWS", 1)
+    kept = tables | {"orders": tables["orders"].where("order_id = 'o3'")}
+    assert wr.build_commerce(kept).rdd.getNumPartitions() >= 9  # rows of the four tables, more than the session's 4 partitions
+    base, branches = next((base, branches) for base, branches, key in seen if key == "order_id")
+    assert base.inputFiles(), "what the base is made of is worked out once"
+    assert [r["order_id"] for r in branches["order_items"].select("order_id").collect()] == ["o3"]
+    assert wr.build_orders_all(kept).count() == 1

@@ -17,20 +17,34 @@ from tradewind.session import stored
 
 HOT_ROWS = 1_000_000  # rows of one key that a single task should hold or make at most
 KEYS_TO_BROADCAST = 100_000
+PART_ROWS = 250_000  # input rows that a task sorts and joins, whatever number of shuffle partitions the session has
 
 
 def hot_keys(tables: Mapping[str, DataFrame], key: str, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``key, rows`` of the keys whose join makes at least ``hot_rows`` rows; ``rows`` has the rows in each table.
+    """``key, rows`` of the keys whose join makes at least ``hot_rows`` rows; ``rows`` has the rows in each table."""
+    return _key_rows(tables, key).where(_made() >= hot_rows)
 
-    A table without the key counts as one row, as in a left join. NULL joins nothing and is no key.
-    """
+
+def _key_rows(tables, key):
+    """``key, rows`` of all keys. NULL joins nothing and is no key."""
     names, tagged = list(tables), None
     for i, df in enumerate(tables.values()):
         part = df.where(F.col(key).isNotNull()).select(F.col(key), F.lit(i).alias("__table"))
         tagged = part if tagged is None else tagged.unionByName(part)
     counts = F.array(*[F.count_if(F.col("__table") == i) for i in range(len(names))])
-    made = F.aggregate("rows", F.lit(1.0), lambda product, n: product * F.greatest(n, F.lit(1)))
-    return tagged.groupBy(key).agg(counts.alias("rows")).where(made >= hot_rows)
+    return tagged.groupBy(key).agg(counts.alias("rows"))
+
+
+def _made():
+    """Rows that the join makes of a key: a table without it counts as one row, as in a left join."""
+    return F.aggregate("rows", F.lit(1.0), lambda product, n: product * F.greatest(n, F.lit(1)))
+
+
+def _hot_and_rest(tables, key, hot_rows):
+    """``key, rows`` of the hot keys of the first table, and with NULL as key of all other keys together."""
+    hot = F.when((_made() >= hot_rows) & (F.col("rows")[0] > 0), F.col(key))
+    sums = F.array(*[F.sum(F.col("rows")[i]) for i in range(len(tables))])
+    return _key_rows(tables, key).groupBy(hot.alias(key)).agg(sums.alias("rows"))
 
 
 def left_join_all(
@@ -46,29 +60,30 @@ def left_join_all(
 
     ``unique_rows`` drops equal rows of every input first; as the output keeps all columns of all
     inputs, this equals a distinct over the (much larger) output. ``probe`` names narrower frames with
-    the same keys as the branches, for a cheaper look at the key counts.
+    the same keys as the branches (and as ``base``), for a cheaper look at the key counts; they may hold more rows.
     """
     # A row without a key matches nothing; kept, all of them would travel to one task.
     branches = {name: branch.where(F.col(key).isNotNull()) for name, branch in branches.items()}
     # Only keys of the base are in the result.
-    hot = hot_keys({"base": base, **(probe or branches)}, key, hot_rows).where(F.col("rows")[0] > 0)
-    hot = stored(hot)
-    keys = hot.count()
+    found = stored(_hot_and_rest({"base": base, **(probe or branches)}, key, hot_rows))
+    hot = found.where(F.col(key).isNotNull())
+    keys, rows = found.agg(F.count(key), F.sum(F.aggregate("rows", F.lit(0).cast("bigint"), lambda a, b: a + b))).first()
+    parts = max(base.sparkSession.sparkContext.defaultParallelism, math.ceil((rows or 0) / PART_ROWS))
     if not keys:
-        return _chain(base, branches, key, unique_rows)
+        return _chain(base, branches, key, unique_rows, parts)
     if keys <= KEYS_TO_BROADCAST:  # beyond it, adaptive execution splits the side with a hot key
         hot = F.broadcast(hot)
     without, of = (lambda df, how=how: df.join(hot.select(key), key, how) for how in ("left_anti", "left_semi"))
-    cold = _chain(without(base), {n: without(b) for n, b in branches.items()}, key, unique_rows)
+    cold = _chain(without(base), {n: without(b) for n, b in branches.items()}, key, unique_rows, parts)
     salted = _salted_chain(of(base), {n: of(b) for n, b in branches.items()}, key, unique_rows, hot, hot_rows)
     return cold.unionByName(salted.select(*cold.columns))
 
 
-def _chain(base, branches, key, unique_rows):
+def _chain(base, branches, key, unique_rows, parts):
     """All sides are hash-partitioned by ``key`` once; the joins after the first move no left rows."""
 
     def by_key(df):
-        return df.repartition(F.col(key)).distinct() if unique_rows else df
+        return df.repartition(parts, F.col(key)).distinct() if unique_rows else df
 
     joined = by_key(base)
     for branch in branches.values():

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from tradewind.operators.fill import forward_fill
 from tradewind.operators.skew import HOT_ROWS, left_join_all
+from tradewind.session import stored
 
 # The geo columns, and the ids that the commerce table leaves out.
 GEO_ZIP = "geolocation_zip_code_prefix"
@@ -77,14 +78,19 @@ def customers_geo(customers: DataFrame, geolocation: DataFrame | None) -> DataFr
     )
 
 
-def enrich_items(tables: Mapping[str, DataFrame], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Items with product, English category and seller.
+def enrich_items(
+    tables: Mapping[str, DataFrame], hot_rows: int = HOT_ROWS, orders: DataFrame | None = None
+) -> DataFrame:
+    """Items with product, English category and seller; with ``orders``, only the items of these.
 
     The category name joins at product grain, the rest at item grain, before payments and reviews
     multiply the rows. The dimensions carry no broadcast hint: Spark broadcasts them when they are
     under its size limit and shuffles otherwise.
     """
     items = tables["order_items"]
+    if orders is not None:  # narrow rows go to their orders first: those without one are not widened
+        ids = orders.select(F.col("order_id").alias("__order"))
+        items = items.join(ids, items["order_id"].eqNullSafe(ids["__order"]), "left_semi")
     if "products" in tables:
         products = tables["products"]
         names = tables.get("product_category_name_translation")
@@ -97,15 +103,15 @@ def enrich_items(tables: Mapping[str, DataFrame], hot_rows: int = HOT_ROWS) -> D
             {"products": products},
             "product_id",
             hot_rows=hot_rows,
-            probe={"products": tables["products"]},
+            probe={"base": tables["order_items"], "products": tables["products"]},
         )
     if "sellers" in tables:
         items = items.join(tables["sellers"], "seller_id", "left")
     return items
 
 
-def _branches(tables: Mapping[str, DataFrame], hot_rows: int):
-    branches = {"order_items": enrich_items(tables, hot_rows)}
+def _branches(tables: Mapping[str, DataFrame], hot_rows: int, orders: DataFrame):
+    branches = {"order_items": enrich_items(tables, hot_rows, orders)}
     probe = {"order_items": tables["order_items"]}
     for name in ("order_payments", "order_reviews"):
         if name in tables:
@@ -120,8 +126,9 @@ def build_orders_all(tables: Mapping[str, DataFrame], hot_rows: int = HOT_ROWS)
     """
     if "orders" not in tables or "order_items" not in tables:
         return None
-    branches, probe = _branches(tables, hot_rows)
-    return left_join_all(tables["orders"], branches, "order_id", hot_rows=hot_rows, probe=probe)
+    orders = stored(tables["orders"])  # read for its keys, their counts and the join
+    branches, probe = _branches(tables, hot_rows, orders)
+    return left_join_all(orders, branches, "order_id", hot_rows=hot_rows, probe=probe)
 
 
 def build_commerce(tables: Mapping[str, DataFrame], hot_rows: int = HOT_ROWS) -> DataFrame | None:
@@ -134,8 +141,8 @@ def build_commerce(tables: Mapping[str, DataFrame], hot_rows: int = HOT_ROWS) ->
     if any(name not in tables for name in ("customers", "orders", "order_items")):
         return None
     people = customers_geo(tables["customers"], tables.get("geolocation"))
-    base = people.join(tables["orders"], "customer_id")
-    branches, probe = _branches(tables, hot_rows)
+    base = stored(people.join(tables["orders"], "customer_id"))  # read for its keys, their counts and the join
+    branches, probe = _branches(tables, hot_rows, base)
     rows = left_join_all(
         base, branches, "order_id", unique_rows=True, hot_rows=hot_rows, probe=probe
     )
