@@ -94,6 +94,27 @@ def test_windows_end_before_marked_tokens():
     assert len(work.known) == known == len(set(text.split(" ")))
 
 
+def test_a_window_that_is_known_is_not_encoded_again(monkeypatch):
+    work = al.Aligner(TOKENIZERS)
+    texts = ["some words, and\nlines of words", "words, of some and some", "and\nlines"]
+    first, *rest = map(work, texts)
+    whole = [work._whole(t) for t in texts]
+    assert [first, *rest] == whole and first.n_a > 5
+    monkeypatch.setattr(work.byte_level, "encode", None)
+    monkeypatch.setattr(work.byte_level, "learned", None)
+    monkeypatch.setattr(work.pieces, "learned", None)
+    assert [work(t) for t in texts] == whole
+
+
+def test_a_text_with_one_bad_window_has_no_tokens():
+    work = al.Aligner(TOKENIZERS)
+    texts = ["fine words", "fine \u00bd words", "words fine"]  # one half has other bytes in B
+    for _ in range(2):
+        assert [work(t).n_a > 0 for t in texts] == [work._whole(t).n_a > 0 for t in texts]
+    bad = [t for t in TEXTS if t and work._whole(t) == al.NOTHING]
+    assert bad and all(work(t) == al.NOTHING for t in bad)
+
+
 def test_tasks_hand_on_counts_when_full(spark, monkeypatch):
     docs = spark.createDataFrame([(k, f"text {k % 7} of {k % 3}") for k in range(60)], "doc_id long, text string")
     aligned = stored(al.align(docs, TOKENIZERS))

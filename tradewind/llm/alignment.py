@@ -1,7 +1,9 @@
 """Cross-tokenizer alignment: which tokens of two tokenizers cover the same bytes, found in windows between words.
 
 Tokenizer A is a byte-level one, tokenizer B a SentencePiece model that marks spaces. A text is read as a space
-and the text, which is what B makes of it, so both sides cover the same bytes.
+and the text, which is what B makes of it, so both sides cover the same bytes. No token of either side reaches over a
+single space between two other characters, so both have an end there and their next tokens begin with the space: what
+lies between such spaces is whole windows, whatever stands around it.
 """
 
 from __future__ import annotations
@@ -12,13 +14,14 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from tradewind.llm.tokens import Remembered, byte_level_entries, encoder, piece_encoder, piece_entries, uncollected
+from tradewind.llm.tokens import LONGEST, MARK, Remembered, between_spaces, byte_level_entries, encoder, piece_encoder, piece_entries, uncollected
 from tradewind.session import stored
 
-WINDOWS = 40 << 20  # bytes of window alignments in each half of what a worker remembers
+WINDOWS = 96 << 20  # bytes of window alignments in each half of what a worker remembers
 BATCH_BYTES = 8 << 20  # results handed on at once
 PAIRS_TO_BROADCAST = 2_000_000  # id pairs with their counts, 17 bytes each
 MERGED = 4_000_000  # links counted at once, and distinct pairs that a task holds
+BAD = ("", b"", -(1 << 60), 0)  # what is known of a window whose bytes differ: fewer tokens than any text has
 STOP = 0xFFFFFFFF  # no id: between the ids of both sides in the name of a window
 HOT = 1000  # a pair with more than this fraction of all links is counted without a shuffle: fewer than this many
 
@@ -47,11 +50,12 @@ NOTHING = Alignment(0, 0, "", b"")
 
 
 class Aligner:
-    """Aligns whole texts; one per worker process, which remembers the alignment of windows by their token ids."""
+    """Aligns whole texts; one per worker process, which remembers the alignment of windows by their text."""
 
     def __init__(self, tokenizers: Tokenizers):
-        self.encode_a = encoder(tokenizers.byte_level, leading_space=True, special_as_text=True).encode
-        self.encode_b = piece_encoder(tokenizers.pieces).encode
+        self.byte_level = encoder(tokenizers.byte_level, leading_space=True, special_as_text=True)
+        self.pieces = piece_encoder(tokenizers.pieces)
+        self.encode_a, self.encode_b = self.byte_level.encode, self.pieces.encode
         self.entries = byte_level_entries(tokenizers.byte_level), piece_entries(tokenizers.pieces)
         self.sizes = [np.array([len(e) for e in entries], np.int64) for entries in self.entries]
         self.marked = [np.array([e[:1] == b" " for e in entries]) for entries in self.entries]
@@ -119,39 +123,60 @@ class Aligner:
             for i, j, m, n, x, y in zip([0, *text_ends], text_ends, [0, *link_ends], link_ends, [0, *byte_ends], byte_ends)
         ]
 
-    def _known(self, names: list[bytes]) -> list[tuple[str, bytes, bytes]] | None:
-        """Alignments of windows by their names; None if one of them covers different bytes on both sides."""
-        found = list(map(self.known.get, names))
+    def _learned(self, pieces: set[str]) -> dict[str, tuple[str, bytes, int, int]]:
+        """Groups, links and numbers of tokens of pieces of text, each with a space before it."""
+        a, b, stop = self.byte_level.spaced(pieces), self.pieces.learned(pieces), np.uint32(STOP).tobytes()
+        names = [a[p] + stop + b[p] for p in pieces]
+        aligned = self._windows(names)
+        if aligned is None:
+            aligned = [(self._windows([name]) or [BAD])[0] for name in names]
+        return {
+            p: (groups, links, len(a[p]) // 4, len(b[p]) // 4) if covered == (" " + p).encode() else BAD
+            for p, (groups, links, covered, *_) in zip(pieces, aligned)
+        }
+
+    def _joined(self, text: str) -> Alignment | None:
+        """The alignment of a text from those of its pieces; None if the bytes of one of them differ."""
+        pieces = between_spaces(text)
+        found = list(map(self.known.get, pieces))
         if None in found:
-            missing = {name for name, hit in zip(names, found) if hit is None}
+            missing = {p for p, hit in zip(pieces, found) if hit is None}
             new = self.known.recalled(missing)
-            rest = list(missing.difference(new))
+            rest = missing.difference(new)
             if rest:
-                aligned = self._windows(rest)
-                if aligned is None:
-                    return None
-                new |= zip(rest, aligned)
-            self.known.keep(new, 200 * len(new) + 3 * sum(map(len, new)))
-            found = [new[name] if hit is None else hit for name, hit in zip(names, found)]
-        return found
-
-    def __call__(self, text: str | None) -> Alignment:
-        if not text:
-            return NOTHING
+                new |= self._learned(rest)
+            kept = new if max(map(len, missing)) <= LONGEST else {p: hit for p, hit in new.items() if len(p) <= LONGEST}
+            self.known.keep(kept, 150 * len(kept) + sum([2 * len(p) + len(hit[0]) + len(hit[1]) for p, hit in kept.items()]))
+            found = [new[p] if hit is None else hit for p, hit in zip(pieces, found)]
+        groups, links, n_a, n_b = zip(*found)
+        count = sum(n_a)
+        return Alignment(count, sum(n_b), ";".join(groups), b"".join(links)) if count >= 0 else None
+
+    def _whole(self, text: str) -> Alignment:
+        """The alignment of a text that is encoded in one go, from windows between the ends of its tokens."""
         spaced = " " + text
         a, b = np.frombuffer(self.encode_a(spaced), np.uint32), np.frombuffer(self.encode_b(text), np.uint32)
         whole = spaced.encode()
         end_a, end_b = self.ends(a, b)
         if not end_a[-1] == end_b[-1] == len(whole):
             return NOTHING
-        found = self._known(self._named(a, b, *self.windows(a, b, end_a, end_b)))
-        if found is None:
+        names = self._named(a, b, *self.windows(a, b, end_a, end_b))
+        distinct = list(dict.fromkeys(names))
+        aligned = self._windows(distinct)
+        if aligned is None:
             return NOTHING
-        groups, links, covered = zip(*found)
+        known = dict(zip(distinct, aligned))
+        groups, links, covered = zip(*map(known.__getitem__, names))
         if b"".join(covered) != whole:
             return NOTHING
         return Alignment(len(a), len(b), ";".join(groups), b"".join(links))
 
+    def __call__(self, text: str | None) -> Alignment:
+        if not text:
+            return NOTHING
+        found = self._joined(text) if self.pieces.apart and MARK not in text else None
+        return self._whole(text) if found is None else found
+
 
 def aligner(tokenizers: Tokenizers) -> Aligner:
     """The aligner of this worker process."""
@@ -172,10 +197,11 @@ def _codes(tokenizers: Tokenizers) -> type:
 def align(docs: DataFrame, tokenizers: Tokenizers) -> DataFrame:
     """``doc_id, n_a, n_b, n_groups, groups, links`` of every row of ``docs(doc_id, text)``, from its whole text.
 
-    A text is first encoded as a whole by both tokenizers; strings of special tokens are plain text. If the bytes
+    Strings of special tokens are plain text. A text is cut into windows at shared ends before space-marked tokens, and the
+    tokens of each window, known by its text, are found and aligned once per worker, as long as it is remembered. If the bytes
     of either side's tokens differ from a space and the text, it has no tokens: counts of 0, an empty
-    ``groups``. So do NULL and empty texts. The tokens are cut into windows at shared ends before space-marked
-    tokens, and each window, known by its token ids, is aligned once per worker. A group is what lies between two
+    ``groups``. So do NULL and empty texts. Texts with the mark itself, and those with a window whose bytes differ, are
+    encoded as a whole by both tokenizers and cut where their tokens end. A group is what lies between two
     neighbouring bytes at which tokens of both sides end; its last tokens are linked, and no others.
     ``links`` holds their codes (see ``second_size``), 4 bytes each (8 for very large vocabularies).
 

@@ -18,8 +18,8 @@ _OTHER_SPACE = re.compile(r"[^\S \n]")
 _BOUNDARY = re.compile(r"(?<=\S) (?=\S)")
 _SINGLE_SPACE = re.compile("(?<=[^ ]) (?=[^ ])")
 MARK = "\u2581"  # how SentencePiece writes a space
-#: A word of Latin letters (without the one whose lower case is two characters) and marks behind it.
-_PLAIN = re.compile("(\n?)([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([.,;:!?|]*)")
+#: A word of Latin letters (without the one whose lower case is two characters) and ASCII marks behind it, but no apostrophe.
+_PLAIN = re.compile("(\n?)([A-Za-zÀ-ÖØ-öø-įı-ɏ]+)([!-&(-/:;=?@[-`{-~]*)")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -71,37 +71,61 @@ class Remembered(dict):
 
 
 class Merges:
-    """The merges of a byte-level tokenizer file, applied to many words by one call of tiktoken."""
+    """The merges of a byte-level tokenizer file, applied to many words by one call of tiktoken.
 
-    def __init__(self, ranks: dict[bytes, int]):
+    A word has a space before it (``of``), or its last letter bears a mark of the end (``ending``): there a space behind the
+    word stands for that mark. Marked letters have the smallest ids but for letters, so that space is merged first of all.
+    """
+
+    def __init__(self, ranks: dict[bytes, int], ends: bool = False):
         import tiktoken
 
-        self.encoding = tiktoken.Encoding("merges", pat_str=r" ?\p{L}+", mergeable_ranks=ranks, special_tokens={})
+        self.ends = ends
+        self.encoding = tiktoken.Encoding("merges", pat_str=r"\p{L}+ " if ends else r" ?\p{L}+", mergeable_ranks=ranks, special_tokens={})
         self.sizes = np.zeros(max(ranks.values()) + 1, np.int64)
         for token, k in ranks.items():
             self.sizes[k] = len(token)
 
     @classmethod
-    def of(cls, path: str) -> "Merges | None":
-        """None unless ids grow in the order of the merges, so that the smallest id is always merged first."""
+    def _read(cls, path: str, ends: bool) -> "Merges | None":
         with open(path, encoding="utf-8") as file:
             model = json.load(file)["model"]
         vocabulary, byte_of = model["vocab"], {letter: byte for byte, letter in _LETTERS.items()}
         pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
         made = [vocabulary.get(a + b, -1) for a, b in pairs]
-        letters = {token: k for token, k in vocabulary.items() if len(token) == 1}
-        plain = not any(model.get(k) for k in ("continuing_subword_prefix", "end_of_word_suffix", "byte_fallback", "ignore_merges", "dropout"))
-        if not plain or set(letters) != set(byte_of) or made != sorted(set(made)) or min(made, default=0) <= max(letters.values()):
+        mark = model.get("end_of_word_suffix") or ""
+        letters = {token: k for token, k in vocabulary.items() if len(token) == 1 or (mark and token.endswith(mark) and len(token) == 1 + len(mark))}
+        plain = not any(model.get(k) for k in ("continuing_subword_prefix", "byte_fallback", "ignore_merges", "dropout"))
+        wanted = {*byte_of, *(letter + mark for letter in byte_of)}
+        if not plain or bool(mark) != ends or set(letters) != wanted or made != sorted(set(made)) or min(made, default=0) <= max(letters.values()):
             return None
-        tokens = [*letters.items(), *((a + b, k) for (a, b), k in zip(pairs, made))]
-        return cls({bytes(byte_of[c] for c in token): k for token, k in tokens})
+
+        def spelled(token: str) -> bytes:
+            marked = mark and token.endswith(mark)
+            return bytes(byte_of[c] for c in (token.removesuffix(mark) if marked else token)) + (b" " if marked else b"")
+
+        ranks = {spelled(token): k for token, k in [*letters.items(), *((a + b, k) for (a, b), k in zip(pairs, made))]}
+        if mark and any(b" " in token[:-1] for token, k in ranks.items() if k >= made[0]):
+            return None  # a space within a word
+        return cls(ranks, ends) if len(ranks) == len(letters) + len(made) else None
+
+    @classmethod
+    def of(cls, path: str) -> "Merges | None":
+        """None unless ids grow in the order of the merges, so that the smallest id is always merged first."""
+        return cls._read(path, ends=False)
+
+    @classmethod
+    def ending(cls, path: str) -> "Merges | None":
+        """The same for words whose last letter bears the file's mark; None if it has no such mark."""
+        return cls._read(path, ends=True)
 
     def words(self, words: list[str]) -> list[bytes]:
-        """Ids of words of letters, each with a space before it."""
+        """Ids of words of letters, each with a space before it, or none if their ends are marked."""
         if not words:
             return []
-        ids = np.array(self.encoding.encode_ordinary("".join(words)), np.uint32)
-        ends = np.cumsum([len(w.encode()) for w in words])
+        text = " ".join(words) + " " if self.ends else "".join(words)
+        ids = np.array(self.encoding.encode_ordinary(text), np.uint32)
+        ends = np.cumsum([len(w.encode()) + self.ends for w in words])
         cuts = (4 * (np.searchsorted(np.cumsum(self.sizes[ids]), ends) + 1)).tolist()
         data = ids.tobytes()
         return [data[i:j] for i, j in zip([0, *cuts], cuts)]
@@ -129,7 +153,7 @@ class Encoder:
         longest_first = sorted(self.special, key=len, reverse=True)
         self.special_strings = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")")
         self.leading_space = leading_space
-        self.merges = Merges.of(path) if leading_space else None
+        self.merges = Merges.of(path) if leading_space else Merges.ending(path)
         self.known, self.words, self.others = Remembered(), Remembered(REMEMBERED // 2), Remembered(REMEMBERED // 8)
 
     def _ids(self, pieces: list[str]) -> list[bytes]:
@@ -138,6 +162,9 @@ class Encoder:
 
     def _words(self, words: set[str]) -> dict[str, bytes]:
         """Ids of letters alone, behind a space or not: one word of the pattern, so the model's merges are all there is to do."""
+        if self.merges and not self.leading_space:
+            words = list(words)
+            return dict(zip(words, self.merges.words(words)))
         if self.merges:
             spaced = [w for w in words if w[0] == " "]
             found = dict(zip(spaced, self.merges.words(spaced)))
@@ -158,7 +185,7 @@ class Encoder:
             self.others.keep_ids({text: self._ids([text])[0]})
         return self.others.get(text) or self._ids([text])[0]
 
-    def _learned(self, pieces: set[str]) -> dict[str, bytes]:
+    def learned(self, pieces: set[str]) -> dict[str, bytes]:
         """Ids of new pieces: plain ones as a word and marks, the others as the library gives them."""
         found, others, plain = {}, [], {}
         for piece in pieces:
@@ -177,16 +204,23 @@ class Encoder:
         found.update(zip(others, self._ids([p if p[:1] == "\n" else lead + p for p in others])))
         return found
 
+    def spaced(self, pieces: set[str]) -> dict[str, bytes]:
+        """Ids of texts with a space put before each, all new ones together; for files with ``leading_space``."""
+        parts = {p: p.replace("\n", " \n").split(" ") for p in pieces}
+        odd = {p for p, own in parts.items() if "" in own or "\n" in own or _OTHER_SPACE.search(p)}
+        new = self.learned({x for p, own in parts.items() if p not in odd for x in own})
+        return {p: self.encode(" " + p) if p in odd else b"".join([new[x] for x in own]) for p, own in parts.items()}
+
     def _plain(self, text: str) -> bytes:
         """Ids of a text without strings of added tokens."""
         if not self.leading_space:  # white space is dropped
-            return self.known.joined(text.replace("\n", " ").split(" "), self._learned)
+            return self.known.joined(text.replace("\n", " ").split(" "), self.learned)
         pieces = text.replace("\n", " \n").split(" ")
         first = pieces.pop(0)
         if "" in pieces or "\n" in pieces or _OTHER_SPACE.search(text):
             first, *pieces = _BOUNDARY.split(text)
         head = self._other(first) if first else b""  # no space before the first piece
-        return head + self.known.joined(pieces, self._learned)
+        return head + self.known.joined(pieces, self.learned)
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -197,6 +231,14 @@ class Encoder:
         return b"".join(self.special[p] if k % 2 else self._plain(p) if p else b"" for k, p in enumerate(parts))
 
 
+def between_spaces(text: str) -> list[str]:
+    """The text cut at each single space between two characters that are no white space."""
+    pieces = text.split(" ")
+    if "" in pieces or " \n" in text or "\n " in text or _OTHER_SPACE.search(text):
+        pieces = _BOUNDARY.split(text)
+    return pieces
+
+
 class PieceEncoder:
     """Encodes a text with a SentencePiece model that marks a space before a word, as little-endian unsigned 32-bit ids.
 
@@ -216,7 +258,7 @@ class PieceEncoder:
         self.apart &= "".join(self.model.encode("a  b ", out_type=str)) == f"{MARK}a{MARK}{MARK}b{MARK}"
         self.known = Remembered(REMEMBERED * 3 // 4)
 
-    def _learned(self, pieces: set[str]) -> dict[str, bytes]:
+    def learned(self, pieces: set[str]) -> dict[str, bytes]:
         """In a text of pieces without a space, each begins with its only token that has the mark."""
         plain = [p for p in pieces if p and " " not in p]
         ids = np.array(self.model.encode(" ".join(plain), num_threads=1), np.uint32)
@@ -232,7 +274,7 @@ class PieceEncoder:
         pieces = text.split(" ")
         if "" in pieces:
             pieces = _SINGLE_SPACE.split(text)
-        return self.known.joined(pieces, self._learned)
+        return self.known.joined(pieces, self.learned)
 
 
 def uncollected(rows: Callable) -> Callable:
