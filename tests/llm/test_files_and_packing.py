@@ -117,6 +117,17 @@ def test_merges_are_used_only_where_ids_grow_with_them():
         assert np.frombuffer(ids, np.uint32).tolist() == library.encode(word, add_special_tokens=False).ids
 
 
+def test_merges_of_words_with_marked_ends_are_the_library_s():
+    library, merges = Tokenizer.from_file(WORDS), tokens.Merges.ending(WORDS)
+    assert merges is not None and tokens.Merges.ending(BYTES) is None
+    words = ["".join(random.Random(k).choices("aeiounrstéßıłǎɏ", k=1 + k % 20)) for k in range(800)]
+    learned = {t.removesuffix("</w>") for t in library.get_vocab()}  # where the whole word, or what it is made of, is one entry
+    words += [w for w in sorted(learned) if w.isascii() and w.isalpha() and w.islower()]
+    assert len(words) > 30_000
+    for word, own, ids in zip(words, merges.words(words), library.encode_batch(words, add_special_tokens=False)):
+        assert np.frombuffer(own, np.uint32).tolist() == ids.ids, word
+
+
 def test_token_files_round_trip(spark, monkeypatch):
     monkeypatch.setattr(dac, "SEGMENT", 50)
     ids = [3, 1, 2, 9, 7, 8, 20, 11, 11]
