@@ -15,6 +15,7 @@ from tokenizers import Tokenizer
 
 from tradewind.llm import dac, packing, reputation, tokens, warc
 from tradewind.llm.reputation import Rule
+from tradewind.session import settings as session_settings
 
 BYTES, WORDS, PIECES = (public_tokenizers.path(n) for n in ("byte_bpe_50k.json", "word_bpe_49k.json", "piece_bpe_32k.model"))
 PAGES = "page_id long, url string, html string, host string"
@@ -196,6 +197,14 @@ def test_equal_rows_are_written_by_many_tasks(spark):
     assert [r["start"] for r in got] == [*range(300), *range(300, 300 + 900 * 3, 3)]
 
 
+def test_little_text_is_written_by_many_tasks_of_any_session(spark):
+    key = "spark.sql.adaptive.coalescePartitions.parallelismFirst"
+    docs = spark.createDataFrame([(k, "text", "") for k in range(300)], DOCS)
+    with session_settings(spark, {key: "false"}):
+        index = dac.write_tokens(docs, BYTES, 2)
+    assert index.select("part").distinct().count() > 2 and index.count() == 300
+
+
 def test_rounds_of_groups_come_close_to_the_bound(spark, monkeypatch):
     monkeypatch.setattr(packing, "GROUP", 40)
     rng = random.Random(3)

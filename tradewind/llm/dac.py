@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tradewind.llm.files import create, new_folder, open_file
 from tradewind.llm.tokens import encoder, uncollected
-from tradewind.session import settings, stored
+from tradewind.session import stored
 
 MAGIC = 0x31434144
 SPAN = 512  # bits between two entries of the directory
@@ -146,17 +146,17 @@ def write_tokens(docs: DataFrame, tokenizer: str, end_id: int, leading_space: bo
         if out is not None:
             out.close()
 
+    # Adaptive execution may give a table of little text to one task, but leaves a number that is asked for.
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ordered = (
         docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("by_text"))
         .withColumn("again", F.monotonically_increasing_id())
-        .repartitionByRange("doc_id", "by_text", "again")
+        .repartitionByRange(parts, "doc_id", "by_text", "again")
         .sortWithinPartitions("doc_id", "by_text", "text")
         .select("doc_id", "text")
     )
     index = "part long, file string, at long, size long, doc_id long, first long, n_tokens long"
-    # Adaptive execution would give a table of little text to one task; its parts are for all cores instead.
-    with settings(docs.sparkSession, {"spark.sql.adaptive.coalescePartitions.minPartitionSize": "1b"}):
-        return stored(ordered.mapInArrow(write, index))
+    return stored(ordered.mapInArrow(write, index))
 
 
 def with_starts(index: DataFrame) -> DataFrame:
