@@ -2,6 +2,8 @@
 
 import collections
 
+import pyarrow as pa
+
 import corpus_pipeline
 from tradewind.llm import decontaminate, language, neardup, quality
 
@@ -44,3 +46,24 @@ def test_stages_of_odd_rows(spark):
 def test_names_and_order():
     assert [n for n, _ in corpus_pipeline.STAGES] == ["quality", "language", "near_duplicates", "decontamination", "packing"]
     assert language.UNKNOWN == "und" and 0 < corpus_pipeline.LEAST_QUALITY < 1 and quality.PASSAGE > 0
+
+
+def test_stages_run_in_small_batches(spark, monkeypatch):
+    monkeypatch.setattr(corpus_pipeline, "AT_ONCE", 7)
+
+    @corpus_pipeline.in_small_batches
+    def sizes(spark, docs, sf_dir):
+        return docs.mapInArrow(lambda batches: (pa.RecordBatch.from_pydict({"rows": [len(b)]}) for b in batches), "rows long")
+
+    before = spark.conf.get(corpus_pipeline.BATCH_ROWS)
+    found = [r["rows"] for r in sizes(spark, spark.range(100), "").collect()]
+    assert sum(found) == 100 and max(found) <= 7 and spark.conf.get(corpus_pipeline.BATCH_ROWS) == before
+    assert all(hasattr(stage, "__wrapped__") for _, stage in corpus_pipeline.STAGES)
+
+
+def test_packing_in_small_batches_is_the_same(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, f"some words {k} " * (k % 50)) for k in range(200)], "doc_id long, text string")
+    whole = sorted(map(tuple, corpus_pipeline.pack_sequences(spark, docs, "").select("doc_id", "start", "length", "ids_crc32").collect()))
+    monkeypatch.setattr(corpus_pipeline, "AT_ONCE", 9)
+    packed = corpus_pipeline.pack_sequences(spark, docs, "").select("doc_id", "start", "length", "ids_crc32")
+    assert sorted(map(tuple, packed.collect())) == whole
