@@ -3,9 +3,12 @@
 import collections
 
 import pyarrow as pa
+import pytest
 
 import corpus_pipeline
 from tradewind.llm import decontaminate, language, neardup, quality
+from tradewind.session import scratch
+from tradewind.sources.files import names
 
 SF = "/root/testdata/sf0.001"
 
@@ -67,3 +70,36 @@ def test_packing_in_small_batches_is_the_same(spark, monkeypatch):
     monkeypatch.setattr(corpus_pipeline, "AT_ONCE", 9)
     packed = corpus_pipeline.pack_sequences(spark, docs, "").select("doc_id", "start", "length", "ids_crc32")
     assert sorted(map(tuple, packed.collect())) == whole
+
+
+def test_stages_leave_no_more_than_their_results(spark, tmp_path):
+    copied, docs = {}, spark.read.parquet(f"{SF}/documents.parquet")
+    with scratch(spark, str(tmp_path)) as own:
+        for name, stage in corpus_pipeline.STAGES:
+            before = set(names(spark, own))
+            found = stage(spark, docs, SF)
+            left = set(names(spark, own)) - before
+            assert len(left) == 1
+            copied[name] = "text" in spark.read.parquet(f"{own}/{left.pop()}").columns
+            rows, docs = found.count(), found
+            assert rows > 0
+    # What near_duplicates keeps is read where it was.
+    assert copied == {"quality": True, "language": True, "near_duplicates": False, "decontamination": True, "packing": False}
+
+
+def test_the_pipeline_leaves_its_last_result_only(spark, tmp_path):
+    with scratch(spark, str(tmp_path)) as own:
+        packed = corpus_pipeline.run(spark, SF)
+        assert len(names(spark, own)) == 1 and packed.count() > 0 and "ids_crc32" in packed.columns
+
+
+def test_a_stage_that_fails_leaves_nothing(spark, tmp_path):
+    @corpus_pipeline.in_small_batches
+    def broken(spark, docs, sf_dir):
+        corpus_pipeline.stored(docs)
+        raise ValueError("broken")
+
+    with scratch(spark, str(tmp_path)) as own:
+        with pytest.raises(ValueError, match="broken"):
+            broken(spark, spark.range(3), "")
+        assert names(spark, own) == []

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tradewind.llm.columns import unused
 from tradewind.llm.graph import components
 from tradewind.llm.words import mixed, shingles, word_hashes
-from tradewind.session import stored
+from tradewind.session import scratch, shared_folder, stored
 
 REGISTERS, ROWS = 256, 6  # 42 bands of 6 registers; the last 4 registers only serve the estimate
 BANDS = REGISTERS // ROWS
@@ -388,8 +388,11 @@ def one_of_each(docs: DataFrame, settings: Settings = Settings()) -> DataFrame:
 
     Of rows with the same id and text one stays. Of a component without any id one row's text stays. The
     ids that go are broadcast while they are few, else joined; texts are not shuffled but for repeated ids.
+    Only each row's component stays stored; sketches, sets and links are removed.
     """
-    rows = stored(_components(docs, settings))
+    folder = shared_folder(docs.sparkSession)
+    with scratch(docs.sparkSession):
+        rows = stored(_components(docs, settings), folder)
     # Of a component without any id the row that names it stays.
     stays = F.when(F.col("component").isNull(), F.col("id") == F.col("label")).otherwise(~F.col("nameless") & (F.col("id") == F.col("component")))
     repeated = rows.groupBy("id").agg(F.count("*").alias("rows"), F.min(stays).alias("stays"))
