@@ -255,6 +255,34 @@ def test_train_rows_lie_in_even_parts_and_keep_their_values(spark, extract, monk
     assert forest.getOrDefault("subsamplingRate") == 1.0 and forest.getOrDefault("maxBins") == 32
 
 
+def test_large_forests_are_fitted_a_few_trees_at_a_time(spark, extract, tmp_path, monkeypatch):
+    fits, real = [], tr.RandomForestClassifier.fit
+    monkeypatch.setattr(tr.RandomForestClassifier, "fit", lambda own, *a: fits.append((own.getNumTrees(), own.getSeed())) or real(own, *a))
+    features = ft.features_enhanced(extract)
+    whole = tr.train_models(features, [tr.FOREST], SMALL).models[tr.FOREST]
+    assert fits == [(5, tr.SEED)] and whole.getNumTrees == 5  # few rows: all at once
+    monkeypatch.setattr(tr, "FOREST_BYTES", 1)
+    monkeypatch.setattr(tr, "FEWEST_TREES", 2)
+    trained = tr.train_models(features, [tr.FOREST], SMALL)
+    forest = trained.models[tr.FOREST]
+    assert [n for n, _ in fits[1:]] == [2, 2, 1] and len({seed for _, seed in fits[1:]}) == 3
+    assert forest.getNumTrees == 5 and len(forest.trees) == 5 and len(forest.treeWeights) == 5
+    assert len({t.toDebugString.split("\n", 1)[1] for t in forest.trees}) == 5
+    assert forest.numFeatures == whole.numFeatures == 6 and forest.numClasses == 2
+    assert forest.getOrDefault("maxDepth") == SMALL.forest_depth and forest.getFeaturesCol() == "features"
+    assert sum(forest.featureImportances) == pytest.approx(1)
+    rows = forest.transform(trained.train).select("features", "probability").take(20)
+    for r in rows:  # every tree has one vote, of its own shares of the classes
+        votes = [t.predictProbability(r.features)[1] for t in forest.trees]
+        assert r.probability[1] == pytest.approx(sum(votes) / 5)
+    tr.save_models(trained, str(tmp_path))
+    facts = tr.saved_score_facts(trained, tr.load_models(spark, str(tmp_path)), features).collect()
+    assert {(r.model, r.different) for r in facts} == {(tr.FOREST, 0)}
+    assert sum(r["rows"] for r in facts) == features.count()
+    (fact,) = tr.tree_facts(trained).collect()
+    assert fact.train_rows == trained.train.agg(F.sum(tr.COPIES)).first()[0]
+
+
 def test_copies_are_weights(spark, extract):
     many = extract.withColumn("again", F.explode(F.sequence(F.lit(1), F.lit(5)))).drop("again")
     trained = tr.train_models(ft.features_enhanced(many), settings=SMALL)
