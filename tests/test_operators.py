@@ -5,6 +5,7 @@ import pytest
 from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import Window, functions as F
 
+from tradewind.operators import skew
 from tradewind.operators.columns import keep_unless, rename_or_add
 from tradewind.operators.copies import pack_copies, unpack_copies
 from tradewind.operators.dedupe import except_rows, one_per_key, removed_by_key
@@ -130,6 +131,20 @@ def test_hot_join_spreads_the_hot_key(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
 
 
+def test_hot_right_rows_are_joined_many_at_a_time(spark, rows, monkeypatch):
+    left = [(k % 3 if k % 11 else None, k // 2) for k in range(240)] + [(7, 1)] * 60  # 7 has no right rows
+    right = [(k % 2, None if k % 5 == 0 else f"r{k // 2}") for k in range(180)] + [(None, "no key"), (9, "no left row")]
+    left, right = spark.createDataFrame(left, "k int, l int"), spark.createDataFrame(right, "k int, r string")
+    expect = rows(left.join(right, "k", "left"), "k", "l", "r")
+    for pack_rows in (1, 7, 500):
+        monkeypatch.setattr(skew, "PACK_ROWS", pack_rows)
+        for hot_rows in (1, 50, 2000):
+            joined = left_join_all(left, {"right": right}, "k", hot_rows=hot_rows)
+            assert rows(joined, "k", "l", "r") == expect
+    plan = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.index("inline") < plan.index("__rows") and "collect_list" in plan
+
+
 def test_no_cell_of_a_grid_makes_more_than_the_limit(spark):
     sides = spark.createDataFrame([(a * 1.0, b * 1.0) for a in (1, 5, 31, 32, 999, 5000) for b in (0, 1, 30, 33, 4000)], "a double, b double")
     left, right = grid(F.col("a"), F.col("b"), 1000)
